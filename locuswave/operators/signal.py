@@ -5,6 +5,9 @@ a step up at ``p - W`` and a step down at ``p + W + 1``, and the window sum is t
 the steps.  The running total is computed per tile of the chromosome.  Every step pair is clipped
 to the tiles it reaches, so tiles need no carry from each other; each tile also sees one base pair
 on either side, which tells whether its first and last run continue there.
+
+The pieces of the tiles are written once as a stage table; joining the few pieces cut at tile edges
+is then a cheap view on it, which every consumer may read again.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuswave.schema import add_all, value_names
+from locuswave.session import stage
 
 KEYS = ["grp", "chrom"]
 
@@ -133,7 +137,7 @@ def _runs(spans: DataFrame, n: int, tile: int, clip: bool) -> DataFrame:
         F.greatest(F.col("x"), lo).alias("start"), F.least(F.col("_end"), hi).alias("stop"),
         *names, (F.col("x") < lo).alias("_from_left"), (F.col("_end") > hi).alias("_to_right"),
     )
-    return _stitch(pieces, names)
+    return _stitch(stage(pieces, "runs"), names)
 
 
 def _stitch(pieces: DataFrame, names: list[str]) -> DataFrame:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 # Side tables with at most this many rows may be broadcast; larger ones are shuffled.
@@ -58,6 +63,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(**steps: Callable[[], T]) -> dict[str, T]:
+    """Run independent steps at the same time; small jobs then share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
 def fits_broadcast(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when a staged table is small enough to broadcast (counted, at most max_rows + 1 rows)."""
     return staged.limit(max_rows + 1).count() <= max_rows
