@@ -59,3 +59,91 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("cigar"),
         F.expr("substring(md5(cast(l_partkey % 7 as string)), 1, 7)").alias("umi"),
     )
+
+
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test groups, their control and on-target, read off the table's flags (one row per flag)."""
+    flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct().filter("l_returnflag <> 'R'")
+    return flags.select(
+        F.lit("guide").alias("sample_group"),
+        F.expr("case l_returnflag when 'A' then 64 else 256 end").alias("conc"),
+        F.expr("case l_returnflag when 'A' then '64' else '256' end").alias("grp"),
+        F.lit(CONTROL).alias("control_grp"),
+        F.lit(ON_TARGET_MOTIF).alias("on_target_motif"), F.lit(ON_TARGET_LOCATION).alias("on_target_location"),
+    )
+
+
+ON_TARGET_MOTIF = "GACGTCTTNGG"
+ON_TARGET_LOCATION = "chr1:41,995-42,005,+"
+CHUNK = 224
+
+
+def genome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four contigs with seven bases per order, in chunks of 32 orders: ``(chrom, chunk_id, seq)``."""
+    order = table(spark, sf_dir, "orders")
+    bases = order.select(
+        F.expr("explode(sequence(0, 3))").alias("c"), F.col("o_orderkey").alias("k"),
+    ).select(
+        F.expr("concat('chr', c)").alias("chrom"), F.expr("k div 32").alias("chunk_id"), "k",
+        F.expr("substring(translate(md5(concat(k, '-', c)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 7)").alias("b"),
+    )
+    # 32 orders per chunk by construction.
+    seq = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "b"))), lambda p: p["b"]), "")
+    return bases.groupBy("chrom", "chunk_id").agg(seq.alias("seq"))
+
+
+def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = table(spark, sf_dir, "orders")
+    longest = order.agg((F.max("o_orderkey") * 7 + 7).alias("length"))
+    each = longest.select(F.explode(F.sequence(F.lit(0), F.lit(3))).alias("c"), "length")
+    return each.select(F.concat(F.lit("chr"), "c").alias("chrom"), "length")
+
+
+def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read pairs from documents: bases and qualities from the text, whole texts, one pair each."""
+    doc = table(spark, sf_dir, "documents")
+    return doc.select(
+        F.expr("concat('D_R', doc_id % 3 + 1)").alias("sample_id"), F.col("doc_id").cast("string").alias("read_id"),
+        F.expr("translate(md5(text), '0123456789abcdef', 'ACGTACGTACGTACGN')").alias("seq1"),
+        F.expr("translate(md5(reverse(text)), '0123456789abcdef', 'ACGTACGTACGTACGN')").alias("seq2"),
+        F.expr("translate(md5(concat(text, '1')), '0123456789abcdef', '+05?CFIIIIIIIIII')").alias("qual1"),
+        F.expr("translate(md5(concat(text, '2')), '0123456789abcdef', '+05?CFIIIIIIIIII')").alias("qual2"),
+    )
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of 1-based coordinates, one pair per line item."""
+    item = table(spark, sf_dir, "lineitem")
+    return item.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.expr("concat('chr', l_suppkey % 2)").alias("chrom_a"), F.expr("concat('chr', l_suppkey % 3 % 2)").alias("chrom_b"),
+        F.expr("100 + l_partkey % 50").alias("start_a"), F.expr("110 + l_partkey % 50 + l_linenumber").alias("stop_a"),
+        F.expr("100 + l_orderkey % 60").alias("start_b"), F.expr("105 + l_orderkey % 60 + l_linenumber").alias("stop_b"),
+        F.expr("l_linestatus = 'O'").alias("rev_a"), F.expr("l_returnflag = 'R'").alias("rev_b"),
+    )
+
+
+def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample sheet read off the table: one sample per flag and line number."""
+    item = table(spark, sf_dir, "lineitem")
+    return item.select("l_returnflag", "l_linenumber").distinct().select(
+        F.expr("case l_returnflag when 'R' then 'ctrl' when 'A' then 'guideA' else 'guideN' end").alias("sample_group"),
+        F.expr("case l_returnflag when 'R' then '' else 'ctrl' end").alias("control_group"),
+        F.expr("case when l_returnflag = 'R' then 0 when l_linenumber <= 3 then 64 else 256 end").alias("concentration"),
+        F.expr("l_linenumber").alias("replicate"),
+        F.expr("case when l_returnflag = 'R' then '' else 'GACGTCTTNGG' end").alias("on_target_motif"),
+        F.expr("case when l_returnflag = 'R' then '' else 'chr1:41,995-42,005,+' end").alias("on_target_location"),
+        F.expr("concat('reads/', l_returnflag, l_linenumber, '_1.fastq.gz')").alias("fastq_1"),
+        F.expr("concat('reads/', l_returnflag, l_linenumber, '_2.fastq.gz')").alias("fastq_2"),
+    )
+
+
+def trading_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large grouping table: one sample per order, customers as sample groups, nations as controls."""
+    order, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    return order.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.expr("concat('c', o_custkey)").alias("sample_group"),
+        F.expr("case when c_mktsegment = 'BUILDING' then cast(null as string) else concat('n', c_nationkey) end").alias("control_group"),
+        F.expr("case when c_mktsegment = 'BUILDING' then 0 else 64 end").alias("concentration"),
+        F.col("o_orderkey").alias("replicate"),
+    )
