@@ -98,11 +98,11 @@ def survival(name: str, null: str, probes: str) -> str:
   SELECT stat, cnt, sum(cnt) OVER (ORDER BY stat DESC) AS suffix, lead(stat) OVER (ORDER BY stat) AS up,
          n, lo, hi FROM {null}, {name}_ends),
 {name} AS (
-  SELECT q.stat, CASE
+  SELECT q.stat, round(CASE
       WHEN q.stat <= s.lo THEN 1.0
       WHEN q.stat > s.hi THEN 1.0 / s.n
       WHEN q.stat = s.stat THEN s.suffix / s.n
-      ELSE (s.suffix - s.cnt + (s.up - q.stat) / (s.up - s.stat) * s.cnt) / s.n END AS p
+      ELSE (s.suffix - s.cnt + (s.up - q.stat) / (s.up - s.stat) * s.cnt) / s.n END, 16) AS p
   FROM (SELECT DISTINCT stat FROM {probes}) q
   ASOF JOIN (SELECT * FROM {name}_suffix UNION ALL
              SELECT -1e300, 0, n::BIGINT, lo, n, lo, hi FROM {name}_ends) s ON q.stat >= s.stat)"""
@@ -198,7 +198,7 @@ PRICE = "price AS (SELECT round(l_extendedprice, 6) AS stat, count(*)::BIGINT AS
 define("ecdf_pvalues", TESTED, select="""
 SELECT conc, chrom, pos, round(p, 12) AS p FROM peaks JOIN pv ON round((v1 + v2 + v3) / 3.0::DOUBLE, 6) = pv.stat""")
 define("ecdf_price_pvalues", PRICE, "probe AS (SELECT o_orderkey, round(o_totalprice / 4, 6) AS stat FROM orders)",
-       survival("pv", "price", "probe"), select="SELECT o_orderkey, round(p, 9) AS p FROM probe JOIN pv USING (stat)")
+       survival("pv", "price", "probe"), select="SELECT o_orderkey, round(p, 12) AS p FROM probe JOIN pv USING (stat)")
 
 
 def threshold_sql(null: str, levels: dict[str, float], digits: int) -> str:
@@ -441,14 +441,13 @@ def gapped_scores(windows: str, key: str, motifs: tuple[str, str], match: int, m
     SELECT {key}, w, motif, 0 AS i, [0 FOR x IN range(len(w) + 1)] AS h FROM {windows}, (VALUES {rows}) AS m(motif)
     UNION ALL
     SELECT {key}, w, motif, i + 1,
-           [list_max([b[k + 1] - {gap} * (j - k) FOR k IN range(greatest(j - 3, 0), j + 1)]) FOR j IN range(len(w) + 1)]
+           [list_max([b[k + 1] - {gap} * (j - k) FOR k IN range(j + 1)]) FOR j IN range(len(w) + 1)]
     FROM (SELECT *, [CASE WHEN j = 0 THEN h[1] - {gap} ELSE greatest(h[j + 1] - {gap},
                h[j] + CASE WHEN substr(motif, i + 1, 1) IN ('N', substr(w, j, 1)) THEN {match} ELSE -{mismatch} END) END
                FOR j IN range(len(w) + 1)] AS b FROM table_row WHERE i < len(motif)))
   SELECT {key}, max(list_max(h)) AS score FROM table_row WHERE i = len(motif) GROUP BY ALL)"""
 
 
-# One gap costs at least as much as it can win over three letters here, so runs of up to three suffice.
 define("motif_semiglobal", "w AS (SELECT p_partkey, translate(md5(p_partkey || p_name), '0123456789abcdef', 'ACGTACGTACGTACGT') AS w FROM part)",
        gapped_scores("w", "p_partkey", ("GATNACA", "TGTNATC"), 3, 2, 2), select="SELECT p_partkey, score::INT AS score FROM aligned")
 define("on_target_sites", SITES, """bases AS (

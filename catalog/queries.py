@@ -15,7 +15,7 @@ from locuswave.operators import (
 )
 from locuswave.params import Params
 from locuswave.plans import calls
-from locuswave.schema import EXACT, total_of, value_names
+from locuswave.schema import mean_of, value_names
 from locuswave.session import stage
 
 N = len(src.REPS)
@@ -183,7 +183,7 @@ def price_null(spark, sf):
 def ecdf_pvalues(spark, sf):
     null = stage(nulls.null_from_histogram(peaks.peak_histogram(null_peaks(spark, sf), N)), "null")
     points = peaks.signal_peaks(difference(spark, sf), N, PARAMS.peak_window).withColumn("null_id", F.lit(src.CONTROL))
-    tested = nulls.with_p_value(points, null, total_of(N) / N, "null_id", "p")
+    tested = nulls.with_p_value(points, null, mean_of(N), "null_id", "p")
     return tested.select(conc(), "chrom", "pos", F.round("p", 12).alias("p"))
 
 
@@ -192,7 +192,7 @@ def ecdf_price_pvalues(spark, sf):
     """Order totals against the distribution of line prices: long axis, interpolated values."""
     orders = src.table(spark, sf, "orders").withColumn("null_id", F.lit("price"))
     tested = nulls.with_p_value(orders, price_null(spark, sf), F.col("o_totalprice") / 4, "null_id", "p")
-    return tested.select("o_orderkey", F.round("p", 9).alias("p"))
+    return tested.select("o_orderkey", F.round("p", 12).alias("p"))
 
 
 @query

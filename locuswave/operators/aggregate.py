@@ -12,7 +12,7 @@ from locuswave.operators.intervals import lookup
 from locuswave.operators.islands import island_best
 from locuswave.operators.ranking import ordinal, rank_from_zero_if
 from locuswave.params import Params
-from locuswave.schema import total_of, value_names
+from locuswave.schema import mean_of, total_of, value_names
 from locuswave.session import fits_broadcast, stage
 
 SITE = ["sample_group", "chrom", "pos"]
@@ -51,7 +51,7 @@ def site_tuples(grid: DataFrame, n: int) -> DataFrame:
     counts only if the site is called there and at all higher ones.
     """
     fields = [c for c in grid.columns if c not in SITE]
-    long = grid.withColumn("mean_signal", total_of(n) / F.lit(n)).withColumn("total_signal", total_of(n))
+    long = grid.withColumn("mean_signal", mean_of(n)).withColumn("total_signal", total_of(n))
     # As many entries as the sample group has concentrations.
     sites = F.array_sort(F.collect_list(F.struct("conc", *[f for f in fields if f != "conc"],
                                                  "mean_signal", "total_signal")))
@@ -127,7 +127,7 @@ def pivot_concentrations(ranked: DataFrame, concs: Sequence[int], n: int, m: int
         "closest_motif", "is_on_target", "motif_location", "motif_score", "num_subs", "num_gaps", "total_signal",
         first["background_pval"].alias("background_pval"), first["high_background"].alias("high_background"),
         added("c", m).alias("total_control_reads"), added(wide, m).alias("total_wide_control_reads"),
-        (added(wide, m) / F.lit(m)).alias("mean_wide_control_reads"),
+        (added(wide, m).cast("double") / F.lit(m)).alias("mean_wide_control_reads"),
         values("c", m).alias("control_read_vals"), values("w", m).alias("wide_control_read_vals"),
     ]
     by_conc = []

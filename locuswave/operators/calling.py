@@ -12,7 +12,7 @@ from locuswave.operators.intervals import lookup
 from locuswave.operators.nulls import with_p_value
 from locuswave.operators.ranking import ordinal, rank_from_zero_if
 from locuswave.params import Params
-from locuswave.schema import total_of, value_names
+from locuswave.schema import mean_of, total_of, value_names
 from locuswave.session import fits_broadcast, stage
 
 
@@ -41,7 +41,7 @@ def judge(points: DataFrame, evidence: Evidence, params: Params, early: bool,
     n, m = evidence.n, evidence.m
     if early:
         points = points.filter(total_of(n) >= params.min_peak_signal)
-    tested = with_p_value(points, evidence.peak_null, total_of(n) / F.lit(n), "control_grp", "test_pval")
+    tested = with_p_value(points, evidence.peak_null, mean_of(n), "control_grp", "test_pval")
     if early:
         tested = tested.filter(F.col("test_pval") <= params.test_pval_reporting_thresh)
     tested = stage(tested, "tested")
@@ -50,10 +50,12 @@ def judge(points: DataFrame, evidence: Evidence, params: Params, early: bool,
     def add(rows: DataFrame, runs: DataFrame, width: int, prefix: str, grp: str) -> DataFrame:
         return lookup(rows, runs, width, prefix, grp=grp, keys=keys, bucket=params.lookup_bucket, small=small)
 
-    noisy = add(tested, evidence.wide_sums, m, "w", "control_grp")
-    noisy = with_p_value(noisy, evidence.wide_null, total_of(m, "w") / F.lit(m), "control_grp", "background_pval")
+    # Read twice below, for the distinct values and for the rows: written once.
+    noisy = stage(add(tested, evidence.wide_sums, m, "w", "control_grp"), "noise")
+    noisy = with_p_value(noisy, evidence.wide_null, mean_of(m, "w"), "control_grp", "background_pval")
     if early and not params.include_noise_pval_fails:
         noisy = noisy.filter(F.col("background_pval") >= params.ctrl_noise_pval_calling_thresh)
+    noisy = stage(noisy, "judged")
     full = add(noisy, evidence.test_sums, n, "t", "grp")
     full = add(full, evidence.control_sums, m, "c", "control_grp")
     return full.select(
@@ -72,7 +74,7 @@ def mark_on_target(sites: DataFrame, params: Params) -> DataFrame:
 def finish_sites(sites: DataFrame, n: int, m: int, params: Params) -> DataFrame:
     """Rank, share of the highest called signal and the derived totals of reported sites."""
     names = value_names(n)
-    sites = sites.withColumn("mean_signal", total_of(n) / F.lit(n))
+    sites = sites.withColumn("mean_signal", mean_of(n))
     ordered = ordinal(
         sites, ["grp"],
         [F.desc("is_on_target"), F.desc("site_called"), F.desc("mean_signal"), F.asc("chrom"), F.asc("pos")],
@@ -97,6 +99,6 @@ def with_totals(sites: DataFrame, n: int, m: int, params: Params) -> DataFrame:
         total_of(n).alias("total_signal"),
         total_of(n, "t").alias("total_test_reads"), total_of(m, "c").alias("total_control_reads"),
         total_of(m, wide).alias("total_wide_control_reads"),
-        (total_of(m, wide) / F.lit(m)).alias("mean_wide_control_reads"),
+        mean_of(m, wide).alias("mean_wide_control_reads"),
         mean_pct.alias("mean_pct_max_peak"),
     )

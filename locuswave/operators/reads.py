@@ -72,7 +72,7 @@ def merge_replicates(counts: DataFrame, reps: Sequence[int], keys: Sequence[str]
     """
     zero = F.lit(0).cast(counts.schema[value].dataType)
     columns = [
-        F.sum(F.when(F.col(rep) == r, F.col(value)).otherwise(zero)).alias(name)
+        F.sum(F.when(F.col(rep) == r, F.col(value)).otherwise(zero)).cast(counts.schema[value].dataType).alias(name)
         for r, name in zip(reps, value_names(len(reps)))
     ]
     return counts.groupBy(*keys).agg(*columns)

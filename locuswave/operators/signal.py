@@ -97,6 +97,7 @@ def _spans(counts: DataFrame, half_width: int, contigs: DataFrame | None) -> Dat
 def _runs(spans: DataFrame, n: int, tile: int, clip: bool) -> DataFrame:
     names = value_names(n)
     part = [*KEYS, "_tile"]
+    kind = {c: spans.schema[c].dataType for c in names}  # sums of decimals must not widen
     first = F.greatest(F.expr(f"(_lo - 1) div {tile}"), F.lit(0).cast("long"))
     last = F.expr(f"_hi div {tile}")
     # Shuffled as one row per position and tile; the two steps are made on the other side.
@@ -112,17 +113,17 @@ def _runs(spans: DataFrame, n: int, tile: int, clip: bool) -> DataFrame:
         .select(*part, F.col("_step.x").alias("x"),
                 *[F.when(F.col("_step.sign") > 0, F.col(c)).otherwise(-F.col(c)).alias(c) for c in names])
         .filter(F.col("x") < right)
-        .groupBy(*part, "x").agg(*[F.sum(c).alias(c) for c in names])
+        .groupBy(*part, "x").agg(*[F.sum(c).cast(kind[c]).alias(c) for c in names])
         .filter(_any([F.col(c) != 0 for c in names]))
     )
 
     w = Window.partitionBy(*part).orderBy("x")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = steps.select(*part, "x", *[F.sum(c).over(upto).alias(c) for c in names])
+    levels = steps.select(*part, "x", *[F.sum(c).over(upto).cast(kind[c]).alias(c) for c in names])
     if clip:
         # Clipping can make neighbouring levels equal: keep a level only where it changes.
         levels = levels.select(*part, "x", *[
-            F.greatest(F.col(c), F.lit(0).cast(levels.schema[c].dataType)).alias(c) for c in names
+            F.greatest(F.col(c), F.lit(0).cast(kind[c])).alias(c) for c in names
         ])
         before = [F.lag(c, 1).over(w).alias(f"_p{c}") for c in names]
         levels = levels.select("*", *before).filter(

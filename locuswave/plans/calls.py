@@ -100,6 +100,6 @@ def without_motif(sites: DataFrame) -> DataFrame:
 def consensus_sites(reported: DataFrame, groups: DataFrame, tables: SignalTables, evidence: calling.Evidence,
                     params: Params) -> DataFrame:
     """Ranked consensus sites of all sample groups, one row per site with its sites per concentration."""
-    grid = aggregate.complete_grid(reported, groups, tables.diffs, evidence, params)
+    grid = stage(aggregate.complete_grid(reported, groups, tables.diffs, evidence, params), "grid")
     best = aggregate.consensus(aggregate.site_tuples(grid, evidence.n), params)
     return aggregate.rank_consensus(best)

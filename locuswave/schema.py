@@ -57,6 +57,10 @@ def total_of(n: int, prefix: str = "v") -> Column:
     return add_all([F.col(name) for name in value_names(n, prefix)])
 
 
+def mean_of(n: int, prefix: str = "v") -> Column:
+    return total_of(n, prefix).cast("double") / F.lit(n)
+
+
 def vectorize(df: DataFrame, n: int, prefix: str = "v", name: str = "vals") -> DataFrame:
     names = value_names(n, prefix)
     vector = F.array(*[F.col(c).cast("double") for c in names]).alias(name)

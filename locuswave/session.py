@@ -15,6 +15,8 @@ T = TypeVar("T")
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_local_roots: dict[str, str] = {}
+
 # Side tables with at most this many rows may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -46,9 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="locuswave-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="locuswave-")
+    return _local_roots[app]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
