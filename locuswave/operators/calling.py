@@ -44,14 +44,13 @@ def judge(points: DataFrame, evidence: Evidence, params: Params, early: bool,
     tested = with_p_value(points, evidence.peak_null, mean_of(n), "control_grp", "test_pval")
     if early:
         tested = tested.filter(F.col("test_pval") <= params.test_pval_reporting_thresh)
-    tested = stage(tested, "tested")
+    tested = stage(tested, "weighed")
     small = fits_broadcast(tested)
 
     def add(rows: DataFrame, runs: DataFrame, width: int, prefix: str, grp: str) -> DataFrame:
         return lookup(rows, runs, width, prefix, grp=grp, keys=keys, bucket=params.lookup_bucket, small=small)
 
-    # Read twice below, for the distinct values and for the rows: written once.
-    noisy = stage(add(tested, evidence.wide_sums, m, "w", "control_grp"), "noise")
+    noisy = add(tested, evidence.wide_sums, m, "w", "control_grp")
     noisy = with_p_value(noisy, evidence.wide_null, mean_of(m, "w"), "control_grp", "background_pval")
     if early and not params.include_noise_pval_fails:
         noisy = noisy.filter(F.col("background_pval") >= params.ctrl_noise_pval_calling_thresh)

@@ -20,7 +20,7 @@ def island_best(
     payload: Sequence[str],
     start: str = "start",
     stop: str = "stop",
-    tile: int = 65_536,
+    tile: int = 8_192,
 ) -> DataFrame:
     """One row per island: the row with the greatest ``priority`` tuple.
 

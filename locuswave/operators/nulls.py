@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuswave.session import stage
+
 STAT_DIGITS = 6
 P_DIGITS = 16
 RANGES_PER_ROOT = 64
@@ -105,9 +107,10 @@ def with_p_value(rows: DataFrame, null: DataFrame, stat: Column, null_id: str, n
     """Add the p-value of ``stat`` against the null named in column ``null_id``.
 
     Values are looked up once per distinct value; the join back is on the exact rounded value,
-    which adaptive execution may broadcast or split when a value is very frequent.
+    which adaptive execution may broadcast or split when a value is very frequent.  The rows are
+    read twice, so they are staged.
     """
-    keyed = rows.withColumn("_stat", rounded(stat))
+    keyed = stage(rows.withColumn("_stat", rounded(stat)), "tested")
     probes = keyed.select(F.col(null_id).alias("null_id"), F.col("_stat").alias("stat"))
     table = p_value_table(null, probes).select(
         F.col("null_id").alias(null_id), F.col("stat").alias("_stat"), F.col("p").alias(name))

@@ -9,7 +9,7 @@ from locuswave.operators.islands import island_best
 from locuswave.schema import total_of, value_names
 
 
-def signal_peaks(runs: DataFrame, n: int, gap: int, tile: int = 65_536) -> DataFrame:
+def signal_peaks(runs: DataFrame, n: int, gap: int, tile: int = 8_192) -> DataFrame:
     """Midpoint of the highest run of each island: ``(grp, chrom, pos, v1..vn)``.
 
     Runs closer than ``gap`` base pairs share an island; on equal totals the later run wins.

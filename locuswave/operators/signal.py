@@ -21,7 +21,7 @@ from locuswave.session import stage
 KEYS = ["grp", "chrom"]
 
 
-def window_sums(counts: DataFrame, n: int, half_width: int, tile: int = 65_536,
+def window_sums(counts: DataFrame, n: int, half_width: int, tile: int = 8_192,
                 contigs: DataFrame | None = None) -> DataFrame:
     """Runs ``(grp, chrom, start, stop, v1..vn)`` of equal, non-zero window sums.
 
@@ -31,7 +31,7 @@ def window_sums(counts: DataFrame, n: int, half_width: int, tile: int = 65_536,
 
 
 def window_diffs(test: DataFrame, control: DataFrame, n: int, half_width: int,
-                 tile: int = 65_536, contigs: DataFrame | None = None) -> DataFrame:
+                 tile: int = 8_192, contigs: DataFrame | None = None) -> DataFrame:
     """Runs of ``max(test sum - control sum, 0)``, clipped per replicate after both sums.
 
     Both inputs carry the id of the *test* group in ``grp`` (see ``fan_out_control``).
@@ -53,7 +53,7 @@ def rotate(counts: DataFrame, n: int) -> DataFrame:
     return counts.select(*others, *[F.col(s).alias(d) for s, d in zip(turned, names)])
 
 
-def self_diffs(control: DataFrame, n: int, half_width: int, tile: int = 65_536,
+def self_diffs(control: DataFrame, n: int, half_width: int, tile: int = 8_192,
                contigs: DataFrame | None = None) -> DataFrame:
     """Null signal: every control replicate corrected by the next one."""
     if n < 2:
@@ -96,7 +96,7 @@ def _spans(counts: DataFrame, half_width: int, contigs: DataFrame | None) -> Dat
 
 def _runs(spans: DataFrame, n: int, tile: int, clip: bool) -> DataFrame:
     names = value_names(n)
-    part = [*KEYS, "_tile"]
+    part = ["_tile", *KEYS]
     kind = {c: spans.schema[c].dataType for c in names}  # sums of decimals must not widen
     first = F.greatest(F.expr(f"(_lo - 1) div {tile}"), F.lit(0).cast("long"))
     last = F.expr(f"_hi div {tile}")

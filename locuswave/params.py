@@ -35,7 +35,7 @@ class Params:
     on_target_overlap: float = 0.9
 
     # Layout knobs (no influence on results).
-    tile: int = 65_536
+    tile: int = 8_192
     lookup_bucket: int = 256
 
     # Compatibility switches, see README.
