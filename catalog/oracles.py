@@ -502,5 +502,5 @@ scale AS (SELECT max(mean) AS top, greatest(1, least(floor(max(mean))::INT * 2,
 SELECT conc, least(floor(mean / (top / bins)), bins - 1)::BIGINT AS bin, round(bin * (any_value(top) / any_value(bins)), 6) AS bin_start,
        count(*)::BIGINT AS sites FROM means, scale GROUP BY 1, 2""")
 define("lane_union", select="""
-SELECT 'c' || o_custkey AS sample_id, string_agg('lane' || o_orderkey || '.fastq.gz', ',' ORDER BY 'lane' || o_orderkey || '.fastq.gz') AS files
-FROM orders GROUP BY 1""")
+SELECT 'c' || o_custkey AS sample_id, 'lane' || o_orderkey || '.fastq.gz' AS fastq_1,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY 'lane' || o_orderkey || '.fastq.gz') AS lane FROM orders""")

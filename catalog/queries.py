@@ -165,7 +165,7 @@ def event_islands(spark, sf):
         F.expr("unix_micros(cast(ts as timestamp))").alias("t"))
     best = islands.island_best(
         events, ["user_id"], gap=3_600_000_000, priority=[F.col("value"), F.col("event_id")],
-        payload=["event_id", "value"], start="t", stop="t", tile=86_400_000_000)
+        payload=["event_id", "value"], start="t", stop="t", tile=60_000_000)
     return best.select("user_id", "island_start", "island_stop", "members", "event_id", "value")
 
 
@@ -539,7 +539,7 @@ def peak_plot_histogram(spark, sf):
 
 @query
 def lane_union(spark, sf):
-    """Lanes of a sample gathered in file order."""
+    """Lanes of a sample numbered in file order."""
     o = src.table(spark, sf, "orders").select(
         F.expr("concat('c', o_custkey)").alias("sample_id"), F.expr("concat('lane', o_orderkey, '.fastq.gz')").alias("fastq_1"))
-    return groups.distinct_samples(o).select("sample_id", F.array_join("fastq_1", ",").alias("files"))
+    return groups.lanes(o)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locuswave.functions import cigar as cg
+from locuswave.session import stage
 
 
 def with_fragment_start(alignments: DataFrame) -> DataFrame:
@@ -23,15 +24,15 @@ def with_fragment_start(alignments: DataFrame) -> DataFrame:
 PLACE = ("sample_id", "chrom", "fragment_start", "is_reverse")
 
 
-def keep_best(alignments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Best alignment per key: highest mapping quality, then smallest read id.
+def keep_best(alignments: DataFrame, keys: Sequence[str], copies: str | None = None) -> DataFrame:
+    """Best alignment per key: highest mapping quality, then smallest read id; optionally its copies.
 
     An aggregation with map-side combine, so a molecule with any number of copies is no hot spot.
     """
     row = F.struct(*alignments.columns)
     order = F.struct((-F.col("mapq")).alias("q"), "read_id")
-    best = alignments.groupBy(*keys).agg(F.min_by(row, order).alias("_r"))
-    return best.select("_r.*")
+    best = alignments.groupBy(*keys).agg(F.min_by(row, order).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    return best.select("_r.*", *([F.col("_n").alias(copies)] if copies else []))
 
 
 def exact_umi(alignments: DataFrame) -> DataFrame:
@@ -44,18 +45,18 @@ def directional_umi(alignments: DataFrame) -> DataFrame:
     """One alignment per place and UMI cluster.
 
     A UMI absorbs another at Hamming distance one when it is at least twice as frequent less one.
-    Copies are counted first; only distinct UMIs with their counts, at most ``4 ** length`` per
-    place, reach the clustering step.
+    Copies of a UMI are first reduced, map-side, to the best of them and their number.  Only these
+    distinct UMIs, at most ``4 ** length`` per place, are clustered and joined.
     """
     placed = with_fragment_start(alignments.filter(cg.is_primary(F.col("flag"))))
-    copies = placed.groupBy(*PLACE, "umi").agg(F.count(F.lit(1)).alias("n"))
-    schema = ", ".join([*(f"{c} {copies.schema[c].dataType.simpleString()}" for c in PLACE),
-                        "umi string", "umi_cluster string"])
+    molecules = stage(keep_best(placed, [*PLACE, "umi"], copies="_copies"), "molecules")
     # Places with one UMI need no clustering and stay out of Python.
-    lone = copies.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("k"))
-    crowded = copies.join(lone.filter("k > 1").select(*PLACE), list(PLACE), "left_semi")
-    clusters = crowded.groupBy(*PLACE).applyInPandas(_cluster, schema)
-    labelled = placed.join(clusters, [*PLACE, "umi"], "left").withColumn(
+    crowded = molecules.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_umis")).filter("_umis > 1").select(*PLACE)
+    schema = ", ".join([*(f"{c} {molecules.schema[c].dataType.simpleString()}" for c in PLACE),
+                        "umi string", "umi_cluster string"])
+    counted = molecules.join(crowded, list(PLACE), "left_semi").select(*PLACE, "umi", F.col("_copies").alias("n"))
+    clusters = counted.groupBy(*PLACE).applyInPandas(_cluster, schema)
+    labelled = molecules.join(clusters, [*PLACE, "umi"], "left").withColumn(
         "umi_cluster", F.coalesce("umi_cluster", "umi"))
     return keep_best(labelled, [*PLACE, "umi_cluster"]).select(*alignments.columns)
 

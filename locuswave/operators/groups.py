@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuswave.operators.ranking import ordinal
+
 ERROR, WARNING = "error", "warning"
 OPTIONAL_TEXT = ("control_group", "on_target_motif", "on_target_location")
 
@@ -17,13 +19,9 @@ def with_ids(sheet: DataFrame) -> DataFrame:
         "sample_id", F.format_string("%s_%dnM_R%d", "sample_group", "concentration", "replicate"))
 
 
-def distinct_samples(sheet: DataFrame) -> DataFrame:
-    """One row per sample; lanes of the same sample are gathered in file order."""
-    files = ["fastq_1", "fastq_2"] if "fastq_2" in sheet.columns else ["fastq_1"]
-    keys = [c for c in sheet.columns if c not in files]
-    return sheet.groupBy(*keys).agg(*[
-        F.sort_array(F.collect_list(c)).alias(c) for c in files
-    ])
+def lanes(sheet: DataFrame, sample: str = "sample_id", file: str = "fastq_1") -> DataFrame:
+    """Number the lanes of every sample in file order; their reads are simply added up."""
+    return ordinal(sheet, [sample], [F.asc(file)], "lane")
 
 
 def replicate_groups(samples: DataFrame, limits: DataFrame | None = None) -> DataFrame:

@@ -10,18 +10,20 @@ def subsample(reads: DataFrame, target: int, seed: int = 100, sample: str = "sam
               read: str = "read_id") -> DataFrame:
     """The ``target`` reads of every sample with the smallest seeded hash.
 
-    Hashes are counted in 65,536 buckets first; buckets wholly inside the target are kept as they
-    are, and only the one bucket that crosses it is sorted.
+    Hashes are counted in 65,536 buckets to find, per sample, the one bucket in which the target is
+    reached.  Reads of lower buckets are kept as they are; only that bucket is sorted.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(read).cast("string")))
     keyed = reads.withColumn("_h", digest).withColumn("_b", F.substring("_h", 1, 4))
     sizes = keyed.groupBy(sample, "_b").agg(F.count(F.lit(1)).alias("_k"))
-    before = Window.partitionBy(sample).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).filter(
-        F.col("_before") < target)
-    marked = keyed.join(sizes, [sample, "_b"])
-    inside = marked.filter(F.col("_before") + F.col("_k") <= target)
-    crossing = marked.filter(F.col("_before") + F.col("_k") > target)
+    upto = Window.partitionBy(sample).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = sizes.withColumn("_upto", F.sum("_k").over(upto))
+    # One row per sample of the sheet; samples with fewer reads than the target have none.
+    edge = sizes.filter((F.col("_upto") >= target) & (F.col("_upto") - F.col("_k") < target)).select(
+        sample, F.col("_b").alias("_edge"), (F.lit(target) - F.col("_upto") + F.col("_k")).alias("_rest"))
+    marked = keyed.join(F.broadcast(edge), sample, "left")
+    inside = marked.filter(F.col("_edge").isNull() | (F.col("_b") < F.col("_edge")))
     order = Window.partitionBy(sample).orderBy("_h", read)
-    cut = crossing.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") + F.col("_before") <= target)
+    cut = marked.filter(F.col("_b") == F.col("_edge")).withColumn("_n", F.row_number().over(order)).filter(
+        F.col("_n") <= F.col("_rest"))
     return inside.select(*reads.columns).unionByName(cut.select(*reads.columns))
