@@ -45,7 +45,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("concat(l_returnflag, '_R', l_linenumber % 3 + 1)").alias("sample_id"),
         F.expr("concat(l_orderkey, '-', l_linenumber, '-', l_partkey)").alias("read_id"),
         F.expr("concat('chr', l_suppkey % 4)").alias("chrom"),
-        F.expr("l_orderkey * 7 + l_partkey % 3").alias("pos"),
+        F.expr("(l_orderkey - l_orderkey % 64) * 7 + l_partkey % 3").alias("pos"),
         F.expr(
             "cast((case when l_linestatus = 'O' then 16 else 0 end) + "
             "(case when l_partkey % 17 = 0 then 256 else 0 end) as int)"
@@ -57,7 +57,10 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
             "       10 + l_partkey % 30, 'M', l_linenumber, 'D', 2, 'I', 5, 'M',"
             "       case when l_suppkey % 5 = 0 then '3S' else '' end)"
         ).alias("cigar"),
-        F.expr("substring(md5(cast(l_partkey % 7 as string)), 1, 7)").alias("umi"),
+        F.expr(
+            "concat('ACG', substring('ACGT', cast(l_partkey % 4 + 1 as int), 1),"
+            "       substring('AC', cast(l_partkey div 4 % 2 + 1 as int), 1), 'TT')"
+        ).alias("umi"),
     )
 
 

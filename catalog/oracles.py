@@ -113,7 +113,7 @@ def survival(name: str, null: str, probes: str) -> str:
 ALN = """aln AS (
   SELECT l_returnflag || '_R' || (l_linenumber % 3 + 1) AS sample_id,
          l_orderkey || '-' || l_linenumber || '-' || l_partkey AS read_id,
-         'chr' || (l_suppkey % 4) AS chrom, l_orderkey * 7 + l_partkey % 3 AS pos,
+         'chr' || (l_suppkey % 4) AS chrom, (l_orderkey - l_orderkey % 64) * 7 + l_partkey % 3 AS pos,
          (CASE WHEN l_linestatus = 'O' THEN 16 ELSE 0 END + CASE WHEN l_partkey % 17 = 0 THEN 256 ELSE 0 END)::INT AS flag,
          l_quantity::INT AS mapq,
          CASE WHEN l_linenumber % 4 > 0 AND l_suppkey % 3 = 0 THEN (l_linenumber % 4) || 'S' ELSE '' END
@@ -123,7 +123,7 @@ ALN = """aln AS (
          10 + l_partkey % 30 + l_linenumber + 5 AS ref_length,
          CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_suppkey % 5 = 0 THEN 3 ELSE 0 END
               ELSE CASE WHEN l_suppkey % 3 = 0 THEN l_linenumber % 4 ELSE 0 END END AS start_clip,
-         substr(md5((l_partkey % 7)::VARCHAR), 1, 7) AS umi
+         'ACG' || substr('ACGT', l_partkey % 4 + 1, 1) || substr('AC', l_partkey // 4 % 2 + 1, 1) || 'TT' AS umi
   FROM lineitem)"""
 CLASSED = ALN + """,
 classed AS (
@@ -388,6 +388,29 @@ kept AS (
     PARTITION BY sample_id, chrom, flag & 16, CASE WHEN flag & 16 <> 0 THEN pos + ref_length + start_clip ELSE pos - start_clip END, umi
     ORDER BY mapq DESC, read_id) = 1)"""
 define("umi_dedup_exact", DEDUP, select="SELECT sample_id, read_id, chrom, pos, umi, mapq FROM kept")
+# A UMI belongs to the first UMI, by falling count, from which directional steps lead to it.
+define("umi_dedup_directional", ALN, """molecules AS (
+  SELECT *, CASE WHEN flag & 16 <> 0 THEN pos + ref_length + start_clip ELSE pos - start_clip END AS place,
+         flag & 16 AS strand FROM aln WHERE flag & 256 = 0),
+copies AS (SELECT sample_id, chrom, place, strand, umi, count(*) AS n FROM molecules GROUP BY ALL),
+steps AS (
+  SELECT a.sample_id, a.chrom, a.place, a.strand, a.umi AS src, b.umi AS dst
+  FROM copies a JOIN copies b USING (sample_id, chrom, place, strand)
+  WHERE hamming(a.umi, b.umi) = 1 AND a.n >= 2 * b.n - 1),
+reached AS (
+  WITH RECURSIVE walk AS (
+    SELECT sample_id, chrom, place, strand, umi AS root, umi AS at FROM copies
+    UNION
+    SELECT w.sample_id, w.chrom, w.place, w.strand, w.root, s.dst FROM walk w
+    JOIN steps s ON w.sample_id = s.sample_id AND w.chrom = s.chrom AND w.place = s.place AND w.strand = s.strand AND w.at = s.src)
+  SELECT * FROM walk),
+owned AS (
+  SELECT r.sample_id, r.chrom, r.place, r.strand, r.at AS umi, arg_min(r.root, (-c.n, r.root)) AS owner
+  FROM reached r JOIN copies c ON r.sample_id = c.sample_id AND r.chrom = c.chrom AND r.place = c.place
+    AND r.strand = c.strand AND r.root = c.umi
+  GROUP BY ALL)""", select="""
+SELECT sample_id, read_id, chrom, pos, umi FROM molecules JOIN owned USING (sample_id, chrom, place, strand, umi)
+QUALIFY row_number() OVER (PARTITION BY sample_id, chrom, place, strand, owner ORDER BY mapq DESC, read_id) = 1""")
 DEDUP_STATS = """SELECT sample_id, total_umis, total_dedup_umis, round(100.0::DOUBLE * (total_umis - total_dedup_umis) / total_umis, 6) AS pct_duplication
 FROM (SELECT {0} AS sample_id, count(*)::BIGINT AS total_umis FROM aln WHERE flag & 256 = 0 GROUP BY 1)
 JOIN (SELECT {0} AS sample_id, count(*)::BIGINT AS total_dedup_umis FROM {1} GROUP BY 1) USING (sample_id)"""

@@ -402,7 +402,7 @@ def umi_dedup_exact(spark, sf):
 
 @query
 def umi_dedup_directional(spark, sf):
-    """Clusters UMIs one substitution apart; no SQL twin (graph walk), tested by brute force."""
+    """One alignment per place and cluster of UMIs one substitution apart."""
     return dedup.directional_umi(src.alignments(spark, sf)).select("sample_id", "read_id", "chrom", "pos", "umi")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locuswave.functions import cigar as cg
 from locuswave.session import stage
@@ -50,23 +51,28 @@ def directional_umi(alignments: DataFrame) -> DataFrame:
     """
     placed = with_fragment_start(alignments.filter(cg.is_primary(F.col("flag"))))
     molecules = stage(keep_best(placed, [*PLACE, "umi"], copies="_copies"), "molecules")
-    # Places with one UMI need no clustering and stay out of Python.
-    crowded = molecules.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_umis")).filter("_umis > 1").select(*PLACE)
-    schema = ", ".join([*(f"{c} {molecules.schema[c].dataType.simpleString()}" for c in PLACE),
-                        "umi string", "umi_cluster string"])
-    counted = molecules.join(crowded, list(PLACE), "left_semi").select(*PLACE, "umi", F.col("_copies").alias("n"))
-    clusters = counted.groupBy(*PLACE).applyInPandas(_cluster, schema)
+    # At most 4 ** length entries per place; places with one UMI stay out of Python.
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("_copies")).alias("rank"), F.col("umi"))))
+    crowded = molecules.groupBy(*PLACE).agg(ranked.alias("_u")).filter(F.size("_u") > 1)
+    umis, counts = F.col("_u.umi"), F.transform("_u", lambda u: -u["rank"])
+    clusters = crowded.select(*PLACE, F.explode(F.arrays_zip(
+        umis.alias("umi"), cluster_owners(umis, counts).alias("owner"))).alias("_c"),
+    ).select(*PLACE, F.col("_c.umi").alias("umi"), F.col("_c.owner").alias("umi_cluster"))
     labelled = molecules.join(clusters, [*PLACE, "umi"], "left").withColumn(
         "umi_cluster", F.coalesce("umi_cluster", "umi"))
     return keep_best(labelled, [*PLACE, "umi_cluster"]).select(*alignments.columns)
 
 
-def _cluster(group: pd.DataFrame) -> pd.DataFrame:
-    """Label UMIs by the most frequent UMI that reaches them through directional steps."""
-    ordered = group.sort_values(["n", "umi"], ascending=[False, True])
-    counts = dict(zip(ordered["umi"], ordered["n"]))
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def cluster_owners(umis: pd.Series, counts: pd.Series) -> pd.Series:
+    return pd.Series([_owners(list(u), list(n)) for u, n in zip(umis, counts)])
+
+
+def _owners(umis: list[str], counts: list[int]) -> list[str]:
+    """For UMIs by falling count, the most frequent UMI that reaches each through directional steps."""
+    copies = dict(zip(umis, counts))
     owner: dict[str, str] = {}
-    for root in counts:
+    for root in umis:
         if root in owner:
             continue
         owner[root] = root
@@ -74,10 +80,10 @@ def _cluster(group: pd.DataFrame) -> pd.DataFrame:
         while frontier:
             umi = frontier.pop()
             for other in _neighbours(umi):
-                if other in counts and other not in owner and counts[umi] >= 2 * counts[other] - 1:
+                if other in copies and other not in owner and copies[umi] >= 2 * copies[other] - 1:
                     owner[other] = root
                     frontier.append(other)
-    return group.assign(umi_cluster=group["umi"].map(owner)).drop(columns="n")
+    return [owner[umi] for umi in umis]
 
 
 def _neighbours(umi: str):
