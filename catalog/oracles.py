@@ -321,6 +321,9 @@ define("aggregate_pivot", WIDE, select=f"""
 SELECT chrom, pos AS position, rank, round(max(background_pval), 9) AS background_pval, bool_or(high_background) AS high_background,
        max(c1 + c2 + c3)::DOUBLE AS total_control_reads, round(max(w1 + w2 + w3) / 3.0::DOUBLE, 9) AS mean_wide_control_reads, {PER_CONC}
 FROM shares GROUP BY chrom, pos, rank""")
+define("unpivot_concentrations", WIDE, select="""
+SELECT conc, chrom, pos AS position, rank, site_called, round(test_pval, 9) AS test_pval, round(mean_signal, 9) AS mean_signal
+FROM picked""")
 define("called_breakdown", WIDE, select="""
 SELECT conc, count(*) FILTER (site_called)::BIGINT AS sites_called, FALSE AS on_target_called,
        round(max(mean_signal) FILTER (site_called), 9) AS max_called_signal FROM picked GROUP BY conc""")

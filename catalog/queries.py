@@ -162,7 +162,7 @@ def event_islands(spark, sf):
     """Islands with the time axis as distance: the strongest event of each burst of a user."""
     events = src.table(spark, sf, "events").select(
         F.col("user_id"), "event_id", "value",
-        F.expr("unix_micros(cast(ts as timestamp))").alias("t"))
+        F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("t"))
     best = islands.island_best(
         events, ["user_id"], gap=3_600_000_000, priority=[F.col("value"), F.col("event_id")],
         payload=["event_id", "value"], start="t", stop="t", tile=60_000_000)
@@ -309,6 +309,14 @@ def aggregate_pivot(spark, sf):
         *[F.col(f"{c}nM_total_test_reads").cast("double").alias(f"{c}nM_total_test_reads") for c in (64, 256)]))
 
 
+@query
+def unpivot_concentrations(spark, sf):
+    """The wide table back in long form, concentrations read off the column names."""
+    wide = aggregate.pivot_concentrations(consensus(spark, sf), [64, 256], N, N, PARAMS)
+    long = aggregate.unpivot_concentrations(wide)
+    return with_floats(long.select("conc", "chrom", "position", "rank", "site_called", "test_pval", "mean_signal"))
+
+
 @query
 def called_breakdown(spark, sf):
     wide = aggregate.pivot_concentrations(consensus(spark, sf), [64, 256], N, N, PARAMS)

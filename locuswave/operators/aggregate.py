@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -154,6 +155,29 @@ def _site_at(conc: int) -> Column:
     return F.get(F.filter("sites", lambda s: s["conc"] == conc), 0)
 
 
+# Fixed value: names of per-concentration columns.
+BY_CONC = r"^(\d+)nM_(\S+)$"
+
+
+def unpivot_concentrations(wide: DataFrame) -> DataFrame:
+    """Long form of the published wide table: shared columns, ``conc`` and one column per field."""
+    found = [(c, re.match(BY_CONC, c)) for c in wide.columns]
+    fields: dict[int, dict[str, str]] = {}
+    for column, match in found:
+        if match:
+            fields.setdefault(int(match[1]), {})[match[2]] = column
+    shared = [c for c, match in found if not match]
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(conc).alias("conc"), *[F.col(column).alias(_long_name(name, shared)) for name, column in columns.items()])
+        for conc, columns in sorted(fields.items())
+    ]))
+    return wide.select(*shared, cells.alias("_cell")).select(*shared, "_cell.*")
+
+
+def _long_name(name: str, shared: Sequence[str]) -> str:
+    return f"site_{name}" if name in shared else name
+
+
 def called_breakdown(wide: DataFrame, concs: Sequence[int]) -> DataFrame:
     """Per concentration: called sites, whether the on-target is called, highest called signal."""
     long = F.explode(F.array(*[

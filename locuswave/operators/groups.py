@@ -19,6 +19,11 @@ def with_ids(sheet: DataFrame) -> DataFrame:
         "sample_id", F.format_string("%s_%dnM_R%d", "sample_group", "concentration", "replicate"))
 
 
+def controls_first(samples: DataFrame) -> DataFrame:
+    """Sample order of a run: controls, then sample groups, each by concentration and replicate."""
+    return samples.orderBy((F.col("concentration") == 0).desc(), "sample_group", "concentration", "replicate")
+
+
 def lanes(sheet: DataFrame, sample: str = "sample_id", file: str = "fastq_1") -> DataFrame:
     """Number the lanes of every sample in file order; their reads are simply added up."""
     return ordinal(sheet, [sample], [F.asc(file)], "lane")

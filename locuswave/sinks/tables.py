@@ -50,7 +50,7 @@ def as_text(df: DataFrame) -> DataFrame:
 def write_sites(sites: DataFrame, path: str, order: Sequence[str]) -> None:
     """Site table as tab-separated text in rank order; identifier and concentration are columns."""
     rows = sites.repartitionByRange(*order).sortWithinPartitions(*order)
-    as_text(rows).write.option("sep", "\t").option("header", True).csv(path)
+    as_text(rows).write.option("sep", "\t").option("header", True).option("escape", '"').csv(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

@@ -75,6 +75,23 @@ def read_histogram(spark: SparkSession, path: str, grp: str) -> DataFrame:
     return rows.select(F.lit(grp).alias("grp"), "total", "mean", "cnt")
 
 
+def read_sites(spark: SparkSession, path: str, layout: T.StructType, keys: tuple[str, ...] = ("grp", "chrom", "pos")) -> DataFrame:
+    """Site table written by ``sinks.write_sites``; vectors are JSON text in the file, never evaluated.
+
+    ``layout`` is the schema the table had.  A site listed twice is an error.
+    """
+    flat = T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.ArrayType) else f.dataType) for f in layout])
+    rows = spark.read.schema(flat).option("sep", "\t").option("header", True).option("enforceSchema", True).option(
+        "mode", "FAILFAST").option("escape", '"').csv(path)
+    vectors = [f for f in layout if isinstance(f.dataType, T.ArrayType)]
+    rows = rows.withColumns({f.name: F.from_json(F.col(f"`{f.name}`"), f.dataType) for f in vectors}) if vectors else rows
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"site listed twice: {twice[0].asDict()}")
+    return rows
+
+
 # -- reports of outside tools -------------------------------------------------------------------
 
 

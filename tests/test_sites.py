@@ -7,6 +7,7 @@ from locuswave.operators import aggregate, calling
 from locuswave.params import Params
 from locuswave.plans import calls, pipeline, report
 from locuswave.schema import ALIGNMENTS, SAMPLE_SHEET
+from locuswave.sources import tables
 from tests import brute
 from tests.conftest import rows
 
@@ -139,6 +140,8 @@ def test_whole_run_finds_the_site(spark, run):
     assert abs(top.position - cut) <= 6 and top["16nM_site_called"] and top["64nM_site_called"]
     assert top["64nM_mean_signal"] > top["16nM_mean_signal"] and top["64nM_mean_pct_max_peak"] == 100.0
     assert results[0].sites.filter("is_on_target").count() == 1
+    long = aggregate.unpivot_concentrations(results[0].sites)
+    assert long.count() == 2 * results[0].sites.count() and {"conc", "mean_signal", "site_total_signal"} <= set(long.columns)
     grid = aggregate.complete_grid(results[0].reported, results[0].groups, results[0].tables.diffs, results[0].evidence, params)
     assert aggregate.integrity_violations(grid, 2).count() == 0
     assert grid.count() == 2 * results[0].reported.select("chrom", "pos").distinct().count()
@@ -154,6 +157,11 @@ def test_published_files(spark, run, tmp_path):
     assert "<svg" in page and "Rank" in page
     written = sum(p.read_text().count("<tr>") for p in (place / "reports" / "guide" / "sites").rglob("*.txt"))
     assert written == results[0].sites.count()
+    back = tables.read_sites(spark, str(place / "sites"), results[0].sites.schema, ("sample_group", "chrom", "position"))
+    assert rows(back.select("rank", "64nM_signal_vals", "64nM_test_pval")) == rows(
+        results[0].sites.select("rank", "64nM_signal_vals", "64nM_test_pval"))
+    with pytest.raises(ValueError, match="twice"):
+        tables.read_sites(spark, str(place / "sites"), results[0].sites.schema, ("sample_group",))
     header = next((place / "sites").glob("*.csv")).read_text().splitlines()[0]
     assert "16nM_site_called" in header and "rank" in header
 
