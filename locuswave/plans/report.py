@@ -10,7 +10,7 @@ import html
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuswave.functions import display
@@ -121,12 +121,18 @@ def write_report(path: str, sample_group: str, control_group: str, on_target_mot
     document = ("<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>"
                 f"{html.escape(sample_group)}</title></head><body>{''.join(parts)}</body></html>")
     target = os.path.join(path, "report.html")
-    os.makedirs(path, exist_ok=True)
-    with open(target, "w") as out:
-        out.write(document)
+    _save(wide.sparkSession, target, document)
     return target
 
 
+def _save(spark: SparkSession, path: str, text: str) -> None:
+    """One small file on whatever file system the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
 def _section(title: str, body: str) -> str:
     return f"<section><h4>{title}</h4>{body}</section>"
 
