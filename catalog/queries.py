@@ -16,7 +16,7 @@ from locuswave.operators import (
 from locuswave.params import Params
 from locuswave.plans import calls
 from locuswave.schema import mean_of, value_names
-from locuswave.session import stage
+from locuswave.session import stage, together
 
 N = len(src.REPS)
 VALUES = value_names(N)
@@ -181,9 +181,11 @@ def price_null(spark, sf):
 
 @query
 def ecdf_pvalues(spark, sf):
-    null = stage(nulls.null_from_histogram(peaks.peak_histogram(null_peaks(spark, sf), N)), "null")
-    points = peaks.signal_peaks(difference(spark, sf), N, PARAMS.peak_window).withColumn("null_id", F.lit(src.CONTROL))
-    tested = nulls.with_p_value(points, null, mean_of(N), "null_id", "p")
+    made = together(
+        null=lambda: stage(nulls.null_from_histogram(peaks.peak_histogram(null_peaks(spark, sf), N)), "null"),
+        points=lambda: peaks.signal_peaks(difference(spark, sf), N, PARAMS.peak_window))
+    points = made["points"].withColumn("null_id", F.lit(src.CONTROL))
+    tested = nulls.with_p_value(points, made["null"], mean_of(N), "null_id", "p")
     return tested.select(conc(), "chrom", "pos", F.round("p", 12).alias("p"))
 
 
