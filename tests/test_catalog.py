@@ -5,6 +5,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 from check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -12,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given t
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
