@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from locuswave.llm import quality
+from locuswave.llm import preference, quality
 
 LLM_QUERIES = {
+    "op1_preference_pairs": preference.op1_preference_pairs,
     "op9_quality_ledger": quality.op9_quality_ledger,
 }
 
 LLM_ORACLES = {
+    "op1_preference_pairs": preference.OP1_SQL,
     "op9_quality_ledger": quality.OP9_SQL,
 }

@@ -151,7 +151,7 @@ OP9_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 win AS (
   SELECT rid, i, hash(w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS h
@@ -164,9 +164,9 @@ m AS (
   SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
-         len(lines) AS n_lines, len(list_filter(w, x -> length(x) = 1)) AS n_single,
-         len(list_filter(lines, x -> regexp_matches(x, '^\s*[-*\x{2022}]'))) AS n_bullet,
-         len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|\x{2026})\s*$'))) AS n_ellipsis,
+         len(lines) AS n_lines, len(list_filter(w, lambda x: length(x) = 1)) AS n_single,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*\x{2022}]'))) AS n_bullet,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})\s*$'))) AS n_ellipsis,
          len(list_distinct(w)) AS n_distinct
   FROM d LEFT JOIN cover ON d.rid = cover.rid),
 b AS (
