@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from locuswave.llm import decontaminate, preference, quality
+from locuswave.llm import decontaminate, licenses, preference, quality
 
 LLM_QUERIES = {
     "op1_preference_pairs": preference.op1_preference_pairs,
     "op2_template_leaks": decontaminate.op2_template_leaks,
+    "op7_license_scan": licenses.op7_license_scan,
     "op9_quality_ledger": quality.op9_quality_ledger,
 }
 
 LLM_ORACLES = {
     "op1_preference_pairs": preference.OP1_SQL,
     "op2_template_leaks": decontaminate.OP2_SQL,
+    "op7_license_scan": licenses.OP7_SQL,
     "op9_quality_ledger": quality.OP9_SQL,
 }
