@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from locuswave.llm import decontaminate, licenses, preference, quality
+from locuswave.llm import decontaminate, licenses, near_dedup, preference, quality, toxicity
 
 LLM_QUERIES = {
     "op1_preference_pairs": preference.op1_preference_pairs,
     "op2_template_leaks": decontaminate.op2_template_leaks,
+    "op3_toxicity_ftrl": toxicity.op3_toxicity_ftrl,
+    "op4_near_duplicates": near_dedup.op4_near_duplicates,
     "op7_license_scan": licenses.op7_license_scan,
     "op9_quality_ledger": quality.op9_quality_ledger,
 }

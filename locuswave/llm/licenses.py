@@ -64,30 +64,37 @@ def with_shingles(df: DataFrame) -> DataFrame:
     return df.withColumn("_h", window_hashes(F.col("_ids"), SHINGLE)).drop("_ids")
 
 
-def with_permuted(df: DataFrame) -> DataFrame:
-    """Adds ``_p``: the shingle hashes under each permutation.
-
-    The hashes are uniform, so the one nearest to a random mask (exclusive-or distance) is a uniform pick.
-    """
-    masks = [F.xxhash64(F.lit("permutation"), F.lit(k)) for k in range(BANDS * ROWS)]
-    return df.withColumn("_p", F.array(*[F.transform("_h", _xor(m)) for m in masks]))
-
-
 def _xor(mask: Column):
     return lambda x: x.bitwiseXOR(mask)
 
 
-def _bands(start: Column, size: int) -> Column:
-    """Hashes of the window's bands; size and number of the band are part of the hash."""
-    low = [F.array_min(F.slice(F.get(F.col("_p"), F.lit(k)), start + 1, size)) for k in range(BANDS * ROWS)]
+def _bands(window: Column, size: int) -> Column:
+    """Hashes of a window's bands; size and number of the band are part of the hash.
+
+    Shingle hashes are uniform, so the one nearest to a random mask (exclusive-or distance) is a uniform pick.
+    """
+    low = [F.array_min(F.transform(window, _xor(F.xxhash64(F.lit("permutation"), F.lit(k)))))
+           for k in range(BANDS * ROWS)]
     return F.array(*[F.xxhash64(F.lit(size), F.lit(b), *low[b * ROWS:(b + 1) * ROWS]) for b in range(BANDS)])
 
 
-def _windows(size: int, step: int, when: Column) -> Column:
-    places = F.sequence(F.lit(0), F.size("_h") - size, F.lit(step))
-    return F.when(when & (F.size("_h") >= size), F.transform(
-        places, lambda i: F.struct(i.alias("at"), _bands(i, size).alias("bands")))).otherwise(
-            F.array().cast("array<struct<at:int,bands:array<bigint>>>"))
+def _windows(size: int, step: int, places: Column | None = None) -> Column:
+    """Windows of ``size`` shingles with their bands; with ``places``, those that hold one of the places.
+
+    ``near`` are the shingles from three window sizes ahead to three behind: any license text that uses this
+    size lies within.
+    """
+    starts = F.sequence(F.lit(0), F.size("_h") - size, F.lit(step))
+    if places is not None:
+        starts = F.filter(starts, lambda i: F.exists(places, lambda p: (p >= i) & (p < i + size)))
+
+    def window(i: Column) -> Column:
+        begin = F.greatest(F.lit(0), i - 3 * size)
+        return F.struct(i.alias("at"), _bands(F.slice("_h", i + 1, size), size).alias("bands"), begin.alias("begin"),
+                        F.slice("_h", begin + 1, i - begin + 4 * size).alias("near"))
+
+    return F.when(F.size("_h") >= size, F.transform(starts, window)).otherwise(
+        F.array().cast("array<struct<at:int,bands:array<bigint>,begin:int,near:array<bigint>>>"))
 
 
 def license_table(spark: SparkSession, licenses: list[tuple[str, str]]) -> DataFrame:
@@ -103,28 +110,29 @@ def scan(docs: DataFrame, licenses: list[tuple[str, str]] = LICENSES) -> DataFra
     longest = texts.agg(F.max(F.size("_h"))).first()[0] or 1
     sizes = [1 << k for k in range(longest.bit_length())]
     # The texts are constants of the program: their windows and shingles are a bounded side.
-    own = F.lit(2).cast("double") ** F.floor(F.log2(F.size("_h")))
-    known = with_permuted(texts).select("text_id", F.explode_outer(F.concat(*[
-        _windows(z, 1, own == z) for z in sizes])).alias("w"))
-    known = stage(known.select("text_id", F.col("w.at").alias("text_at"), F.explode_outer("w.bands").alias("band")),
-                  "license-bands")
-    used = [r[0] for r in texts.select(own.cast("int")).distinct().collect()]
+    size = F.size("_h")
+    own = F.lit(2).cast("double") ** F.floor(F.log2(size))
+    none = F.array().cast("array<struct<at:int,bands:array<bigint>,begin:int,near:array<bigint>>>")
+    known = texts.select("text_id", "license", F.col("_h").alias("t_h"), F.explode_outer(F.concat(*[
+        F.when(own == z, _windows(z, 1)).otherwise(none) for z in sizes])).alias("w"))
+    known = stage(known.select("text_id", "license", "t_h", F.col("w.at").alias("text_at"),
+                               F.explode_outer("w.bands").alias("band")), "license-bands")
+    used = sorted(r[0] for r in texts.select(own.cast("int")).distinct().collect())
     all_shingles = F.lit([x for r in texts.select("_h").collect() for x in r[0]]).cast("array<bigint>")
-    # A window without any license shingle can share no band, so documents without one need no windows.
-    some = F.arrays_overlap(F.col("_h"), all_shingles)
-    seen = with_permuted(with_shingles(docs.select("doc_id", "text"))).select("doc_id", F.explode_outer(F.concat(*[
-        _windows(z, max(1, z // 4), some) for z in sorted(used)])).alias("w"))
-    seen = seen.select("doc_id", F.col("w.at").alias("at"), F.explode_outer("w.bands").alias("band"))
-    places = stage(seen.join(F.broadcast(known), "band")
-                   .select("doc_id", "text_id", (F.col("at") - F.col("text_at")).alias("shift")).distinct(),
-                   "license-places")
-    held = with_shingles(docs.select("doc_id", "text"))
-    size = F.size("t_h")
-    slack = F.greatest(F.lit(1), F.floor(size / 4)).cast("int")
-    begin = F.greatest(F.lit(0), F.col("shift") - slack)
-    region = F.slice(F.col("_h"), begin + 1, F.greatest(F.lit(0), F.col("shift") + size + slack - begin))
-    checked = (places.join(held, places["doc_id"].eqNullSafe(held["doc_id"])).drop(held["doc_id"])
-               .join(F.broadcast(texts.withColumnRenamed("_h", "t_h")), "text_id")
+    # A window without any license shingle can share no band: only windows around such shingles are cut.
+    seen = with_shingles(docs.select("doc_id", "text")).withColumn("_shared", F.array_intersect("_h", all_shingles))
+    seen = seen.withColumn("_places", F.when(F.size("_shared") > 0, F.filter(
+        F.sequence(F.lit(0), size - 1), lambda i: F.array_contains(F.col("_shared"), F.get(F.col("_h"), i)))))
+    seen = seen.select("doc_id", F.explode_outer(F.when(F.size("_places") > 0, F.concat(*[
+        _windows(z, max(1, z // 4), F.col("_places")) for z in used])).otherwise(none)).alias("w"))
+    seen = seen.select("doc_id", F.col("w.at").alias("at"), F.col("w.begin").alias("begin"),
+                       F.col("w.near").alias("near"), F.explode_outer("w.bands").alias("band"))
+    shift = F.col("at") - F.col("text_at")
+    length = F.size("t_h")
+    slack = F.greatest(F.lit(1), F.floor(length / 4)).cast("int")
+    first = F.greatest(F.lit(0), shift - slack - F.col("begin"))
+    region = F.slice(F.col("near"), first + 1, F.greatest(F.lit(0), shift + length + slack - F.col("begin") - first))
+    checked = (seen.join(F.broadcast(known), "band")
                .select("doc_id", "license", F.size(F.array_intersect("t_h", region)).alias("matched"),
                        F.size(F.array_distinct("t_h")).alias("n_shingles"))
                .filter(F.col("matched") >= MIN_CONTAINMENT * F.col("n_shingles")))
