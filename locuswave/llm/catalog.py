@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from locuswave.llm import decontaminate, langid, licenses, near_dedup, preference, quality, toxicity
+from locuswave.llm import decontaminate, langid, licenses, near_dedup, packing, preference, quality, toxicity
 
 LLM_QUERIES = {
     "op1_preference_pairs": preference.op1_preference_pairs,
     "op2_template_leaks": decontaminate.op2_template_leaks,
     "op3_toxicity_ftrl": toxicity.op3_toxicity_ftrl,
     "op4_near_duplicates": near_dedup.op4_near_duplicates,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_string_kernel_language": langid.op8_string_kernel_language,
     "op9_quality_ledger": quality.op9_quality_ledger,
