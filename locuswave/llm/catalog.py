@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from locuswave.llm import decontaminate, langid, licenses, near_dedup, packing, preference, quality, toxicity
+from locuswave.llm import decontaminate, langid, licenses, near_dedup, packing, pii, preference, quality, toxicity
 
 LLM_QUERIES = {
     "op1_preference_pairs": preference.op1_preference_pairs,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op3_toxicity_ftrl": toxicity.op3_toxicity_ftrl,
     "op4_near_duplicates": near_dedup.op4_near_duplicates,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op10_bilstm_crf_pii": pii.op10_bilstm_crf_pii,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_string_kernel_language": langid.op8_string_kernel_language,
     "op9_quality_ledger": quality.op9_quality_ledger,
