@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from locuswave.llm import decontaminate, langid, licenses, near_dedup, packing, pii, preference, quality, toxicity
+import corpus_pipeline
+from locuswave.llm import decontaminate, langid, licenses, near_dedup, packing, pii, preference, quality, token_files, toxicity
 
 LLM_QUERIES = {
     "op1_preference_pairs": preference.op1_preference_pairs,
@@ -10,10 +11,12 @@ LLM_QUERIES = {
     "op3_toxicity_ftrl": toxicity.op3_toxicity_ftrl,
     "op4_near_duplicates": near_dedup.op4_near_duplicates,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_mixed_range_files": token_files.op6_mixed_range_files,
     "op10_bilstm_crf_pii": pii.op10_bilstm_crf_pii,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_string_kernel_language": langid.op8_string_kernel_language,
     "op9_quality_ledger": quality.op9_quality_ledger,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES = {
@@ -22,3 +25,6 @@ LLM_ORACLES = {
     "op7_license_scan": licenses.OP7_SQL,
     "op9_quality_ledger": quality.OP9_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

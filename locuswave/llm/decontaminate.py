@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuswave.llm.common import table, window_hashes
-from locuswave.session import stage
+from locuswave.session import bounded_side, stage
 
 WINDOW = 8
 MIN_LITERALS = 4
@@ -113,7 +113,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no leaked item; rows without doc_id stay unless such a row holds one."""
-    hit = leaks(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
+    hit = stage(leaks(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct(), "leaked")
+    hit = bounded_side(hit, BROADCAST_WINDOWS)
     return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti")
 
 

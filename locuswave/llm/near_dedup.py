@@ -286,5 +286,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
+def drop_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each group stays, the one with the smallest id; rows without an id stay, too."""
+    gone = stage(near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    return docs.join(bounded_side(gone, BROADCAST_IDS), docs["doc_id"] == F.col("_gone"), "left_anti")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

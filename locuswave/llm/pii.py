@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from locuswave.llm import pii_model
 from locuswave.llm.common import table
@@ -247,8 +248,8 @@ def find(docs: DataFrame, clean: bool = False) -> DataFrame:
                                  for raw, t, s in zip(frame["text"], texts, every)]
             yield frame if clean else frame.drop(columns="text")
 
-    schema = docs.schema if clean else docs.drop("text").schema
-    return docs.mapInPandas(run, schema.add("_base", "string").add("_spans", "string"))
+    fields = [f for f in docs.schema.fields if clean or f.name != "text"]
+    return docs.mapInPandas(run, T.StructType(fields).add("_base", "string").add("_spans", "string"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
