@@ -4,16 +4,17 @@ A document's set holds the 64-bit hashes of its distinct four-word shingles; two
 sets have a Jaccard similarity of 0.8 or more, which is always confirmed on the full sets.
 
 * Documents with equal sets are one class, found by grouping; its smallest id stands for all of them.
-* Every class is put into ``TREES`` orders.  An order sorts by another rotation of the 64 minima; neighbours there
+* Every class is put into ``TREES`` orders.  An order sorts by another rotation of 64 minima; neighbours there
   that share at least ``MIN_DEPTH`` leading minima are candidates.  Each class verifies its most similar
   smaller neighbour, which joins a group of copies of any size by about one check each.
+* The other neighbours are checked next, as far as they lie in different components.
 * Then every region (equal leading minima in one order) that still holds several components is searched for links
-  between them.  Regions of more than ``REGION`` members are split at their next minimum, as deep as needed;
+  between them: first the most similar members of other components for each class, then all that is left.  Regions of more than ``REGION`` members are split at their next minimum, as deep as needed;
   those that stay large are compared block by block, so no task holds more than two blocks.
 
 At a similarity of 0.8 two classes share a region of depth three with probability 1 - (1 - 0.8 ** 3) ** 16 = 0.99999;
-pairs above count more.  Only pairs whose minima agree in ``MIN_AGREE`` of 64 places are verified; a pair of
-similarity 0.8 falls below that with probability of about one in a million.
+pairs above count more.  Only pairs whose minima agree in ``MIN_AGREE`` of 128 places are verified; a pair of
+similarity 0.8 falls below that with probability of less than one in a million.
 
 Defined cases: a text without words (or NULL) has the empty set and is linked with nothing; fewer than four words
 make one shingle.  Rows with a NULL doc_id are linked with nothing, have a NULL component and are kept.  Rows that
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuswave.llm.common import table
@@ -35,9 +36,11 @@ from locuswave.llm.components import components
 from locuswave.session import bounded_side, stage
 
 SHINGLE = 4
-MINIMA, TREES, MIN_DEPTH, MAX_DEPTH = 64, 16, 3, 16
-MIN_AGREE = 36
+# The trees are rotations of the first half of the minima.
+MINIMA, IN_TREES, TREES, MIN_DEPTH, MAX_DEPTH = 128, 64, 16, 3, 16
+MIN_AGREE = 80
 REGION = 256
+NEAREST = 3
 SHARE_NUM, SHARE_DEN = 80, 100
 # Ids of candidate documents up to this number are sent to all executors (8 bytes each); more are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -105,7 +108,7 @@ def _sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, sig (the 64 minima); the last two NULL for empty sets."""
+    """doc_id, n_shingles, digest of the set, sig (the minima); the last two NULL for empty sets."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
         _sign, "doc_id long, n_shingles long, digest binary, sig binary")
 
@@ -143,9 +146,10 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         _confirm, "a long, b long").distinct()
 
 
-def _rotated(tree: Column | str, n: int | Column) -> Column:
+def _rotated(n: int) -> Column:
     """The first ``n`` minima in the order of a tree."""
-    return F.expr(f"substring(concat(sig, sig), {MINIMA // TREES * 4} * tree + 1, 4 * ({n}))")
+    half = f"substring(sig, 1, {4 * IN_TREES})"
+    return F.expr(f"substring(concat({half}, {half}), {IN_TREES // TREES * 4} * tree + 1, 4 * ({n}))")
 
 
 def _in_trees(classes: DataFrame) -> DataFrame:
@@ -186,7 +190,7 @@ def neighbour_pairs(classes: DataFrame) -> DataFrame:
 
     brief = F.expr("concat(" + ", ".join(f"substring(sig, {4 * k + 4}, 1)" for k in range(MINIMA)) + ")")
     rows = _in_trees(classes).select(
-        "tree", _rotated("tree", 8).alias("key"), "class_id", brief.alias("brief"))
+        "tree", _rotated(8).alias("key"), "class_id", brief.alias("brief"))
     # Ranges of the sorted order: no region, however large, is one task.
     rows = rows.repartitionByRange("tree", "key", "class_id").sortWithinPartitions("tree", "key", "class_id")
     found = stage(rows.mapInPandas(
@@ -201,20 +205,37 @@ def neighbour_pairs(classes: DataFrame) -> DataFrame:
     return found.filter("end < 0").select("a", "b", "agree").unionByName(across).filter(F.col("agree") >= MIN_AGREE)
 
 
-def _crossing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of classes of different components within each cell of rows sorted by (region, cell)."""
+# The first MAX_DEPTH minima of each tree.
+_LEADING = (np.arange(TREES)[:, None] * (IN_TREES // TREES) + np.arange(MAX_DEPTH)) % IN_TREES
+
+
+def _crossing(nearest: bool, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of classes of different components within each cell of rows sorted by (region, cell).
+
+    With ``nearest``, a class is paired with the ``NEAREST`` most similar members of other components only.
+    """
 
     def pairs(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates("class_id")
+        cell = cell.drop_duplicates("class_id").sort_values("component", kind="stable")
         sig = np.frombuffer(b"".join(cell["sig"]), ">u4").reshape(len(cell), MINIMA)
         ids, comp = cell["class_id"].to_numpy(np.int64), cell["component"].to_numpy(np.int64)
         block, one = cell["block"].to_numpy(np.int64), cell["lo"].iloc[0] == cell["hi"].iloc[0]
+        tree, depths = int(cell["tree"].iloc[0]), np.stack([np.asarray(d, np.int64) for d in cell["depths"]])
         out = []
         for k in range(len(ids) - 1):
             other = np.flatnonzero((comp[k + 1:] != comp[k]) & (one | (block[k + 1:] != block[k]))) + k + 1
+            if not len(other):
+                continue
+            agree = (sig[other] == sig[k]).sum(axis=1)
+            other, agree = other[agree >= MIN_AGREE], agree[agree >= MIN_AGREE]
+            # A pair that shares regions of several trees is found in the first of them.
+            common = np.cumprod((sig[other] == sig[k])[:, _LEADING], axis=2).sum(axis=2)
+            here = (common >= depths[k]).argmax(axis=1) == tree
+            other, agree = other[here], agree[here]
+            if nearest and len(other):
+                other = other[np.argsort(-agree, kind="stable")[:NEAREST]]
             if len(other):
-                hit = other[(sig[other] == sig[k]).sum(axis=1) >= MIN_AGREE]
-                out.append(np.stack([np.minimum(ids[k], ids[hit]), np.maximum(ids[k], ids[hit])], axis=1))
+                out.append(np.stack([np.minimum(ids[k], ids[other]), np.maximum(ids[k], ids[other])], axis=1))
         found = np.concatenate(out) if out else np.empty((0, 2), np.int64)
         return pd.DataFrame(found, columns=["a", "b"])
 
@@ -229,36 +250,54 @@ def _crossing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pairs(rest)
 
 
-def crossing_pairs(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs between different components that share a region."""
-    named = classes.join(labels, classes["class_id"] == labels["node"], "left").select(
-        "class_id", "sig", F.coalesce("component", "class_id").alias("component"))
-    depth, done, now = MIN_DEPTH, [], _in_trees(stage(named, "named-classes"))
+def _named(rows: DataFrame, labels: DataFrame, by: str = "class_id", name: str = "component") -> DataFrame:
+    """Adds the component of a class; a class without a label is its own."""
+    own = labels.select(F.col("node").alias(by), F.col("component").alias("_label"))
+    return rows.join(own, by, "left").withColumn(name, F.coalesce("_label", by)).drop("_label")
+
+
+def mixed_cells(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """region, lo, hi, block, tree, class_id, sig, depths: the members of regions with several components, in bounded cells.
+
+    Regions are counted over ids alone; the minima are joined to the members of mixed regions afterwards.
+    """
+    named = stage(_named(classes.select("class_id", "sig"), labels), "named-classes")
+    depth, done, now = MIN_DEPTH, [], _in_trees(named)
     while True:
-        region = F.xxhash64(F.lit(depth), F.col("tree"), _rotated("tree", depth))
-        now = now.withColumn("region", region)
-        mixed = (now.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"),
-                                           F.max("component").alias("c1")).filter("c0 <> c1").select("region", "members"))
-        mixed = stage(mixed, "mixed-regions")
-        largest = mixed.agg(F.max("members")).first()[0] or 0
-        members = now.drop("members").join(mixed, "region")
-        if largest <= REGION or depth == MAX_DEPTH:
-            done.append(members)
+        keys = now.select("class_id", "component", "tree",
+                          F.xxhash64(F.lit(depth), F.col("tree"), _rotated(depth)).alias("region"))
+        mixed = (keys.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"),
+                                            F.max("component").alias("c1")).filter("c0 <> c1").select("region", "members"))
+        members = stage(keys.join(stage(mixed, "mixed-regions"), "region").withColumn("depth", F.lit(depth)),
+                        "mixed-members")
+        deeper = depth < MAX_DEPTH and bool(members.filter(F.col("members") > REGION).limit(1).count())
+        done.append(members.filter(F.col("members") <= REGION) if deeper else members)
+        if not deeper:
             break
-        members = stage(members, "mixed-members")
-        done.append(members.filter(F.col("members") <= REGION))
-        now, depth = members.filter(F.col("members") > REGION), depth + 1
+        now = members.filter(F.col("members") > REGION).select("class_id", "component", "tree").join(
+            named.select("class_id", "sig"), "class_id")
+        depth += 1
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)
+    # How deep the region of a class is in each tree; out of reach where it is in none.
+    held = F.map_from_entries(F.collect_list(F.struct("tree", "depth")))
+    depths = rows.groupBy("class_id").agg(held.alias("m")).select("class_id", F.transform(
+        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("m", t), F.lit(MAX_DEPTH + 1))
+    ).alias("depths"))
     blocks = F.ceil(F.col("members") / REGION).cast("int")
     rows = (rows.withColumn("blocks", blocks)
             .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("region", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                    "block", "class_id", "component", "sig"))
-    return (rows.repartition("region", "lo", "hi").sortWithinPartitions("region", "lo", "hi")
-            .mapInPandas(_crossing, "a long, b long").distinct())
+                    "block", "tree", "class_id"))
+    return rows.join(named.select("class_id", "sig").join(depths, "class_id"), "class_id")
+
+
+def crossing_pairs(cells: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
+    """Candidate pairs between different components that share a cell."""
+    return (_named(cells, labels).repartition("region", "lo", "hi").sortWithinPartitions("region", "lo", "hi")
+            .mapInPandas(lambda frames: _crossing(nearest, frames), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -266,13 +305,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stage(signatures(docs), "signatures")
     classes = stage(signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest", "sig")
                     .agg(F.min("doc_id").alias("class_id")), "classes")
-    # Each class checks its most similar smaller neighbour first.
-    best = (neighbour_pairs(classes).groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("n"))).alias("m"))
+    near = stage(neighbour_pairs(classes).distinct(), "neighbour-pairs")
+    # Each class checks its most similar smaller neighbour first, then those in other components.
+    best = (near.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("n"))).alias("m"))
             .select((-F.col("m.n")).alias("a"), "b"))
-    links = stage(confirm(stage(best, "best-neighbours"), docs), "links-near")
+    links = stage(confirm(stage(best, "best-neighbours"), docs), "links-best")
+    labels = components(links)
+    rest = _named(_named(near, labels, "a", "ca"), labels, "b", "cb").filter("ca <> cb")
+    links = links.unionByName(stage(confirm(stage(rest.select("a", "b"), "other-neighbours"), docs), "links-near"))
     labels = components(links)
-    crossing = stage(crossing_pairs(classes, labels), "crossing-pairs")
-    links = links.unionByName(confirm(crossing, docs))
+    cells = stage(mixed_cells(classes, labels), "mixed-cells")
+    near = near.select("a", "b")
+    more = stage(crossing_pairs(cells, labels, nearest=True).join(near, ["a", "b"], "left_anti"), "nearest-pairs")
+    links = links.unionByName(stage(confirm(more, docs), "links-nearest"))
+    left = crossing_pairs(cells, components(links), nearest=False).join(
+        near.unionByName(more), ["a", "b"], "left_anti")
+    links = links.unionByName(confirm(stage(left, "left-pairs"), docs))
     # Rows that repeat an id link the classes of their texts.
     again = (signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest").distinct()
              .join(classes.select("digest", "class_id"), "digest")
