@@ -80,7 +80,10 @@ def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.
 
 
 def _fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sample = pd.concat(list(frames), ignore_index=True).sort_values(["place", "lang", "text"], kind="stable")
+    parts = list(frames)
+    if not parts:
+        return
+    sample = pd.concat(parts, ignore_index=True).sort_values(["place", "lang", "text"], kind="stable")
     if len(sample):
         yield pd.DataFrame({"model": [pickle.dumps(fit(list(sample["text"]), list(sample["lang"])))]})
 

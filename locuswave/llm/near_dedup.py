@@ -9,8 +9,9 @@ sets have a Jaccard similarity of 0.8 or more, which is always confirmed on the
   smaller neighbour, which joins a group of copies of any size by about one check each.
 * The other neighbours are checked next, as far as they lie in different components.
 * Then every region (equal leading minima in one order) that still holds several components is searched for links
-  between them: first the most similar members of other components for each class, then all that is left.  Regions of more than ``REGION`` members are split at their next minimum, as deep as needed;
-  those that stay large are compared block by block, so no task holds more than two blocks.
+  between them: first the most similar members of other components for each class, then all that is left.  Regions of more than ``REGION`` members are split at their next minimum, to a depth
+  at which no more than 2 in 10,000 links could be lost; those that stay large are compared block by block, so no
+  task holds more than two blocks.
 
 At a similarity of 0.8 two classes share a region of depth three with probability 1 - (1 - 0.8 ** 3) ** 16 = 0.99999;
 pairs above count more.  Only pairs whose minima agree in ``MIN_AGREE`` of 128 places are verified; a pair of
@@ -37,7 +38,7 @@ from locuswave.session import bounded_side, stage
 
 SHINGLE = 4
 # The trees are rotations of the first half of the minima.
-MINIMA, IN_TREES, TREES, MIN_DEPTH, MAX_DEPTH = 128, 64, 16, 3, 16
+MINIMA, IN_TREES, TREES, MIN_DEPTH, MAX_DEPTH = 128, 64, 16, 3, 4
 MIN_AGREE = 80
 REGION = 256
 NEAREST = 3
@@ -216,7 +217,7 @@ def _crossing(nearest: bool, frames: Iterator[pd.DataFrame]) -> Iterator[pd.Data
     """
 
     def pairs(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates("class_id").sort_values("component", kind="stable")
+        cell = cell.drop_duplicates(["class_id", "own"]).sort_values("component", kind="stable")
         sig = np.frombuffer(b"".join(cell["sig"]), ">u4").reshape(len(cell), MINIMA)
         ids, comp = cell["class_id"].to_numpy(np.int64), cell["component"].to_numpy(np.int64)
         block, one = cell["block"].to_numpy(np.int64), cell["lo"].iloc[0] == cell["hi"].iloc[0]
@@ -261,10 +262,12 @@ def mixed_cells(classes: DataFrame, labels: DataFrame) -> DataFrame:
 
     Regions are counted over ids alone; the minima are joined to the members of mixed regions afterwards.
     """
-    named = stage(_named(classes.select("class_id", "sig"), labels), "named-classes")
+    # An id that is repeated with other texts stands for several classes; their minima tell them apart.
+    named = _named(classes.select("class_id", "sig", F.xxhash64("sig").alias("own")), labels)
+    named = stage(named, "named-classes")
     depth, done, now = MIN_DEPTH, [], _in_trees(named)
     while True:
-        keys = now.select("class_id", "component", "tree",
+        keys = now.select("class_id", "own", "component", "tree",
                           F.xxhash64(F.lit(depth), F.col("tree"), _rotated(depth)).alias("region"))
         mixed = (keys.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"),
                                             F.max("component").alias("c1")).filter("c0 <> c1").select("region", "members"))
@@ -274,24 +277,24 @@ def mixed_cells(classes: DataFrame, labels: DataFrame) -> DataFrame:
         done.append(members.filter(F.col("members") <= REGION) if deeper else members)
         if not deeper:
             break
-        now = members.filter(F.col("members") > REGION).select("class_id", "component", "tree").join(
-            named.select("class_id", "sig"), "class_id")
+        now = members.filter(F.col("members") > REGION).select("class_id", "own", "component", "tree").join(
+            named.select("class_id", "own", "sig"), ["class_id", "own"])
         depth += 1
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)
     # How deep the region of a class is in each tree; out of reach where it is in none.
     held = F.map_from_entries(F.collect_list(F.struct("tree", "depth")))
-    depths = rows.groupBy("class_id").agg(held.alias("m")).select("class_id", F.transform(
+    depths = rows.groupBy("class_id", "own").agg(held.alias("m")).select("class_id", "own", F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("m", t), F.lit(MAX_DEPTH + 1))
     ).alias("depths"))
     blocks = F.ceil(F.col("members") / REGION).cast("int")
     rows = (rows.withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("class_id", "own"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("region", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                    "block", "tree", "class_id"))
-    return rows.join(named.select("class_id", "sig").join(depths, "class_id"), "class_id")
+                    "block", "tree", "class_id", "own"))
+    return rows.join(named.select("class_id", "own", "sig").join(depths, ["class_id", "own"]), ["class_id", "own"])
 
 
 def crossing_pairs(cells: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:

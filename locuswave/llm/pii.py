@@ -205,14 +205,19 @@ def fit(texts: list[str]) -> dict | None:
 
 
 def _fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sample = pd.concat(list(frames), ignore_index=True).sort_values(["place", "text"], kind="stable")
+    parts = list(frames)
+    if not parts:
+        return
+    sample = pd.concat(parts, ignore_index=True).sort_values(["place", "text"], kind="stable")
     yield pd.DataFrame({"model": [pickle.dumps(fit(list(sample["text"])))]})
 
 
 def train(docs: DataFrame) -> bytes:
     """The model, fitted in one task on at most ``TRAIN_DOCS`` texts; its size is fixed."""
-    sample = (docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("place"))
-              .orderBy("place", "text").limit(TRAIN_DOCS))
+    marked = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("place"))
+    # Only hashes are sorted; the texts at or below the last of them are then read.
+    last = marked.select("place").distinct().orderBy("place").limit(TRAIN_DOCS).agg(F.max("place")).first()[0]
+    sample = marked.filter(F.col("place") <= last).dropDuplicates(["place"]) if last is not None else marked.limit(0)
     found = sample.coalesce(1).mapInPandas(_fit, "model binary").collect()
     return found[0]["model"] if found else pickle.dumps(None)
 

@@ -177,12 +177,12 @@ def encode(ids: np.ndarray) -> bytes:
         model.learn(now)
     used = streams.finish()
     raw = np.ascontiguousarray(ids.astype("<u4"))
-    sums = [zlib.crc32(raw[k * length:(k + 1) * length].tobytes()) for k in range(count)]
+    coded = [w[:a].astype("<u2").tobytes() for w, a in zip(words, used)]
+    sums = [zlib.crc32(c, zlib.crc32(raw[k * length:(k + 1) * length].tobytes())) for k, c in enumerate(coded)]
     table = zlib.compress(np.diff(values, prepend=0).astype("<u4").tobytes() + counts.astype("<u4").tobytes(), 1)
     head = struct.pack("<QIII", n, length, len(values), len(table)) + table
-    body = b"".join(w[:a].astype("<u2").tobytes() for w, a in zip(words, used))
     sizes = used.astype("<u4").tobytes() + np.array(sums, "<u4").tobytes()
-    return MAGIC + struct.pack("<I", zlib.crc32(head)) + head + sizes + body
+    return MAGIC + struct.pack("<I", zlib.crc32(head)) + head + sizes + b"".join(coded)
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -218,6 +218,7 @@ def decode(data: bytes) -> np.ndarray:
         model.learn(now)
     ids = values[grid.T.reshape(-1)[:n]].astype("<u4")
     for k in range(count):
-        if zlib.crc32(ids[k * length:(k + 1) * length].tobytes()) != sums[k]:
+        crc = zlib.crc32(words[k, :sizes[k]].astype("<u2").tobytes(), zlib.crc32(ids[k * length:(k + 1) * length].tobytes()))
+        if crc != sums[k]:
             raise ValueError(f"damaged block {k}")
     return ids

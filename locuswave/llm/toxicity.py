@@ -81,7 +81,10 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sample = pd.concat(list(frames), ignore_index=True).sort_values(["place", "toxic"], kind="stable")
+    parts = list(frames)
+    if not parts:
+        return
+    sample = pd.concat(parts, ignore_index=True).sort_values(["place", "toxic"], kind="stable")
     bias = np.array([1 << BITS], np.int32)
     rows = [(np.concatenate([np.frombuffer(f, np.int32), bias]), int(y))
             for f, y in zip(sample["features"], sample["toxic"])]
@@ -107,8 +110,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Dat
     return found.coalesce(1).mapInPandas(_fit, "place long, weight double")
 
 
-def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """The given rows and ``score``, the probability of label 1."""
+def score(docs: DataFrame, weights: DataFrame, name: str = "score") -> DataFrame:
+    """The given columns but text, and the probability of label 1 as ``name``."""
     found = weights.toPandas()  # at most 2 ** BITS + 1 rows
     shared = docs.sparkSession.sparkContext.broadcast(
         (found["place"].to_numpy(np.int64), found["weight"].to_numpy(np.float64)))
@@ -124,10 +127,10 @@ def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
                 at = features(text, known)
                 at = np.unique(at[dense[at] != 0])
                 out.append(1.0 / (1.0 + np.exp(-np.clip(dense[at].sum() + bias, -35, 35))) if len(places) else 0.0)
-            yield frame.assign(score=np.array(out, np.float64)).drop(columns="text")
+            yield frame.assign(**{name: np.array(out, np.float64)}).drop(columns="text")
 
     rest = docs.drop("text").schema
-    return docs.mapInPandas(run, rest.add("score", "double"))
+    return docs.mapInPandas(run, rest.add(name, "double"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -141,7 +144,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic; columns stay as they are."""
     rows = docs.withColumn("_text", F.col("text"))
-    kept = score(rows, train(docs, labels)).filter(F.col("score") < THRESHOLD)
+    kept = score(rows, train(docs, labels), "_toxic").filter(F.col("_toxic") < THRESHOLD)
     return kept.withColumnRenamed("_text", "text").select(docs.columns)
 
 
