@@ -413,7 +413,8 @@ owned AS (
     AND r.strand = c.strand AND r.root = c.umi
   GROUP BY ALL)""", select="""
 SELECT sample_id, read_id, chrom, pos, umi FROM molecules JOIN owned USING (sample_id, chrom, place, strand, umi)
-QUALIFY row_number() OVER (PARTITION BY sample_id, chrom, place, strand, owner ORDER BY mapq DESC, read_id) = 1""")
+WHERE umi = owner
+QUALIFY row_number() OVER (PARTITION BY sample_id, chrom, place, strand, umi ORDER BY mapq DESC, read_id) = 1""")
 DEDUP_STATS = """SELECT sample_id, total_umis, total_dedup_umis, round(100.0::DOUBLE * (total_umis - total_dedup_umis) / total_umis, 6) AS pct_duplication
 FROM (SELECT {0} AS sample_id, count(*)::BIGINT AS total_umis FROM aln WHERE flag & 256 = 0 GROUP BY 1)
 JOIN (SELECT {0} AS sample_id, count(*)::BIGINT AS total_dedup_umis FROM {1} GROUP BY 1) USING (sample_id)"""

@@ -14,11 +14,14 @@ from locuswave.session import stage
 
 
 def with_fragment_start(alignments: DataFrame) -> DataFrame:
-    """Unclipped 5' position and strand, the place two copies of a molecule share."""
+    """Unclipped 5' position and strand, the place two copies of a molecule share; a missing UMI raises."""
     clip = cg.five_prime_clip(F.col("cigar"), F.col("flag"))
     reverse = cg.is_reverse(F.col("flag"))
     end = F.col("pos") + cg.reference_length(F.col("cigar"))
     place = F.when(reverse, end + clip).otherwise(F.col("pos") - clip)
+    alignments = alignments.withColumn("umi", F.when(
+        F.coalesce(F.col("umi"), F.lit("")) == "", F.raise_error("alignment without a UMI: molecules cannot be told apart")
+    ).otherwise(F.col("umi")))
     return alignments.withColumn("is_reverse", reverse).withColumn("fragment_start", place)
 
 
@@ -58,9 +61,9 @@ def directional_umi(alignments: DataFrame) -> DataFrame:
     clusters = crowded.select(*PLACE, F.explode(F.arrays_zip(
         umis.alias("umi"), cluster_owners(umis, counts).alias("owner"))).alias("_c"),
     ).select(*PLACE, F.col("_c.umi").alias("umi"), F.col("_c.owner").alias("umi_cluster"))
-    labelled = molecules.join(clusters, [*PLACE, "umi"], "left").withColumn(
-        "umi_cluster", F.coalesce("umi_cluster", "umi"))
-    return keep_best(labelled, [*PLACE, "umi_cluster"]).select(*alignments.columns)
+    labelled = molecules.join(clusters, [*PLACE, "umi"], "left")
+    # The owner's own best read stays; an absorbed UMI is an error, however well its read maps.
+    return labelled.filter("umi_cluster IS NULL OR umi_cluster = umi").select(*alignments.columns)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

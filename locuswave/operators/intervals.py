@@ -14,8 +14,8 @@ def lookup(points: DataFrame, runs: DataFrame, n: int, prefix: str, grp: str = "
            keys: Sequence[str] = ("grp", "chrom", "pos"), bucket: int = 256, small: bool = False) -> DataFrame:
     """Left join of points with the run that covers them; values land in ``{prefix}1..n``, default 0.
 
-    ``grp`` is the point column naming the signal table to look in.  Points must be unique in
-    ``keys``.  Runs are disjoint, so after cutting them at bucket borders a point meets only the
+    ``grp`` is the point column naming the signal table to look in.  Repeated points are looked up
+    each.  Runs are disjoint, so after cutting them at bucket borders a point meets only the
     few runs of its own bucket: an equi-join, never a join on the chromosome alone.
     ``small`` says that the caller has counted the points and found them fit to broadcast; then
     the run table is not shuffled at all.
@@ -32,7 +32,7 @@ def lookup(points: DataFrame, runs: DataFrame, n: int, prefix: str, grp: str = "
         & (F.col("_s") <= F.col("pos")) & (F.col("pos") < F.col("_e"))
     )
     if small:
-        wanted = here.select(*dict.fromkeys([*keys, grp, "chrom", "pos", "_cell"]))
+        wanted = here.select(*dict.fromkeys([*keys, grp, "chrom", "pos", "_cell"])).distinct()
         hits = F.broadcast(wanted).join(pieces, covered).select(*keys, *renamed)
         joined = points.join(hits, list(keys), "left")
     else:

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswave.functions.dna import IUPAC, base_mask, reverse_complement_text
@@ -21,21 +21,20 @@ _MASKS = np.array([base_mask(chr(i)) if chr(i).isalpha() else 0 for i in range(2
 DIAGONAL, ACROSS, DOWN = 0, 1, 2
 
 
-def search_window(motif_length: int, factor: float) -> int:
-    return int(factor * motif_length // 1)
-
-
-def site_windows(sites: DataFrame, genome: DataFrame, half_width: int, chunk: int,
+def site_windows(sites: DataFrame, genome: DataFrame, half_width: int | Column, chunk: int,
                  keys: tuple[str, ...] = ("chrom", "pos")) -> DataFrame:
     """Add ``window`` (bases of ``[pos - w, pos + w)``, cut at contig ends) and ``window_start``.
 
-    ``genome`` has rows ``(chrom, chunk_id, seq)``, every chunk but a contig's last ``chunk`` bases
-    long.  A window meets a fixed number of chunks, so the pieces per site are few.
+    ``half_width`` may differ from site to site.  ``genome`` has rows ``(chrom, chunk_id, seq)``, every
+    chunk but a contig's last ``chunk`` bases long.  A window meets a fixed number of chunks, so the
+    pieces per site are few.
     """
-    if half_width == 0:
-        return sites.withColumn("window_start", F.col("pos")).withColumn("window", F.lit(""))
-    start = F.greatest(F.col("pos") - half_width, F.lit(0))
-    spots = sites.select(*keys).distinct().withColumn("_from", start).withColumn("_to", F.col("pos") + half_width)
+    width = half_width if isinstance(half_width, Column) else F.lit(half_width)
+    sites = sites.withColumn("_half", F.coalesce(width, F.lit(0)).cast("long"))
+    keys = (*keys, "_half")
+    start = F.greatest(F.col("pos") - F.col("_half"), F.lit(0))
+    spots = (sites.select(*keys).filter("_half > 0").distinct()
+             .withColumn("_from", start).withColumn("_to", F.col("pos") + F.col("_half")))
     cells = F.sequence(F.expr(f"_from div {chunk}"), F.expr(f"(_to - 1) div {chunk}"))
     offset = F.greatest(F.col("_from") - F.col("chunk_id") * chunk, F.lit(0))
     length = F.col("_to") - F.col("chunk_id") * chunk - offset
@@ -48,7 +47,7 @@ def site_windows(sites: DataFrame, genome: DataFrame, half_width: int, chunk: in
     windows = pieces.groupBy(*keys).agg(window.alias("window"))
     return (
         sites.join(windows, list(keys), "left")
-        .withColumn("window_start", start).withColumn("window", F.coalesce("window", F.lit("")))
+        .withColumn("window_start", start).withColumn("window", F.coalesce("window", F.lit(""))).drop("_half")
     )
 
 

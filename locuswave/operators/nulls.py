@@ -32,7 +32,7 @@ def null_from_histogram(hist: DataFrame, stat: str = "mean", overwrite: bool = F
 
 
 def rounded(stat: Column, digits: int = STAT_DIGITS) -> Column:
-    return F.round(stat.cast("double"), digits)
+    return F.bround(stat.cast("double"), digits)
 
 
 def _axis(null: DataFrame, probes: DataFrame | None) -> DataFrame:

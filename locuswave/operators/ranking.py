@@ -24,14 +24,14 @@ def ordinal(df: DataFrame, group: Sequence[str], order: Sequence[Column], name:
         .withColumn("_seq", F.monotonically_increasing_id())
     )
     placed = stage(placed, "ranked")
-    # At most one row per range partition and group border.
+    # One row per group and range partition: groups may be many, so the planner chooses the join by size.
     heads = placed.groupBy(*group, "_part").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = heads.select(
         *group, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     rank = F.col("_before") + F.col("_seq") - F.col("_first") + 1
     return (
-        placed.join(F.broadcast(offsets), [*group, "_part"])
+        placed.join(offsets, [*group, "_part"])
         .withColumn(name, rank.cast("long"))
         .select(*df.columns, name)
     )
@@ -39,10 +39,9 @@ def ordinal(df: DataFrame, group: Sequence[str], order: Sequence[Column], name:
 
 def rank_from_zero_if(ranked: DataFrame, group: Sequence[str], flag: str, ordinal_name: str, name: str) -> DataFrame:
     """Ranks start at 0 in groups where some row has ``flag``, else at 1."""
-    # One row per group of the sample sheet.
     found = ranked.groupBy(*group).agg(F.max(F.coalesce(F.col(flag), F.lit(False))).alias("_found"))
     return (
-        ranked.join(F.broadcast(found), list(group))
+        ranked.join(found, list(group))
         .withColumn(name, F.col(ordinal_name) - F.col("_found").cast("long"))
         .drop("_found", ordinal_name)
     )

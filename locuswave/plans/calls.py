@@ -80,9 +80,8 @@ def reported_sites(tables: SignalTables, groups: DataFrame, evidence: calling.Ev
     points = tables.test_peaks.join(F.broadcast(groups), "grp")
     sites = calling.judge(points, evidence, params, early=True)
     if genome is not None:
-        length = F.length("on_target_motif")
-        longest = groups.agg(F.max(length)).first()[0]
-        half = motif.search_window(longest, params.motif_search_factor)
+        # Each site is searched as far as its own motif asks for.
+        half = F.floor(F.length("on_target_motif") * F.lit(params.motif_search_factor))
         sites = motif.site_windows(sites, genome, half, chunk)
         sites = calling.mark_on_target(motif.find_motif(sites, params), params).drop("window", "window_start")
     else:

@@ -70,11 +70,17 @@ def count_report(stats: DataFrame) -> DataFrame:
         F.struct("low_mapping_quality", "above_clipping", "below_ref_length").alias("filters"))
 
 
-def write_fastq(pairs: DataFrame, path: str, mates: Sequence[int] = (1, 2)) -> None:
-    """Gzipped FASTQ, one folder per sample and mate; a record is one text row of four lines."""
+def write_fastq(pairs: DataFrame, path: str, mates: Sequence[int] | None = None, umi_separator: str = "_") -> None:
+    """Gzipped FASTQ, one folder per sample and mate; a record is one text row of four lines.
+
+    All mates that ``pairs`` has are written.  An extracted UMI goes behind the read name, where aligners
+    keep it and ``read_sam`` finds it.
+    """
+    mates = [m for m in (1, 2) if f"seq{m}" in pairs.columns] if mates is None else mates
+    name = F.concat_ws(umi_separator, "read_id", "umi") if "umi" in pairs.columns else F.col("read_id")
     records = [
         F.struct(F.lit(m).alias("mate"), F.concat_ws(
-            "\n", F.concat(F.lit("@"), "read_id"), f"seq{m}", F.lit("+"), f"qual{m}").alias("record"))
+            "\n", F.concat(F.lit("@"), name), f"seq{m}", F.lit("+"), f"qual{m}").alias("record"))
         for m in mates]
     rows = pairs.select("sample_id", F.explode(F.array(*records)).alias("r"), "read_id").select(
         "sample_id", F.col("r.mate").alias("mate"), "read_id", F.col("r.record").alias("record"))

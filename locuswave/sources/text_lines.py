@@ -24,9 +24,10 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     Compressed files are one split each; plain files are cut at the usual split size.
     """
-    lines = spark.read.text(list(paths)).select(
+    # Written once: how files are cut into splits may differ from one scan to the next.
+    lines = stage(spark.read.text(list(paths)).select(
         plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"))
+        F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line")), "lines")
     sizes = lines.groupBy("path", "split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     earlier = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -129,3 +129,10 @@ def test_windows_from_chunks(spark):
     found = motif.find_motif(motif.site_windows(sites, genome, 12, 10).withColumn("on_target_motif", F.lit(seq[35:46])), Params())
     row = found.filter("pos = 40").first()
     assert (row.motif_location, row.motif_score, row.num_subs) == ("c:36-46,+", 11, 0)
+
+
+def test_site_windows_have_their_own_width(spark):
+    genome = spark.createDataFrame([("c", 0, "ACGTACGTAC"), ("c", 1, "GTTTTTACGT")], "chrom string, chunk_id long, seq string")
+    sites = spark.createDataFrame([("c", 10, 2), ("c", 10, 6), ("c", 3, None)], "chrom string, pos long, w int")
+    got = {r.w: (r.window_start, r.window) for r in motif.site_windows(sites, genome, F.col("w"), 10).collect()}
+    assert got == {2: (8, "ACGT"), 6: (4, "ACGTACGTTTTT"), None: (3, "")}

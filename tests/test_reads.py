@@ -93,8 +93,8 @@ def test_directional_dedup_against_all_pairs(spark):
         owner = brute.umi_clusters(counts)
         best = {}
         for row in data:
-            if row[3] == pos:
-                key = owner[row[7]]
+            if row[3] == pos and owner[row[7]] == row[7]:  # reads of absorbed UMIs never stand for the molecule
+                key = row[7]
                 best[key] = min(best.get(key, (1, "")), (-row[5], row[1]))
         assert sorted(r.read_id for r in got if r.pos == pos) == sorted(b[1] for b in best.values())
 
@@ -106,3 +106,16 @@ def test_subsample_is_exact_and_repeatable(spark):
     assert rows(once) == rows(again)
     assert {r.sample_id: r["count"] for r in once.groupBy("sample_id").count().collect()} == {"few": 50, "hot": 200}
     assert rows(once) != rows(sampling.subsample(df, 200, seed=7))
+
+
+def test_missing_umi_raises(spark):
+    data = spark.createDataFrame([("s", "r1", "chr1", 5, 0, 9, "50M", None), ("s", "r2", "chr1", 5, 0, 9, "50M", "AC")], ALIGNMENTS)
+    for operator in (dedup.exact_umi, dedup.directional_umi):
+        with pytest.raises(Exception, match="without a UMI"):
+            operator(data).collect()
+
+
+def test_absorbed_umi_does_not_win(spark):
+    data = [("s", f"r{k}", "chr1", 5, 0, 20, "50M", "AAAAAAA") for k in range(9)] + [("s", "error", "chr1", 5, 0, 40, "50M", "AAAAAAC")]
+    kept = dedup.directional_umi(spark.createDataFrame(data, ALIGNMENTS)).collect()
+    assert [(r.read_id, r.umi) for r in kept] == [("r0", "AAAAAAA")]

@@ -8,6 +8,7 @@ from locuswave.operators import groups
 from locuswave.sinks import tables as sink
 from locuswave.sinks import tracks
 from locuswave.sources import sequences, tables
+from locuswave.sinks.tables import write_fastq
 from locuswave.sources.text_lines import numbered_lines
 from tests.conftest import rows
 
@@ -192,3 +193,25 @@ def test_tracks(spark, tmp_path):
     assert tracks.track_path("a.bw", "/data/run", "/data/igv", relative=True) == "../run/a.bw"
     assert tracks.track_path("a.bw", "/data/run", "/x", "http://h", ["/data"]) == "http://h/run/a.bw"
     assert tracks.track_path("a.bw", "/data/run", "/x", "http://h") == "http://h/data/run/a.bw"
+
+
+def test_lines_survive_another_cut_into_splits(spark, tmp_path):
+    path = tmp_path / "many.txt"
+    path.write_text("".join(f"line {k}\n" for k in range(50_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    lines = numbered_lines(spark, [str(path)])
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        got = {r.line_no: r.line for r in lines.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {k: f"line {k}" for k in range(50_000)}
+
+
+def test_umi_goes_through_fastq_and_sam(spark, tmp_path):
+    pairs = spark.createDataFrame([("s", "r1", "ACGT", "IIII", "GGTTA")], "sample_id string, read_id string, seq1 string, qual1 string, umi string")
+    write_fastq(pairs, str(tmp_path / "fq"))
+    name = spark.read.text(str(tmp_path / "fq")).first().value.split("\n")[0][1:]
+    (tmp_path / "a.sam").write_text(f"{name}\t0\tc\t5\t9\t4M\t*\t0\t0\tACGT\tIIII\n")
+    row, = sequences.read_sam(spark, "s", str(tmp_path / "a.sam")).collect()
+    assert name == "r1_GGTTA" and row.umi == "GGTTA"
