@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
@@ -50,7 +51,7 @@ class PieceTokenizer:
         for at in range(0, len(new), SLICE_PIECES):
             part = new[at:at + SLICE_PIECES]
             for piece, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[piece] = np.array(code.ids, np.uint32).tobytes()
+                found[piece] = array("I", code.ids).tobytes()
         return found
 
     def _learn(self, new: set[str]) -> list[str]:
@@ -77,9 +78,12 @@ class PieceTokenizer:
         out = []
         for at in range(0, len(texts), SLICE_TEXTS):
             pieces = [self.find(t) if t else [] for t in texts[at:at + SLICE_TEXTS]]
-            new = set().union(*pieces).difference(self.known)
-            spare = self._learn(new) if new else ()
-            out.extend(np.frombuffer(b"".join(map(self.known.__getitem__, p)), np.uint32) for p in pieces)
+            codes = [list(map(self.known.get, p)) for p in pieces]
+            holes = [k for k, c in enumerate(codes) if None in c]
+            spare = self._learn({x for k in holes for x, c in zip(pieces[k], codes[k]) if c is None}) if holes else ()
+            for k in holes:
+                codes[k] = map(self.known.__getitem__, pieces[k])
+            out.extend(np.frombuffer(b"".join(c), np.uint32) for c in codes)
             for piece in spare:
                 del self.known[piece]
         return out
