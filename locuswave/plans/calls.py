@@ -86,7 +86,8 @@ def reported_sites(tables: SignalTables, groups: DataFrame, evidence: calling.Ev
         sites = calling.mark_on_target(motif.find_motif(sites, params), params).drop("window", "window_start")
     else:
         sites = without_motif(sites)
-    return calling.finish_sites(sites, evidence.n, evidence.m, params)
+    # Ranking reads its rows twice, once for the ranges: the windows and the motif are made once.
+    return calling.finish_sites(stage(sites, "judged"), evidence.n, evidence.m, params)
 
 
 def without_motif(sites: DataFrame) -> DataFrame:

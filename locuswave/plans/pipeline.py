@@ -77,7 +77,8 @@ def analyse(sheet: DataFrame, alignments: DataFrame, params: Params, genome: Dat
         alignments = dedup.directional_umi(alignments)
     classified = stage(reads.classify(alignments, params).select(
         "sample_id", "chrom", "start", "low_mapq", "over_clip", "short", "passing"), "classified")
-    counts = reads.read_start_counts(classified)
+    # Read by the statistics and by every replicate class.
+    counts = stage(reads.read_start_counts(classified), "counts")
     stats = stage(reads.count_stats(classified, counts), "count-stats")
     if params.apply_normalization:
         counts = reads.per_million(counts, stats)

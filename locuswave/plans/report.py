@@ -82,16 +82,38 @@ def site_columns(concs: Sequence[int]) -> dict[str, Column]:
     return columns
 
 
-def write_site_pages(wide: DataFrame, concs: Sequence[int], path: str) -> None:
-    """All sites as HTML table rows, one folder per page of 200 ranks."""
-    cells = [F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in site_columns(concs).values()]
+def write_site_pages(wide: DataFrame, concs: Sequence[int], path: str) -> int:
+    """All sites as complete HTML pages of 200 ranks, a folder each, linked with each other; the number of pages."""
+    columns = site_columns(concs)
+    columns["Chromosome"] = _escaped(columns["Chromosome"])
+    cells = [F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in columns.values()]
     rows = wide.select(
         F.expr(f"rank div {PAGE_ROWS}").alias("page"), "rank",
         F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("row"))
-    (
-        rows.repartitionByRange("page", "rank").sortWithinPartitions("page", "rank").drop("rank")
-        .write.partitionBy("page").text(path)
-    )
+    pages = (wide.agg(F.max("rank")).first()[0] or 0) // PAGE_ROWS + 1
+    head = "".join(f"<th>{html.escape(t)}</th>" for t in columns)
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "row"))), lambda r: r["row"]), "")
+
+    def link(text: str, page: Column, shown: Column) -> Column:
+        return F.when(shown, F.concat(F.lit("<a href='../page="), page.cast("string"), F.lit(f"/'>{text}</a> "))).otherwise("")
+
+    number = F.col("page")
+    page = F.concat(
+        F.lit("<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>Sites, page "), number.cast("string"),
+        F.lit("</title></head><body><p><a href='../../report.html'>Report</a> "),
+        link("Previous", number - 1, number > 0), link("Next", number + 1, number < pages - 1),
+        F.lit(f"</p><table><thead><tr class='head'>{head}</tr></thead><tbody>"), F.col("body"),
+        F.lit("</tbody></table></body></html>"))
+    # A page has at most 201 rows.
+    (rows.groupBy("page").agg(body.alias("body")).select("page", page.alias("html"))
+     .repartition("page").write.partitionBy("page").text(path))
+    return pages
+
+
+def _escaped(text: Column) -> Column:
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(raw), F.lit(safe))
+    return text
 
 
 def write_report(path: str, sample_group: str, control_group: str, on_target_motif: str, on_target_location: str,
@@ -99,7 +121,8 @@ def write_report(path: str, sample_group: str, control_group: str, on_target_mot
                  evidence: Evidence, params: Params, version: str = "") -> str:
     """``report.html`` in ``path`` plus the complete site table in ``path/sites``."""
     sites = os.path.join(path, "sites")
-    write_site_pages(wide, concs, sites)
+    pages = write_site_pages(wide, concs, sites)
+    links = " ".join(f"<a href='sites/page={k}/'>{k + 1}</a>" for k in range(pages))
     first = [r.row for r in wide.filter(F.col("rank") < PAGE_ROWS).orderBy("rank").limit(PAGE_ROWS).select(
         F.concat(F.lit("<tr>"), *[
             F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in site_columns(concs).values()
@@ -115,7 +138,7 @@ def write_report(path: str, sample_group: str, control_group: str, on_target_mot
             "identifier", *METRICS)) if metrics is not None else "<p>not available</p>"),
         _section("Thresholds", _frame(threshold_summary(evidence, params))),
         _section("Peak Signal Distributions", _plot(plot_bins(peak_hist))),
-        _section("Called/Reported Sites", f"<p>First page; all pages are in <code>sites/</code>.</p>"
+        _section("Called/Reported Sites", f"<p>First page of {pages}: {links}</p>"
                  f"<table><thead><tr>{head}</tr></thead><tbody>{''.join(first)}</tbody></table>"),
     ]
     document = ("<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>"
