@@ -39,7 +39,7 @@ from locuswave.session import bounded_side, stage
 SHINGLE = 4
 # The trees are rotations of the first half of the minima.
 MINIMA, IN_TREES, TREES, MIN_DEPTH, MAX_DEPTH = 128, 64, 16, 3, 4
-MIN_AGREE = 80
+MIN_AGREE, MIN_BRIEF = 80, 36
 REGION = 256
 NEAREST = 3
 SHARE_NUM, SHARE_DEN = 80, 100
@@ -189,7 +189,8 @@ def neighbour_pairs(classes: DataFrame) -> DataFrame:
     """a < b, agree: classes next to each other in an order that share the leading minima."""
     from pyspark.sql import Window
 
-    brief = F.expr("concat(" + ", ".join(f"substring(sig, {4 * k + 4}, 1)" for k in range(MINIMA)) + ")")
+    brief = F.expr("concat(" + ", ".join(f"substring(sig, {4 * k + 4}, 1)" for k in range(0, MINIMA, 2)) + ")")
+    # One byte of every other minimum is enough to compare neighbours; it is carried once per tree.
     rows = _in_trees(classes).select(
         "tree", _rotated(8).alias("key"), "class_id", brief.alias("brief"))
     # Ranges of the sorted order: no region, however large, is one task.
@@ -203,7 +204,7 @@ def neighbour_pairs(classes: DataFrame) -> DataFrame:
         F.lead(c).over(follow).alias(f"next_{c}") for c in ("a", "tree", "key")])
     across = ends.filter("end = 1 AND tree = next_tree AND key = next_key").select(
         F.least("a", "next_a").alias("a"), F.greatest("a", "next_a").alias("b"), F.lit(MINIMA).cast("long").alias("agree"))
-    return found.filter("end < 0").select("a", "b", "agree").unionByName(across).filter(F.col("agree") >= MIN_AGREE)
+    return found.filter("end < 0").select("a", "b", "agree").unionByName(across).filter(F.col("agree") >= MIN_BRIEF)
 
 
 # The first MAX_DEPTH minima of each tree.
