@@ -9,6 +9,11 @@ text that merely has numbers in the same places is not.
 Defined cases: NULL and empty texts have no windows; items of fewer than ``WINDOW`` words or with windows of
 fewer than ``MIN_LITERALS`` literal words are not searched by those windows.  Repeated items and documents are
 reported under their ids, equal (doc_id, item_id) pairs once.  Other columns are ignored.
+
+``leaks`` is the rule of op2 and its SQL twin.  It loses edited and partial items, so the pipeline's stage drops
+what ``passages`` finds, too: shared windows only propose alignments there.  An alignment is then compared word by
+word, and an item is leaked by a run of ``RUN`` agreeing words (its whole length if shorter), or when runs of
+``MIN_RUN`` words or more cover half of its words; items of under 16 words need up to ``WINDOW`` covered words.
 """
 
 from __future__ import annotations
@@ -23,6 +28,10 @@ WINDOW = 8
 MIN_LITERALS = 4
 # An item is leaked when this share of its windows is found along consistent alignments.
 MIN_COVERAGE = 0.5
+# Passages: the long run, the shortest run that covers, and the windows of items so short that a few edits break all
+# of the longer ones.
+RUN, MIN_RUN = 13, 4
+SHORT_WINDOW, SHORT_ITEM = 5, 24
 # Item windows up to this many rows (about 40 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -111,9 +120,99 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             .filter(F.col("matched") >= MIN_COVERAGE * F.col("n_windows")))
 
 
+def _seeds(short: Column) -> Column:
+    """(pos, h) of the windows of ``_ids``; those of ``SHORT_WINDOW`` words where ``short`` holds."""
+    def placed(width: int) -> Column:
+        return F.transform(window_hashes(F.col("_ids"), width), lambda h, p: F.struct(p.alias("pos"), h.alias("h")))
+
+    return F.concat(placed(WINDOW), F.when(short, placed(SHORT_WINDOW)).otherwise(
+        F.array().cast("array<struct<pos:int,h:bigint>>")))
+
+
+def _item_seeds(items: DataFrame) -> DataFrame:
+    """h, item_id, irow, ipos: the windows of each item text that hold ``MIN_LITERALS`` literals."""
+    seeds = items.withColumn("_literal", F.transform("_tokens", lambda w: (w >= ":").cast("int")))
+    seeds = seeds.select("item_id", "irow", "_ids", "_literal", F.size("_ids").alias("n"))
+    wide = (seeds.select("item_id", "irow", "_literal", F.posexplode(window_hashes(F.col("_ids"), WINDOW)).alias("ipos", "h"))
+            .withColumn("width", F.lit(WINDOW)))
+    narrow = (seeds.filter(F.col("n") < SHORT_ITEM)
+              .select("item_id", "irow", "_literal", F.posexplode(window_hashes(F.col("_ids"), SHORT_WINDOW)).alias("ipos", "h"))
+              .withColumn("width", F.lit(SHORT_WINDOW)))
+    literals = F.aggregate(F.slice("_literal", F.col("ipos") + 1, F.col("width")), F.lit(0), lambda n, x: n + x)
+    return wide.unionByName(narrow).filter(literals >= MIN_LITERALS).select("h", "item_id", "irow", "ipos").distinct()
+
+
+def _runs(words: Column) -> Column:
+    """lo, hi of the runs of at least ``MIN_RUN`` agreeing words among (ok) in order."""
+    def step(state: Column, w: Column) -> Column:
+        at, start = state["at"], state["start"]
+        ends = ~w["ok"] & (at - start >= MIN_RUN)
+        return F.struct(
+            (at + 1).alias("at"), F.when(w["ok"], start).otherwise(at + 1).alias("start"),
+            F.when(ends, F.array_append(state["runs"], F.struct(start.alias("lo"), (at - 1).alias("hi")))).otherwise(
+                state["runs"]).alias("runs"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("start"),
+                     F.array().cast("array<struct<lo:int,hi:int>>").alias("runs"))
+    return F.aggregate(words, begin, step, lambda s: s["runs"])
+
+
+def _agreeing(lines: DataFrame) -> DataFrame:
+    """Adds ``_words``: whether each item word agrees along the alignment, and an end that does not."""
+    pairs = F.transform("_ours", lambda w, i: F.struct(
+        w.alias("w"), F.get(F.col("_theirs"), i + F.col("shift")).alias("t")))
+    lines = lines.withColumn("_pairs", pairs)
+    slots = F.array_distinct(F.filter("_pairs", lambda p: (p["w"] < ":") & (p["t"] < ":") & (
+        _slot_type(p["w"]) == _slot_type(p["t"]))))
+    lines = lines.withColumn("_slots", slots)
+    one_to_one = ((F.size("_slots") == F.size(F.array_distinct(F.col("_slots.w"))))
+                  & (F.size("_slots") == F.size(F.array_distinct(F.col("_slots.t")))))
+    lines = lines.withColumn("_whole", one_to_one)
+    return lines.withColumn("_words", F.concat(
+        F.transform("_pairs", lambda p: F.struct(F.coalesce(F.when(p["w"] >= ":", p["w"] == p["t"]).otherwise(
+            F.col("_whole") & (p["t"] < ":") & (_slot_type(p["w"]) == _slot_type(p["t"]))), F.lit(False)).alias("ok"))),
+        F.array(F.struct(F.lit(False).alias("ok")))))
+
+
+def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, n_words (of the item), covered, longest (words in runs, in one run) of each leaked item."""
+    items = with_template(benchmark.filter("item_id is not null").select("item_id", "text").distinct())
+    items = stage(items.filter(F.size("_ids") >= WINDOW).select(
+        "item_id", F.xxhash64("item_id", "text").alias("irow"), "_tokens", "_ids"), "items")
+    seeds = bounded_side(stage(_item_seeds(items), "item-seeds"), BROADCAST_WINDOWS)
+    short = F.lit(bool(items.filter(F.size("_ids") < SHORT_ITEM).limit(1).count()))
+    # A NULL or repeated doc_id has several texts; each is aligned by itself.
+    texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("drow"), "text")
+    found = (with_template(texts).select("drow", F.explode_outer(_seeds(short)).alias("s"))
+             .select("drow", F.col("s.pos").alias("pos"), F.col("s.h").alias("h")))
+    lines = stage(found.join(seeds, "h").select("drow", "irow", (F.col("pos") - F.col("ipos")).alias("shift")).distinct(),
+                  "passage-alignments")
+    near = bounded_side(stage(lines.select("drow").distinct(), "passage-documents"))
+    theirs = with_template(texts.join(near, "drow", "left_semi").distinct()).select(
+        "doc_id", "drow", F.col("_tokens").alias("_theirs"))
+    ours = items.select("item_id", "irow", F.col("_tokens").alias("_ours"))
+    lines = _agreeing(lines.join(theirs, "drow").join(ours, "irow"))
+    runs = lines.select("doc_id", "drow", "item_id", "irow", "_ours", F.explode(_runs(F.col("_words"))).alias("run"))
+    runs = runs.select(
+        "doc_id", "drow", "item_id", "irow", F.size("_ours").alias("n_words"),
+        F.transform(F.sequence("run.lo", "run.hi"), lambda p: F.struct(
+            p.alias("at"), (F.get("_ours", p) >= ":").alias("literal"))).alias("places"))
+    literals = F.size(F.filter("places", lambda p: p["literal"]))
+    total = runs.groupBy("doc_id", "drow", "item_id", "irow", "n_words").agg(
+        F.max(F.when(literals >= MIN_LITERALS, F.size("places"))).alias("longest"),
+        F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"))
+    n, covered = F.col("n_words"), F.size("places")
+    needed = F.greatest(n * MIN_COVERAGE, F.least(F.lit(WINDOW), n * 0.75))
+    leaked = (F.col("longest") >= F.least(F.lit(RUN), n)) | ((covered >= needed) & (literals >= MIN_LITERALS))
+    return total.filter(leaked).groupBy("doc_id", "item_id").agg(
+        F.max(F.struct(covered.alias("covered"), F.coalesce("longest", F.lit(0)).alias("longest"), "n_words")).alias("m")
+    ).select("doc_id", "item_id", "m.n_words", "m.covered", "m.longest")
+
+
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no leaked item; rows without doc_id stay unless such a row holds one."""
-    hit = stage(leaks(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct(), "leaked")
+    found = leaks(docs, benchmark).select("doc_id").unionByName(passages(docs, benchmark).select("doc_id"))
+    hit = stage(found.select(F.col("doc_id").alias("_hit")).distinct(), "leaked")
     hit = bounded_side(hit, BROADCAST_WINDOWS)
     return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti")
 

@@ -73,6 +73,23 @@ def test_templates_with_consistent_slots(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and kept.columns == ["doc_id", "text", "item_id", "n_words"]
 
 
+LONG = " ".join(f"{a}{b}" for a in "plain river stone paper light cloud".split() for b in "abcdefghij")
+SHORT = "every small lamp in our old house burns less oil than those of the neighbours do"
+
+
+def test_passages_find_edited_and_partial_items(spark):
+    def edited(text, *places):
+        return " ".join("changed" if k in places else w for k, w in enumerate(text.split()))
+
+    bench = spark.createDataFrame([(1, LONG), (2, SHORT), (3, "too short")], "item_id long, text string")
+    texts = ["before " + " ".join(LONG.split()[20:45]) + " after", edited(LONG, 5, 14, 23, 32, 41, 50), edited(SHORT, 5, 11),
+             "too short " + " ".join(LONG.split()[:9]), " ".join(SHORT.split()[:5]), None, ""]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.passages(docs_of(spark, texts), bench).collect()} == {(0, 1), (1, 1), (2, 2)}
+    assert {r.doc_id for r in decontaminate.drop_leaked(docs_of(spark, texts), bench).collect()} == {3, 4, 5, 6}
+    assert decontaminate.passages(docs_of(spark, []), bench).count() == 0
+    assert decontaminate.passages(docs_of(spark, texts), bench.limit(0)).count() == 0
+
+
 def test_license_texts_inside_and_beside(spark):
     mit = next(t for n, t in licenses.LICENSES if t.startswith("Permission is hereby granted, free"))
     broken = mit.replace("merge", "weld", 1)
