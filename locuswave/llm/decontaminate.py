@@ -14,6 +14,7 @@ reported under their ids, equal (doc_id, item_id) pairs once.  Other columns are
 what ``passages`` finds, too: shared windows only propose alignments there.  An alignment is then compared word by
 word, and an item is leaked by a run of ``RUN`` agreeing words (its whole length if shorter), or when runs of
 ``MIN_RUN`` words or more cover half of its words; items of under 16 words need up to ``WINDOW`` covered words.
+Within a run a repeated name stands for one name; numbers may coincide or differ.  A clash parts the run only.
 """
 
 from __future__ import annotations
@@ -143,12 +144,13 @@ def _item_seeds(items: DataFrame) -> DataFrame:
 
 
 def _runs(words: Column) -> Column:
-    """lo, hi of the runs of at least ``MIN_RUN`` agreeing words among (ok) in order."""
+    """lo, hi of the longest stretches of at least ``MIN_RUN`` words that agree and hold no clash, of (ok, clash)."""
     def step(state: Column, w: Column) -> Column:
         at, start = state["at"], state["start"]
-        ends = ~w["ok"] & (at - start >= MIN_RUN)
+        clash = w["clash"] >= start
+        ends = (~w["ok"] | clash) & (at - start >= MIN_RUN)
         return F.struct(
-            (at + 1).alias("at"), F.when(w["ok"], start).otherwise(at + 1).alias("start"),
+            (at + 1).alias("at"), F.when(~w["ok"], at + 1).when(clash, w["clash"] + 1).otherwise(start).alias("start"),
             F.when(ends, F.array_append(state["runs"], F.struct(start.alias("lo"), (at - 1).alias("hi")))).otherwise(
                 state["runs"]).alias("runs"))
 
@@ -158,20 +160,25 @@ def _runs(words: Column) -> Column:
 
 
 def _agreeing(lines: DataFrame) -> DataFrame:
-    """Adds ``_words``: whether each item word agrees along the alignment, and an end that does not."""
-    pairs = F.transform("_ours", lambda w, i: F.struct(
-        w.alias("w"), F.get(F.col("_theirs"), i + F.col("shift")).alias("t")))
-    lines = lines.withColumn("_pairs", pairs)
-    slots = F.array_distinct(F.filter("_pairs", lambda p: (p["w"] < ":") & (p["t"] < ":") & (
-        _slot_type(p["w"]) == _slot_type(p["t"]))))
-    lines = lines.withColumn("_slots", slots)
-    one_to_one = ((F.size("_slots") == F.size(F.array_distinct(F.col("_slots.w"))))
-                  & (F.size("_slots") == F.size(F.array_distinct(F.col("_slots.t")))))
-    lines = lines.withColumn("_whole", one_to_one)
+    """Adds ``_words``: ok and clash of each item word along the alignment, and an end that is not ok.
+
+    A slot agrees with any slot of its type.  ``clash`` is the place of the last equal name before that stands for
+    another name (-1 without one); numbers and units may coincide or differ between their roles.
+    """
+    lines = lines.withColumn("_pairs", F.transform("_ours", lambda w, i: F.struct(
+        i.alias("at"), w.alias("w"), F.get(F.col("_theirs"), i + F.col("shift")).alias("t"))))
+    lines = lines.withColumn("_names", F.filter("_pairs", lambda p: (p["w"] < UNIT_MARK) & (p["t"] < UNIT_MARK)))
+
+    def last_clash(p: Column) -> Column:
+        other = F.filter("_names", lambda q: (q["at"] < p["at"]) & (q["w"] == p["w"]) & (q["t"] != p["t"]))
+        return F.when(p["w"] < UNIT_MARK, F.array_max(F.transform(other, lambda q: q["at"])))
+
     return lines.withColumn("_words", F.concat(
-        F.transform("_pairs", lambda p: F.struct(F.coalesce(F.when(p["w"] >= ":", p["w"] == p["t"]).otherwise(
-            F.col("_whole") & (p["t"] < ":") & (_slot_type(p["w"]) == _slot_type(p["t"]))), F.lit(False)).alias("ok"))),
-        F.array(F.struct(F.lit(False).alias("ok")))))
+        F.transform("_pairs", lambda p: F.struct(
+            F.coalesce(F.when(p["w"] >= ":", p["w"] == p["t"]).otherwise(
+                (p["t"] < ":") & (_slot_type(p["w"]) == _slot_type(p["t"]))), F.lit(False)).alias("ok"),
+            F.coalesce(last_clash(p), F.lit(-1)).alias("clash"))),
+        F.array(F.struct(F.lit(False).alias("ok"), F.lit(-1).alias("clash")))))
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

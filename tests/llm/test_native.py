@@ -90,6 +90,22 @@ def test_passages_find_edited_and_partial_items(spark):
     assert decontaminate.passages(docs_of(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_passages_part_runs_at_clashing_names_only(spark):
+    bench = spark.createDataFrame([
+        (1, "today Tom has 5 apples and buys 3 more, how many apples does Tom have"),
+        (2, "we put 3 apples into 3 boxes and then sell 9 boxes for 7 coins in all"),
+        (3, ITEM)], "item_id long, text string")
+    texts = ["today Ann has 4 apples and buys 4 more, how many apples does Ann have",
+             "we put 4 apples into 7 boxes and then sell 2 boxes for 2 coins in all",
+             ITEM.replace("Tom have", "Max have"),
+             "today Tom has 5 apples and Eva eats Tom has 5 apples"]
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.passages(docs_of(spark, texts), bench).collect()}
+    assert set(found) == {(0, 1), (1, 2), (2, 3)}
+    assert found[0, 1].longest == found[0, 1].n_words and found[1, 2].longest == found[1, 2].n_words
+    assert found[2, 3].longest < found[2, 3].n_words  # Tom cannot be Tom and Max in one run
+    assert decontaminate.drop_leaked(docs_of(spark, texts), bench).count() == 1
+
+
 def test_license_texts_inside_and_beside(spark):
     mit = next(t for n, t in licenses.LICENSES if t.startswith("Permission is hereby granted, free"))
     broken = mit.replace("merge", "weld", 1)
