@@ -15,6 +15,7 @@ what ``passages`` finds, too: shared windows only propose alignments there.  An
 word, and an item is leaked by a run of ``RUN`` agreeing words (its whole length if shorter), or when runs of
 ``MIN_RUN`` words or more cover half of its words; items of under 16 words need up to ``WINDOW`` covered words.
 Within a run a repeated name stands for one name; numbers may coincide or differ.  A clash parts the run only.
+A number with its separators and a run of names are one slot each, and where slots are dense windows get longer.
 """
 
 from __future__ import annotations
@@ -40,18 +41,30 @@ BROADCAST_WINDOWS = 1_000_000
 UNITS = ("kg g mg lb lbs oz km m cm mm mi ft in l ml h hr hrs min s sec ms hours hour minutes minute seconds days day "
          "weeks week months month years year percent usd eur gbp dollars euros cents kwh kw w v a hz mb gb tb").split()
 
-NAME_MARK, UNIT_MARK = "\x01", "\x02"
+NAME_MARK, UNIT_MARK, JOIN_MARK = "\x01", "\x02", "\x03"
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
 
 
-def with_template(df: DataFrame) -> DataFrame:
-    """Adds ``_tokens`` (words with their marks) and ``_ids`` (hash per template word)."""
-    marked = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x01\\x02]", " ")
+def with_template(df: DataFrame, whole: bool = False) -> DataFrame:
+    """Adds ``_tokens`` (words with their marks) and ``_ids`` (hash per template word).
+
+    With ``whole``, a number with its separators is one token, as is a run of names between blanks.
+    """
+    marked = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x01\\x02\\x03]" if whole else "[\\x01\\x02]", " ")
+    if whole:
+        marked = F.regexp_replace(marked, "[.,:/'\u2019\u00a0\u202f](?<=[0-9].)(?=[0-9])", JOIN_MARK)
     # A capital inside a sentence starts a name; at its beginning every word has one.
     marked = F.regexp_replace(marked, "([\\p{Ll}\\p{N},;] )(\\p{Lu})", f"$1{NAME_MARK}$2")
+    if whole:
+        # Parts of a name ("O'Brien", "Smith-Jones") keep together, and names with nothing but a blank between.
+        marked = F.regexp_replace(
+            marked, f"['\u2019-](?<={NAME_MARK}[\\p{{L}}\\p{{N}}'\u2019-]{{1,60}})(?=\\p{{Lu}})", JOIN_MARK)
+        marked = F.regexp_replace(
+            marked, f" {NAME_MARK}(?<={NAME_MARK}[\\p{{L}}\\p{{N}}{JOIN_MARK}]{{1,80}} {NAME_MARK})", JOIN_MARK)
     marked = F.regexp_replace(
         F.lower(marked), f"([0-9] ?)({'|'.join(UNITS)})([^\\p{{L}}\\p{{N}}]|$)", f"$1 {UNIT_MARK}$2$3")
-    tokens = F.split(F.regexp_replace(marked, "[^\\p{L}\\p{N}\\x01\\x02]+", " "), " ")
+    tokens = F.split(F.regexp_replace(
+        marked, "[^\\p{L}\\p{N}\\x01\\x02" + ("\\x03" if whole else "") + "]+", " "), " ")
     df = df.withColumn("_tokens", F.filter(tokens, lambda w: ~w.isin("", NAME_MARK, UNIT_MARK)))
     # In string order "\x01" and "\x02" come first, then the digits up to ":", then all letters.
     return df.withColumn("_ids", F.transform("_tokens", lambda w: F.when(w >= ":", F.xxhash64(w)).otherwise(
@@ -121,17 +134,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             .filter(F.col("matched") >= MIN_COVERAGE * F.col("n_windows")))
 
 
+def _with_dense(df: DataFrame) -> DataFrame:
+    """Adds ``_dense``: (pos, h) of the runs from a literal to the ``MIN_LITERALS``th that are longer than a window."""
+    at = F.filter(F.transform("_tokens", lambda w, i: F.when(w >= ":", i)), lambda i: i.isNotNull())
+    df = df.withColumn("_at", at)
+    df = df.withColumn("_spans", F.filter(
+        F.transform("_at", lambda p, k: F.struct(p.alias("lo"), F.get(F.col("_at"), k + (MIN_LITERALS - 1)).alias("hi"))),
+        lambda s: s["hi"] - s["lo"] >= WINDOW))
+    return df.withColumn("_dense", F.transform("_spans", lambda s: F.struct(s["lo"].alias("pos"), F.xxhash64(
+        F.slice("_ids", s["lo"] + 1, s["hi"] - s["lo"] + 1)).alias("h")))).drop("_at", "_spans")
+
+
 def _seeds(short: Column) -> Column:
-    """(pos, h) of the windows of ``_ids``; those of ``SHORT_WINDOW`` words where ``short`` holds."""
+    """(pos, h) of the windows of ``_ids``, of those of ``SHORT_WINDOW`` words where ``short`` holds, and ``_dense``."""
     def placed(width: int) -> Column:
         return F.transform(window_hashes(F.col("_ids"), width), lambda h, p: F.struct(p.alias("pos"), h.alias("h")))
 
     return F.concat(placed(WINDOW), F.when(short, placed(SHORT_WINDOW)).otherwise(
-        F.array().cast("array<struct<pos:int,h:bigint>>")))
+        F.array().cast("array<struct<pos:int,h:bigint>>")), "_dense")
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
-    """h, item_id, irow, ipos: the windows of each item text that hold ``MIN_LITERALS`` literals."""
+    """h, item_id, irow, ipos: the windows of each item text that hold ``MIN_LITERALS`` literals, and the dense runs."""
     seeds = items.withColumn("_literal", F.transform("_tokens", lambda w: (w >= ":").cast("int")))
     seeds = seeds.select("item_id", "irow", "_ids", "_literal", F.size("_ids").alias("n"))
     wide = (seeds.select("item_id", "irow", "_literal", F.posexplode(window_hashes(F.col("_ids"), WINDOW)).alias("ipos", "h"))
@@ -140,7 +164,10 @@ def _item_seeds(items: DataFrame) -> DataFrame:
               .select("item_id", "irow", "_literal", F.posexplode(window_hashes(F.col("_ids"), SHORT_WINDOW)).alias("ipos", "h"))
               .withColumn("width", F.lit(SHORT_WINDOW)))
     literals = F.aggregate(F.slice("_literal", F.col("ipos") + 1, F.col("width")), F.lit(0), lambda n, x: n + x)
-    return wide.unionByName(narrow).filter(literals >= MIN_LITERALS).select("h", "item_id", "irow", "ipos").distinct()
+    plain = wide.unionByName(narrow).filter(literals >= MIN_LITERALS).select("h", "item_id", "irow", "ipos")
+    dense = _with_dense(items).select("item_id", "irow", F.explode("_dense").alias("s")).select(
+        F.col("s.h").alias("h"), "item_id", "irow", F.col("s.pos").alias("ipos"))
+    return plain.unionByName(dense).distinct()
 
 
 def _runs(words: Column) -> Column:
@@ -183,19 +210,21 @@ def _agreeing(lines: DataFrame) -> DataFrame:
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_words (of the item), covered, longest (words in runs, in one run) of each leaked item."""
+    # An item is long enough by its plain words: whole slots make it shorter.
     items = with_template(benchmark.filter("item_id is not null").select("item_id", "text").distinct())
-    items = stage(items.filter(F.size("_ids") >= WINDOW).select(
+    items = with_template(items.filter(F.size("_ids") >= WINDOW), whole=True)
+    items = stage(items.filter(F.size("_ids") >= SHORT_WINDOW).select(
         "item_id", F.xxhash64("item_id", "text").alias("irow"), "_tokens", "_ids"), "items")
     seeds = bounded_side(stage(_item_seeds(items), "item-seeds"), BROADCAST_WINDOWS)
     short = F.lit(bool(items.filter(F.size("_ids") < SHORT_ITEM).limit(1).count()))
     # A NULL or repeated doc_id has several texts; each is aligned by itself.
     texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("drow"), "text")
-    found = (with_template(texts).select("drow", F.explode_outer(_seeds(short)).alias("s"))
+    found = (_with_dense(with_template(texts, whole=True)).select("drow", F.explode_outer(_seeds(short)).alias("s"))
              .select("drow", F.col("s.pos").alias("pos"), F.col("s.h").alias("h")))
     lines = stage(found.join(seeds, "h").select("drow", "irow", (F.col("pos") - F.col("ipos")).alias("shift")).distinct(),
                   "passage-alignments")
     near = bounded_side(stage(lines.select("drow").distinct(), "passage-documents"))
-    theirs = with_template(texts.join(near, "drow", "left_semi").distinct()).select(
+    theirs = with_template(texts.join(near, "drow", "left_semi").distinct(), whole=True).select(
         "doc_id", "drow", F.col("_tokens").alias("_theirs"))
     ours = items.select("item_id", "irow", F.col("_tokens").alias("_ours"))
     lines = _agreeing(lines.join(theirs, "drow").join(ours, "irow"))

@@ -106,6 +106,18 @@ def test_passages_part_runs_at_clashing_names_only(spark):
     assert decontaminate.drop_leaked(docs_of(spark, texts), bench).count() == 1
 
 
+def test_passages_take_numbers_and_names_as_one_slot(spark):
+    item = "they drove 12 km from Paris to see 7 friends who paid 30 euros each for 2 rooms in Rome"
+    dense = "row 1 2 3 4 gives 5 6 7 8 then 9 10 11 12 and 13 14 15 16 makes 17 18 19 20 total 21"
+    bench = spark.createDataFrame([(1, item), (2, dense)], "item_id long, text string")
+    texts = ["they drove 1,200 km from New York to see 2.5 friends who paid 1,000.50 euros each for 3 rooms in San Juan Bautista",
+             "they drove 12 km from O'Neill to see 7 friends who paid 30 euros each for 2 rooms in Stratford-Upon Avon",
+             dense.replace("1", "8").replace("4", "2.5"), "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20"]
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.passages(docs_of(spark, texts), bench).collect()}
+    assert set(found) == {(0, 1), (1, 1), (2, 2)}
+    assert all(r.longest == r.n_words for r in found.values())
+
+
 def test_license_texts_inside_and_beside(spark):
     mit = next(t for n, t in licenses.LICENSES if t.startswith("Permission is hereby granted, free"))
     broken = mit.replace("merge", "weld", 1)
