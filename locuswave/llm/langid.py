@@ -4,8 +4,9 @@ The kernel of two texts is the number of n-grams (one to ``ORDERS`` characters,
 that both hold, over the geometric mean of their own numbers.  ``LANDMARKS`` sample texts span the feature space;
 the ridge solution folds into one matrix, so a batch of texts is scored by two matrix products.
 
-The model is fitted on a bounded sample: about ``PER_LANGUAGE`` training rows of each of the ``LANGUAGES`` most
-frequent languages, chosen by the hash of their id.  Scoring reads every whole text once.
+Every lang value is a class.  The model is fitted on about ``PER_LANGUAGE`` training rows of each, chosen by the hash
+of their id; with more than ``LANGUAGES`` values each has fewer, but at least its first, so the sample stays bounded.
+Scoring reads every whole text once.
 
 Defined cases: a NULL text or one without a letter is ``und`` with score 0, as is every text when nothing could be
 learned.  Rows with a NULL lang are not learned from; a NULL doc_id is never held out.  Ties go to the language
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from locuswave.llm.common import table
 from locuswave.llm.toxicity import remainder
+from locuswave.session import bounded_side, stage
 
 BITS, ORDERS = 14, 3
 PER_LANGUAGE, LANGUAGES, LANDMARKS = 400, 64, 128
@@ -61,21 +63,30 @@ def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 def fit(texts: list[str], labels: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, landmark rows and the matrix from landmark kernels to one score per language."""
     names = sorted(set(labels))
-    rows = np.stack([presence(t) for t in texts])
     # Landmarks take turns over the languages.
     by = {n: [k for k, x in enumerate(labels) if x == n] for n in names}
     turns = sorted((at, n) for n in names for at in range(len(by[n])))[:max(LANDMARKS, len(names))]
-    marks = rows[[by[n][at] for at, n in turns]]
+    marks = np.stack([presence(texts[by[n][at]]) for at, n in turns])
     values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     good = values > 1e-6
     root = vectors[:, good] / np.sqrt(values[good])
-    design = kernel(rows, marks).astype(np.float64) @ root
-    goal = np.where(np.array(labels)[:, None] == np.array(names), 1.0, -1.0)
     # Rows of rare languages weigh as much in total as those of frequent ones.
-    weight = np.array([1.0 / len(by[x]) for x in labels])[:, None]
+    weight = np.array([1.0 / len(by[x]) for x in labels])
     weight *= len(labels) / weight.sum()
-    mean = np.hstack([design, np.ones((len(design), 1))])
-    solved = np.linalg.solve(mean.T @ (weight * mean) + RIDGE * np.eye(mean.shape[1]), mean.T @ (weight * goal))
+    place = {n: k for k, n in enumerate(names)}
+    # The sums of the normal equations: no more than a batch of rows is held at once.
+    size = root.shape[1] + 1
+    square, toward = RIDGE * np.eye(size), np.zeros((size, len(names)))
+    for at in range(0, len(texts), BATCH):
+        part = range(at, min(at + BATCH, len(texts)))
+        design = kernel(np.stack([presence(texts[k]) for k in part]), marks).astype(np.float64) @ root
+        mean = np.hstack([design, np.ones((len(design), 1))])
+        goal = np.full((len(design), len(names)), -1.0)
+        goal[np.arange(len(design)), [place[labels[k]] for k in part]] = 1.0
+        weighed = mean * weight[part.start:part.stop, None]
+        square += weighed.T @ mean
+        toward += weighed.T @ goal
+    solved = np.linalg.solve(square, toward)
     return names, marks.astype(np.float32), np.vstack([root @ solved[:-1], solved[-1:]]).astype(np.float32)
 
 
@@ -91,11 +102,13 @@ def _fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame) -> bytes | None:
     """The fitted model; its size depends on the parameters and the number of languages only."""
     usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").filter(remainder(5) != 0)
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     place = F.xxhash64("doc_id")
+    counts = stage(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(place).alias("first")), "languages")
+    each = max(1, PER_LANGUAGE * LANGUAGES // max(LANGUAGES, counts.count()))
+    chosen = F.pmod("place", F.lit(SHARE_BASIS)) * F.col("count") < each * SHARE_BASIS
     sample = (usable.select("text", "lang", place.alias("place"))
-              .join(F.broadcast(counts), "lang")  # at most LANGUAGES rows
-              .filter(F.pmod("place", F.lit(SHARE_BASIS)) * F.col("count") < PER_LANGUAGE * SHARE_BASIS)
+              .join(bounded_side(counts), "lang")
+              .filter(chosen | (F.col("place") == F.col("first")))
               .select("text", "lang", "place"))
     found = sample.coalesce(1).mapInPandas(_fit, "model binary").collect()
     return found[0]["model"] if found else None

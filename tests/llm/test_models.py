@@ -228,6 +228,20 @@ def test_language_of_held_out_texts(spark):
     assert langid.language_id(docs_of(spark, [])).count() == 0
 
 
+def test_every_language_is_a_class(spark, monkeypatch):
+    rng = random.Random(12)
+    words = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for k in range(70)}
+    rows = [(len(words) * n + k, " ".join(rng.choice(words[lang]) for _ in range(30)), lang)
+            for n in range(20) for k, lang in enumerate(words)]
+    rows.append((9000, "qqxz wwxz qqxz wwxz eexz", "zz"))  # a language of one labelled row
+    assert zlib.crc32(b"9000") % 5 and len(words) > langid.LANGUAGES
+    for each in (langid.PER_LANGUAGE, 2):
+        monkeypatch.setattr(langid, "PER_LANGUAGE", each)
+        out = {r.doc_id: r for r in langid.language_id(docs_of(spark, rows)).collect()}
+        assert {r.lang_pred for r in out.values()} == {*words, "zz"}
+        assert sum(out[d].lang_pred == lang for d, _, lang in rows if out[d].held_out) / sum(r.held_out for r in out.values()) > 0.9
+
+
 def brute_rules(text):
     patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                 r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
