@@ -17,6 +17,7 @@ from __future__ import annotations
 import pickle
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,8 +28,10 @@ from pyspark.sql import types as T
 from locuswave.llm import pii_model
 from locuswave.llm.common import table
 from locuswave.llm.pii_model import KINDS, WINDOW
+from locuswave.session import stage
 
-# The model's sample: documents with a digit or @ that come first by the hash of their id.
+# The model's sample: of the documents with a rule span of each kind, and of those with a digit or @ but no span, an
+# equal number that come first by the hash of their id and text.
 TRAIN_DOCS = 3_000
 STEPS, BATCH, MIXED = 350, 32, 1_500
 STRIDE = WINDOW // 2
@@ -212,13 +215,27 @@ def _fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"model": [pickle.dumps(fit(list(sample["text"])))]})
 
 
+def _kinds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The place of each text and a bit per kind of its rule spans."""
+    for frame in frames:
+        held = [sum({1 << kind for kind, _, _ in rule_spans(t)}) for t in frame["text"]]
+        yield pd.DataFrame({"place": frame["place"], "kinds": held})
+
+
+def training_texts(docs: DataFrame) -> DataFrame:
+    """text, place of at most ``TRAIN_DOCS`` documents: an equal share for each kind and for texts without a span."""
+    marked = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("place"))
+    held = stage(marked.mapInPandas(_kinds, "place long, kinds int"), "kinds")
+    asked = [F.col("kinds") == 0, *[F.col("kinds").bitwiseAND(1 << k) > 0 for k in range(len(KINDS))]]
+    shares = [held.filter(c).select("place").distinct().orderBy("place").limit(TRAIN_DOCS // len(asked)) for c in asked]
+    places = stage(reduce(DataFrame.unionByName, shares).distinct(), "sample-places")
+    # At most TRAIN_DOCS places.
+    return marked.join(F.broadcast(places), "place", "left_semi").dropDuplicates(["place"])
+
+
 def train(docs: DataFrame) -> bytes:
     """The model, fitted in one task on at most ``TRAIN_DOCS`` texts; its size is fixed."""
-    marked = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("place"))
-    # Only hashes are sorted; the texts at or below the last of them are then read.
-    last = marked.select("place").distinct().orderBy("place").limit(TRAIN_DOCS).agg(F.max("place")).first()[0]
-    sample = marked.filter(F.col("place") <= last).dropDuplicates(["place"]) if last is not None else marked.limit(0)
-    found = sample.coalesce(1).mapInPandas(_fit, "model binary").collect()
+    found = training_texts(docs).select("text", "place").coalesce(1).mapInPandas(_fit, "model binary").collect()
     return found[0]["model"] if found else pickle.dumps(None)
 
 
