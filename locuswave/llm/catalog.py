@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from locuswave.llm import decontaminate, langid, licenses, near_dedup, packing, pii, preference, quality, token_files, toxicity
+from locuswave.llm import (
+    decontaminate, langid, licenses, mixing, near_dedup, packing, pii, preference, quality, repair, token_files, toxicity,
+    whitening,
+)
 
 LLM_QUERIES = {
     "op1_preference_pairs": preference.op1_preference_pairs,
@@ -16,6 +19,9 @@ LLM_QUERIES = {
     "op7_license_scan": licenses.op7_license_scan,
     "op8_string_kernel_language": langid.op8_string_kernel_language,
     "op9_quality_ledger": quality.op9_quality_ledger,
+    "op11_prefix_cut_mixing": mixing.op11_prefix_cut_mixing,
+    "op12_feast_whitening": whitening.op12_feast_whitening,
+    "op13_grammar_alignment_repair": repair.op13_grammar_alignment_repair,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,6 +30,8 @@ LLM_ORACLES = {
     "op2_template_leaks": decontaminate.OP2_SQL,
     "op7_license_scan": licenses.OP7_SQL,
     "op9_quality_ledger": quality.OP9_SQL,
+    "op11_prefix_cut_mixing": mixing.OP11_SQL,
+    "op13_grammar_alignment_repair": repair.OP13_SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL:
