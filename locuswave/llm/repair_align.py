@@ -18,7 +18,7 @@ RENAME, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 # Grammar states by what was put out last: nothing, s, u, a; a conversation may end at the first and the last.
 START, AFTER_S, AFTER_U, AFTER_A = STATES = (0, 1, 2, 3)
 ENDS = (START, AFTER_A)
-BLOCK = 32
+BLOCK = 24
 
 # Cheapest edits from one state to another: cost and edit string; a missing pair cannot be reached.
 Matrix = dict[tuple[int, int], tuple[int, str]]
@@ -91,12 +91,30 @@ def _banded(symbols: str, target: str, limit: int) -> tuple[int, str] | None:
     return rest[0][0], "".join(edits)
 
 
+def _affordable(symbols: str, entry: int, leave: int) -> int:
+    """Cost of some alignment that ends in ``leave``: turn by turn the cheaper of putting it out and deleting it."""
+    if leave == START:
+        return DELETE * len(symbols)
+    if leave == AFTER_S:
+        return DELETE * len(symbols) + TRUNCATED
+    state, cost = entry, 0
+    for symbol in symbols:
+        initial = "a" if state == AFTER_U else "u"
+        pair = _pairing(symbol, initial)
+        if pair is None or pair > DELETE:
+            cost += DELETE
+        else:
+            cost, state = cost + pair, _exit(state, initial)
+    # One insert leads from user to assistant and back, two from the start or a system turn.
+    steps = 0 if state == leave else 1 if leave == AFTER_U or state == AFTER_U else 2
+    return cost + INSERT * steps
+
+
 @lru_cache(maxsize=1 << 15)
 def align(symbols: str, entry: int, leave: int) -> tuple[int, str] | None:
     """Cheapest edits of the turns that lead from ``entry`` to ``leave``; the least edit string among equals."""
     rows = len(symbols)
-    # Deleting all turns but one and inserting two is always cheap enough, where the exit can be reached at all.
-    limit, best = DELETE * rows + 2 * INSERT, None
+    limit, best = _affordable(symbols, entry, leave), None
     lengths = sorted(range(rows + limit // INSERT + 1), key=lambda k: (_least_change(rows, k), k))
     for length in lengths:
         if _least_change(rows, length) > limit:
@@ -112,8 +130,34 @@ def align(symbols: str, entry: int, leave: int) -> tuple[int, str] | None:
 
 
 def conversation(symbols: str) -> tuple[int, str]:
-    """Cost and edit string of a whole conversation."""
-    return min(found for leave in ENDS if (found := align(symbols, START, leave)) is not None)
+    """Cost and edit string of a whole conversation; a long one is joined from blocks, in time linear in its turns."""
+    if len(symbols) <= BLOCK:
+        return min(found for leave in ENDS if (found := align(symbols, START, leave)) is not None)
+    states = {START: (0, "")}
+    for at in range(0, len(symbols), BLOCK):
+        part, onward = symbols[at:at + BLOCK], {}
+        for entry, (cost, edits) in states.items():
+            for leave in STATES:
+                found = align(part, entry, leave)
+                if found is not None:
+                    sum_ = (cost + found[0], edits + found[1])
+                    if leave not in onward or sum_ < onward[leave]:
+                        onward[leave] = sum_
+        states = _undominated(onward)
+    return min(states[leave] for leave in ENDS if leave in states)
+
+
+def _undominated(states: dict[int, tuple[int, str]]) -> dict[int, tuple[int, str]]:
+    """States that can still lead to a cheapest alignment.
+
+    After a u one insert leads to after an a, and back; after an s all goes on as after an a; before everything, the one
+    thing more is to keep a later s, which after an a is deleted.
+    """
+    far = 1 << 60
+    after_u, after_a = states.get(AFTER_U, (far,))[0], states.get(AFTER_A, (far,))[0]
+    best_a, best_u = min(after_a, after_u + INSERT), min(after_u, after_a + INSERT)
+    limits = {START: best_a + DELETE, AFTER_S: best_a, AFTER_U: best_u, AFTER_A: best_a}
+    return {state: found for state, found in states.items() if found[0] <= limits[state]}
 
 
 def block(symbols: str) -> Matrix:
