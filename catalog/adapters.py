@@ -64,6 +64,18 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crowded_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments at a few places with thousands of UMIs of six letters each, in very uneven numbers."""
+    item = table(spark, sf_dir, "lineitem")
+    return item.select(
+        F.expr("concat(l_linestatus, '_R1')").alias("sample_id"),
+        F.expr("concat(l_orderkey, '-', l_linenumber, '-', l_partkey)").alias("read_id"),
+        F.expr("concat('chr', l_suppkey % 2)").alias("chrom"), F.lit(1000).cast("long").alias("pos"),
+        F.lit(0).alias("flag"), F.expr("cast(l_quantity as int)").alias("mapq"), F.lit("50M").alias("cigar"),
+        F.expr("translate(substring(md5(cast(l_partkey % 997 * (l_partkey % 13) as string)), 1, 5), '0123456789abcdef', "
+               "'ACGTACGTACGTACGT') || substring('ACGT', cast(l_orderkey % 7 % 4 + 1 as int), 1)").alias("umi"))
+
+
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test groups, their control and on-target, read off the table's flags (one row per flag)."""
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct().filter("l_returnflag <> 'R'")

@@ -392,9 +392,7 @@ kept AS (
     ORDER BY mapq DESC, read_id) = 1)"""
 define("umi_dedup_exact", DEDUP, select="SELECT sample_id, read_id, chrom, pos, umi, mapq FROM kept")
 # A UMI belongs to the first UMI, by falling count, from which directional steps lead to it.
-define("umi_dedup_directional", ALN, """molecules AS (
-  SELECT *, CASE WHEN flag & 16 <> 0 THEN pos + ref_length + start_clip ELSE pos - start_clip END AS place,
-         flag & 16 AS strand FROM aln WHERE flag & 256 = 0),
+CLUSTERS = """,
 copies AS (SELECT sample_id, chrom, place, strand, umi, count(*) AS n FROM molecules GROUP BY ALL),
 steps AS (
   SELECT a.sample_id, a.chrom, a.place, a.strand, a.umi AS src, b.umi AS dst
@@ -411,10 +409,20 @@ owned AS (
   SELECT r.sample_id, r.chrom, r.place, r.strand, r.at AS umi, arg_min(r.root, (-c.n, r.root)) AS owner
   FROM reached r JOIN copies c ON r.sample_id = c.sample_id AND r.chrom = c.chrom AND r.place = c.place
     AND r.strand = c.strand AND r.root = c.umi
-  GROUP BY ALL)""", select="""
-SELECT sample_id, read_id, chrom, pos, umi FROM molecules JOIN owned USING (sample_id, chrom, place, strand, umi)
+  GROUP BY ALL)"""
+BEST = """
+SELECT sample_id, read_id, chrom, {0}, umi FROM molecules JOIN owned USING (sample_id, chrom, place, strand, umi)
 WHERE umi = owner
-QUALIFY row_number() OVER (PARTITION BY sample_id, chrom, place, strand, umi ORDER BY mapq DESC, read_id) = 1""")
+QUALIFY row_number() OVER (PARTITION BY sample_id, chrom, place, strand, umi ORDER BY mapq DESC, read_id) = 1"""
+define("umi_dedup_directional", ALN, """molecules AS (
+  SELECT *, CASE WHEN flag & 16 <> 0 THEN pos + ref_length + start_clip ELSE pos - start_clip END AS place,
+         flag & 16 AS strand FROM aln WHERE flag & 256 = 0)""" + CLUSTERS, select=BEST.format("pos"))
+define("umi_dedup_crowded", """molecules AS (
+  SELECT l_linestatus || '_R1' AS sample_id, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS read_id,
+         'chr' || (l_suppkey % 2) AS chrom, 1000 AS place, 0 AS strand, l_quantity::INT AS mapq,
+         translate(substr(md5((l_partkey % 997 * (l_partkey % 13))::VARCHAR), 1, 5), '0123456789abcdef', 'ACGTACGTACGTACGT')
+         || substr('ACGT', l_orderkey % 7 % 4 + 1, 1) AS umi FROM lineitem)""" + CLUSTERS, select=BEST.format("mapq"))
+define("fastq_round_trip", PAIRS, select="SELECT sample_id, read_id, seq1, qual1, seq2, qual2 FROM pairs")
 DEDUP_STATS = """SELECT sample_id, total_umis, total_dedup_umis, round(100.0::DOUBLE * (total_umis - total_dedup_umis) / total_umis, 6) AS pct_duplication
 FROM (SELECT {0} AS sample_id, count(*)::BIGINT AS total_umis FROM aln WHERE flag & 256 = 0 GROUP BY 1)
 JOIN (SELECT {0} AS sample_id, count(*)::BIGINT AS total_dedup_umis FROM {1} GROUP BY 1) USING (sample_id)"""

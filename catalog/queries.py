@@ -16,7 +16,9 @@ from locuswave.operators import (
 from locuswave.params import Params
 from locuswave.plans import calls
 from locuswave.schema import mean_of, value_names
-from locuswave.session import stage, together
+from locuswave.session import run_path, stage, together
+from locuswave.sinks import tables as sink
+from locuswave.sources import ranges, sequences
 
 N = len(src.REPS)
 VALUES = value_names(N)
@@ -226,8 +228,10 @@ def interval_join_wide(spark, sf):
 
 @query
 def region_scan(spark, sf):
-    sums = signal.window_sums(src.counts(spark, sf), N, PARAMS.stat_window)
-    return plain(intervals.region(sums, "chr2", 1_000, 5_000), "chrom", "start", "stop")
+    """Runs of a region from a written table: its range index names the files to read."""
+    path = run_path(spark, "sums")
+    sink.write_signal(signal.window_sums(src.counts(spark, sf), N, PARAMS.stat_window), path)
+    return plain(ranges.read_region(spark, path, "chr2", 1_000, 5_000), "chrom", "start", "stop")
 
 
 # -- calling -----------------------------------------------------------------------------------
@@ -416,6 +420,20 @@ def umi_dedup_directional(spark, sf):
     return dedup.directional_umi(src.alignments(spark, sf)).select("sample_id", "read_id", "chrom", "pos", "umi")
 
 
+@query
+def umi_dedup_crowded(spark, sf):
+    """The same where thousands of UMIs share a place."""
+    return dedup.directional_umi(src.crowded_alignments(spark, sf)).select("sample_id", "read_id", "chrom", "umi", "mapq")
+
+
+@query
+def fastq_round_trip(spark, sf):
+    """Read pairs written as blocked-gzip FASTQ and read back by many tasks, mates paired by their order."""
+    path = run_path(spark, "fastq")
+    sink.write_fastq(src.read_pairs(spark, sf), path)
+    return sequences.read_fastq(spark, sink.fastq_sheet(spark, path), split_bytes=1 << 20)
+
+
 @query
 def dedup_stats(spark, sf):
     before = src.alignments(spark, sf)

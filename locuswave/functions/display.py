@@ -10,6 +10,13 @@ BASE_COLORS = {"A": "#008000", "C": "#0000FF", "G": "#FFC300", "T": "#FF0000"}
 OTHER_COLOR = "#000000"
 
 
+def escaped(text: Column) -> Column:
+    """Text as it may stand in HTML, inside quoted attributes too."""
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        text = F.replace(text, F.lit(raw), F.lit(safe))
+    return text
+
+
 def integer(x: Column) -> Column:
     return F.format_number(x, 0)
 
@@ -52,7 +59,7 @@ def dna_html(seq: Column) -> Column:
         color = F.lit(OTHER_COLOR)
         for base, shade in BASE_COLORS.items():
             color = F.when(F.upper(c) == base, F.lit(shade)).otherwise(color)
-        return F.concat(F.lit('<span style="color:'), color, F.lit('">'), c, F.lit("</span>"))
+        return F.concat(F.lit('<span style="color:'), color, F.lit('">'), escaped(c), F.lit("</span>"))
 
     letters = F.filter(F.split(seq, ""), lambda c: c != "")
     return F.concat(F.lit("<span style='font-family:monospace'>"),

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from locuswave.functions import cigar as cg
 from locuswave.session import stage
@@ -28,72 +28,105 @@ def with_fragment_start(alignments: DataFrame) -> DataFrame:
 PLACE = ("sample_id", "chrom", "fragment_start", "is_reverse")
 
 
-def keep_best(alignments: DataFrame, keys: Sequence[str], copies: str | None = None) -> DataFrame:
-    """Best alignment per key: highest mapping quality, then smallest read id; optionally its copies.
+def molecules_of(placed: DataFrame) -> DataFrame:
+    """Place, UMI, number of alignments and the best of them: highest mapping quality, then smallest read id.
 
-    An aggregation with map-side combine, so a molecule with any number of copies is no hot spot.
+    Only the columns that decide are aggregated, map-side first, so a molecule with any number of copies is no hot
+    spot and no alignment is sorted or shuffled as a whole.
     """
-    row = F.struct(*alignments.columns)
     order = F.struct((-F.col("mapq")).alias("q"), "read_id")
-    best = alignments.groupBy(*keys).agg(F.min_by(row, order).alias("_r"), F.count(F.lit(1)).alias("_n"))
-    return best.select("_r.*", *([F.col("_n").alias(copies)] if copies else []))
+    return placed.groupBy(*PLACE, "umi").agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("_o")).select(
+        *PLACE, "umi", "copies", (-F.col("_o.q")).alias("mapq"), F.col("_o.read_id").alias("read_id"))
+
+
+def fetch(placed: DataFrame, chosen: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The alignments that ``chosen`` names, one each: the one shuffle and sort of whole rows.
+
+    The join key holds the read id, so copies of one molecule are spread over the tasks.
+    """
+    keys = [*PLACE, "umi", "mapq", "read_id"]
+    mine = placed.withColumn("_k", F.xxhash64(*keys))
+    named = chosen.select(F.xxhash64(*keys).alias("_k"), *[F.col(c).alias(f"_{c}") for c in keys])
+    same = mine["_k"] == named["_k"]
+    for c in keys:
+        same = same & mine[c].eqNullSafe(named[f"_{c}"])
+    found = mine.join(named, same).select(mine["*"])
+    # Only rows that repeat a read at the same place are left to tell apart.
+    again = Window.partitionBy("_k", *keys).orderBy("pos", "flag", "cigar")
+    return found.withColumn("_n", F.row_number().over(again)).filter("_n = 1").select(*columns)
 
 
 def exact_umi(alignments: DataFrame) -> DataFrame:
     """One alignment per place and UMI."""
     placed = with_fragment_start(alignments.filter(cg.is_primary(F.col("flag"))))
-    return keep_best(placed, [*PLACE, "umi"]).select(*alignments.columns)
+    return fetch(placed, molecules_of(placed), alignments.columns)
 
 
 def directional_umi(alignments: DataFrame) -> DataFrame:
     """One alignment per place and UMI cluster.
 
-    A UMI absorbs another at Hamming distance one when it is at least twice as frequent less one.
-    Copies of a UMI are first reduced, map-side, to the best of them and their number.  Only these
-    distinct UMIs, at most ``4 ** length`` per place, are clustered and joined.
+    A UMI absorbs another at Hamming distance one when it is at least twice as frequent less one, and what that one
+    absorbs.  A UMI belongs to the most frequent one (the smallest of equals) that reaches it this way.
     """
     placed = with_fragment_start(alignments.filter(cg.is_primary(F.col("flag"))))
-    molecules = stage(keep_best(placed, [*PLACE, "umi"], copies="_copies"), "molecules")
-    # At most 4 ** length entries per place; places with one UMI stay out of Python.
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("_copies")).alias("rank"), F.col("umi"))))
-    crowded = molecules.groupBy(*PLACE).agg(ranked.alias("_u")).filter(F.size("_u") > 1)
-    umis, counts = F.col("_u.umi"), F.transform("_u", lambda u: -u["rank"])
-    clusters = crowded.select(*PLACE, F.explode(F.arrays_zip(
-        umis.alias("umi"), cluster_owners(umis, counts).alias("owner"))).alias("_c"),
-    ).select(*PLACE, F.col("_c.umi").alias("umi"), F.col("_c.owner").alias("umi_cluster"))
-    labelled = molecules.join(clusters, [*PLACE, "umi"], "left")
+    molecules = stage(molecules_of(placed), "molecules")
+    owned = umi_owners(molecules).filter("owner <> umi")
     # The owner's own best read stays; an absorbed UMI is an error, however well its read maps.
-    return labelled.filter("umi_cluster IS NULL OR umi_cluster = umi").select(*alignments.columns)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def cluster_owners(umis: pd.Series, counts: pd.Series) -> pd.Series:
-    return pd.Series([_owners(list(u), list(n)) for u, n in zip(umis, counts)])
-
-
-def _owners(umis: list[str], counts: list[int]) -> list[str]:
-    """For UMIs by falling count, the most frequent UMI that reaches each through directional steps."""
-    copies = dict(zip(umis, counts))
-    owner: dict[str, str] = {}
-    for root in umis:
-        if root in owner:
-            continue
-        owner[root] = root
-        frontier = [root]
-        while frontier:
-            umi = frontier.pop()
-            for other in _neighbours(umi):
-                if other in copies and other not in owner and copies[umi] >= 2 * copies[other] - 1:
-                    owner[other] = root
-                    frontier.append(other)
-    return [owner[umi] for umi in umis]
-
-
-def _neighbours(umi: str):
-    for i, base in enumerate(umi):
-        for other in "ACGTN":
-            if other != base:
-                yield umi[:i] + other + umi[i + 1:]
+    kept = molecules.alias("m").join(
+        owned.alias("o"), _same("m", "o", [*PLACE, "umi"]), "left_anti")
+    return fetch(placed, kept, alignments.columns)
+
+
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+def umi_steps(molecules: DataFrame) -> DataFrame:
+    """Directional steps (place, src, src_copies, dst, dst_copies) between UMIs one substitution apart.
+
+    UMIs that agree in all letters but one share the key with that letter blanked out, and a key has at most as
+    many members as there are letters: the neighbours meet by equality, whatever the number of UMIs at a place.
+    """
+    crowded = molecules.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_umis")).filter("_umis > 1")
+    some = molecules.alias("m").join(crowded.alias("c"), _same("m", "c", PLACE), "left_semi")
+    at = F.col("_at")
+    blank = F.concat(F.expr("substring(umi, 1, _at - 1)"), F.lit("."), F.expr("substring(umi, _at + 1)"))
+    keyed = some.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("umi")))).select(
+        *PLACE, at, blank.alias("_key"), F.struct("umi", "copies").alias("_u"))
+    met = keyed.groupBy(*PLACE, "_key").agg(F.collect_list("_u").alias("_us")).filter(F.size("_us") > 1)
+    pairs = met.select(*PLACE, "_us", F.explode("_us").alias("_a")).select(
+        *PLACE, "_a", F.explode("_us").alias("_b")).filter("_a.umi <> _b.umi and _a.copies >= 2 * _b.copies - 1")
+    return pairs.select(*PLACE, F.col("_a.umi").alias("src"), F.col("_a.copies").alias("src_copies"),
+                        F.col("_b.umi").alias("dst"), F.col("_b.copies").alias("dst_copies"))
+
+
+def umi_owners(molecules: DataFrame) -> DataFrame:
+    """(place, umi, owner) of every UMI that some step leads to.
+
+    The smallest label, a UMI by falling count, is handed along the steps until no label changes; what a UMI's label
+    names already reaches it, so each round also looks up the label's own label and paths shrink by halves.
+    """
+    label = lambda copies, umi: F.struct((-F.col(copies)).alias("rank"), F.col(umi).alias("umi"))
+    steps = stage(umi_steps(molecules), "umi-steps")
+    first = steps.select(*PLACE, F.col("dst").alias("umi"), F.explode(F.array(
+        label("src_copies", "src"), label("dst_copies", "dst"))).alias("label"))
+    now = stage(_least(first), "umi-labels")
+    hops, mark = steps.select(*PLACE, F.col("src").alias("umi"), "dst"), None
+    while True:
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*PLACE, "umi", "label").cast("decimal(38,0)"))).first()
+        if state == mark or not state[0]:
+            return now.select(*PLACE, "umi", F.col("label.umi").alias("owner"))
+        mark = state
+        handed = hops.alias("h").join(now.alias("n"), _same("h", "n", [*PLACE, "umi"])).select(
+            *[F.col(f"h.{c}") for c in PLACE], F.col("h.dst").alias("umi"), F.col("n.label").alias("label"))
+        named = now.select(*PLACE, F.col("label.umi").alias("umi"), F.col("umi").alias("of"))
+        jumped = named.alias("h").join(now.alias("n"), _same("h", "n", [*PLACE, "umi"])).select(
+            *[F.col(f"h.{c}") for c in PLACE], F.col("h.of").alias("umi"), F.col("n.label").alias("label"))
+        now = stage(_least(now.unionByName(handed).unionByName(jumped)), "umi-labels")
+
+
+def _least(labels: DataFrame) -> DataFrame:
+    return labels.groupBy(*PLACE, "umi").agg(F.min("label").alias("label"))
 
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -12,13 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuswave.functions import cigar as cg
 from locuswave.operators import aggregate, dedup, groups, qc, reads, sampling
 from locuswave.operators.calling import Evidence
 from locuswave.params import Params
 from locuswave.plans import calls, report
 from locuswave.session import stage
+from locuswave.sinks import files, tracks
 from locuswave.sinks import tables as sink
-from locuswave.sinks import tracks
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,8 @@ class Analysis:
     consensus: DataFrame
     sites: DataFrame
     concs: list[int]
+    # Per sample of the whole run: places in the sheet, alignments before and after duplicate removal.
+    samples: DataFrame
 
 
 def analyse(sheet: DataFrame, alignments: DataFrame, params: Params, genome: DataFrame | None = None,
@@ -73,8 +76,11 @@ def analyse(sheet: DataFrame, alignments: DataFrame, params: Params, genome: Dat
                                       F.max("on_target_location").alias("on_target_location"))
     pairs = stage(groups.test_control_pairs(made).join(F.broadcast(info), "grp"), "pairs")
 
+    given = alignments
     if params.use_umis:
-        alignments = dedup.directional_umi(alignments)
+        # Read by the counts and by the statistics of duplicates.
+        alignments = stage(dedup.directional_umi(given), "molecules-kept")
+    per_sample = stage(_per_sample(samples, given, alignments if params.use_umis else None), "samples")
     classified = stage(reads.classify(alignments, params).select(
         "sample_id", "chrom", "start", "low_mapq", "over_clip", "short", "passing"), "classified")
     # Read by the statistics and by every replicate class.
@@ -101,17 +107,51 @@ def analyse(sheet: DataFrame, alignments: DataFrame, params: Params, genome: Dat
         reported = stage(calls.reported_sites(tables, mine, evidence, params, genome, chunk), "reported")
         best = stage(calls.consensus_sites(reported, mine, tables, evidence, params), "consensus")
         sites = aggregate.pivot_concentrations(best, concs, n, m, params)
-        results.append(Analysis(n, m, mine, tables, evidence, reported, best, sites, concs))
+        results.append(Analysis(n, m, mine, tables, evidence, reported, best, sites, concs, per_sample))
     return results, stats
 
 
+def _per_sample(samples: DataFrame, given: DataFrame, kept: DataFrame | None) -> DataFrame:
+    """Samples of the sheet with their alignments before and after duplicate removal."""
+    counted = given.groupBy("sample_id").agg(
+        F.count(F.lit(1)).alias("input_reads"), F.count_if(cg.is_primary(F.col("flag"))).alias("aligned_reads"))
+    rows = samples.select("sample_id", "sample_group", "replicate", "concentration").join(counted, "sample_id", "left")
+    if kept is None:
+        return rows.withColumn("total_dedup_umis", F.lit(None).cast("long")).withColumn("pct_duplication", F.lit(None).cast("double"))
+    after = dedup.dedup_stats(given, kept).select("sample_id", "total_dedup_umis", "pct_duplication")
+    return rows.join(after, "sample_id", "left")
+
+
+def run_metrics(result: Analysis, stats: DataFrame, preprocessed: Preprocessed | None = None) -> DataFrame:
+    """Metrics per sample from the run itself; fields of the read filters are NULL where reads were not filtered here."""
+    counted = result.samples.select("sample_id")
+    number = lambda *names: [F.lit(None).cast("long").alias(c) for c in names]
+    reads_ = preprocessed.read_report if preprocessed else counted.select(
+        "sample_id", *number("total_reads", "lowq_reads", "too_many_n_reads", "short_reads", "reads_passing_filter"),
+        F.lit(None).cast("double").alias("pct_q30_reads_pf"))
+    umis = preprocessed.umi_report if preprocessed else None
+    has_umis = "total_dedup_umis" in result.samples.columns
+    return qc.qc_metrics(
+        result.samples.select("sample_id", "sample_group", "replicate", "concentration"), reads_, umis, result.samples,
+        result.samples if has_umis else None, stats)
+
+
 def publish(results: list[Analysis], stats: DataFrame, out: str, metrics: DataFrame | None = None,
-            params: Params | None = None, version: str = "") -> None:
-    """Write every table of a run below ``out``, one folder per kind and replicate class."""
+            params: Params | None = None, version: str = "", preprocessed: Preprocessed | None = None,
+            genome: str = "genome") -> None:
+    """Write every table of a run below ``out``, one folder per kind and replicate class.
+
+    The number of jobs does not depend on the number of sample groups.  Without ``metrics`` those of the run are
+    written, with the fields of ``preprocessed`` if the reads were filtered by this library.
+    """
     params = params or Params()
     sink.write_reports(sink.count_report(stats), os.path.join(out, "count_stats"))
+    if metrics is None and results:
+        metrics = run_metrics(results[0], stats, preprocessed)
     if metrics is not None:
+        metrics = stage(metrics, "metrics")
         sink.write_metrics(metrics, os.path.join(out, "metrics"))
+    panels: list[list[str]] = []
     for result in results:
         place = os.path.join(out, f"{result.n}x{result.m}_replicates")
         tables = result.tables
@@ -119,22 +159,13 @@ def publish(results: list[Analysis], stats: DataFrame, out: str, metrics: DataFr
             sink.write_signal(getattr(tables, name), os.path.join(place, name))
         for name in ("test_peak_hist", "control_peak_hist", "wide_hist"):
             sink.write_histogram(getattr(tables, name), os.path.join(place, name))
-        tracks.write_bedgraph(tables.test_sums, range(1, result.n + 1), os.path.join(place, "tracks"))
+        panels += tracks.write_tracks(tables.test_sums, range(1, result.n + 1), os.path.join(place, "tracks"), out)
         sink.write_sites(result.reported, os.path.join(place, "reported_sites"), ["grp", "rank"])
         sink.write_sites(result.sites, os.path.join(place, "sites"), ["sample_group", "rank"])
-        # One report per sample group of the sheet.
-        groups_ = result.groups.groupBy("sample_group").agg(
-            F.max("control_grp").alias("control_grp"), F.max("on_target_motif").alias("motif"),
-            F.max("on_target_location").alias("location")).collect()
-        for row in groups_:
-            own = result.groups.filter(F.col("sample_group") == row.sample_group).select("grp")
-            hist = tables.test_peak_hist.join(F.broadcast(own), "grp", "left_semi").unionByName(
-                tables.control_peak_hist.filter(F.col("grp") == row.control_grp))
-            null = lambda df, c=row.control_grp: df.filter(F.col("null_id") == c)
-            evidence = Evidence(tables.test_sums, tables.control_sums, tables.wide_sums,
-                                null(result.evidence.peak_null), null(result.evidence.wide_null), result.n, result.m)
-            control = row.control_grp.rsplit("_", 1)[0]
-            report.write_report(
-                os.path.join(place, "reports", row.sample_group), row.sample_group, control, row.motif or "",
-                row.location or "", result.sites.filter(F.col("sample_group") == row.sample_group), result.concs,
-                hist, metrics, evidence, params, version)
+        hists = tables.test_peak_hist.select("grp", "mean", "cnt").unionByName(
+            tables.control_peak_hist.select("grp", "mean", "cnt"))
+        report.write_reports(os.path.join(place, "reports"), result.groups, result.sites, result.concs, hists, metrics,
+                             result.evidence, params, version)
+    if results:
+        session = tracks.browser_session(genome, panels)
+        files.write_named(stats.sparkSession.createDataFrame([("session.xml", session)], "name string, content string"), out)

@@ -1,16 +1,16 @@
-"""Summary report of a sample group.
+"""Summary reports of sample groups.
 
-Aggregates are computed by Spark and only their few rows reach the driver.  The site table is
-written by the executors as HTML row fragments, page by page; the report shows the first page.
+Aggregates are computed by Spark for all sample groups together; only their few rows reach the driver.  The site
+tables are HTML pages of 200 ranks that the executors write as named files, and a report is its first page with the
+summaries around it: one job writes all pages and reports of a run.
 """
 
 from __future__ import annotations
 
 import html
-import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswave.functions import display
@@ -18,6 +18,8 @@ from locuswave.operators import aggregate, nulls
 from locuswave.operators.calling import Evidence
 from locuswave.operators.qc import METRICS
 from locuswave.params import Params
+from locuswave.session import stage
+from locuswave.sinks import files
 
 PAGE_ROWS = 200
 MAX_BINS = 2000
@@ -39,18 +41,21 @@ def threshold_summary(evidence: Evidence, params: Params) -> DataFrame:
         background.withColumn("p", F.lit(shown)).withColumn("stat", F.lit("mean wide control reads")))
 
 
-def read_stats(metrics: DataFrame, sample_group: str, control_group: str) -> DataFrame:
-    return metrics.filter(F.col("sample_group").isin(sample_group, control_group)).orderBy("identifier")
+def plot_bins(hist: DataFrame, key: str | None = None) -> DataFrame:
+    """Peaks per signal bin and group: two bins per unit of mean signal, at most 2000.
 
-
-def plot_bins(hist: DataFrame) -> DataFrame:
-    """Peaks per signal bin and group: two bins per unit of mean signal, at most 2000."""
-    top = hist.agg(F.max("mean")).first()[0] or 0.0
-    bins = max(1, min(int(top) * 2, MAX_BINS))
-    width = (top / bins) or 1.0
-    place = F.least(F.floor(F.col("mean") / F.lit(width)), F.lit(bins - 1)).cast("long")
-    return hist.groupBy("grp", place.alias("bin")).agg(F.sum("cnt").alias("sites")).withColumn(
-        "bin_start", F.round(F.col("bin") * F.lit(width), 6))
+    The axis goes up to the greatest mean of all groups, or of those that share a value of ``key``.
+    """
+    # Read for the axis and for the bins; has a row per distinct value.
+    hist = stage(hist.withColumn("_key", F.col(key) if key else F.lit("")), "plotted")
+    tops = hist.groupBy("_key").agg(F.max("mean").alias("_top"))
+    bins = F.greatest(F.lit(1), F.least(F.floor(F.col("_top")).cast("int") * 2, F.lit(MAX_BINS)))
+    width = F.when(F.col("_top") > 0, F.col("_top") / F.col("_bins")).otherwise(1.0)
+    tops = tops.withColumn("_bins", bins).withColumn("_width", width)
+    place = F.least(F.floor(F.col("mean") / F.col("_width")), F.col("_bins") - 1).cast("long")
+    keys = [key, "grp"] if key else ["grp"]
+    return hist.join(tops, "_key").groupBy(*keys, place.alias("bin"), "_width").agg(F.sum("cnt").alias("sites")).withColumn(
+        "bin_start", F.round(F.col("bin") * F.col("_width"), 6)).drop("_width")
 
 
 def site_columns(concs: Sequence[int]) -> dict[str, Column]:
@@ -82,89 +87,119 @@ def site_columns(concs: Sequence[int]) -> dict[str, Column]:
     return columns
 
 
-def write_site_pages(wide: DataFrame, concs: Sequence[int], path: str) -> int:
-    """All sites as complete HTML pages of 200 ranks, a folder each, linked with each other; the number of pages."""
+def _page_name(page: Column) -> Column:
+    return F.format_string("page-%06d.html", page)
+
+
+def site_pages(wide: DataFrame, concs: Sequence[int]) -> DataFrame:
+    """(sample_group, page, last, body): the rows of the site tables as HTML, page by page, all cells escaped."""
     columns = site_columns(concs)
-    columns["Chromosome"] = _escaped(columns["Chromosome"])
-    cells = [F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in columns.values()]
+    # The motif brings its own markup, letter by letter.
+    shown = [c if title == "Closest Motif" else display.escaped(c) for title, c in columns.items()]
+    cells = [F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in shown]
     rows = wide.select(
-        F.expr(f"rank div {PAGE_ROWS}").alias("page"), "rank",
+        "sample_group", F.expr(f"rank div {PAGE_ROWS}").alias("page"), "rank",
         F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("row"))
-    pages = (wide.agg(F.max("rank")).first()[0] or 0) // PAGE_ROWS + 1
-    head = "".join(f"<th>{html.escape(t)}</th>" for t in columns)
     body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "row"))), lambda r: r["row"]), "")
+    # A page has at most 200 rows, a sample group one row per page.
+    pages = rows.groupBy("sample_group", "page").agg(body.alias("body"))
+    last = wide.groupBy("sample_group").agg(F.expr(f"max(rank) div {PAGE_ROWS}").alias("last"))
+    return pages.join(last, "sample_group")
+
+
+def _links(page: Column, last: Column, folder: str) -> Column:
+    """First, last, next and farther pages: as many links whatever the number of pages."""
+    steps = [("First", F.lit(0)), ("-100", page - 100), ("-10", page - 10), ("Previous", page - 1),
+             ("Next", page + 1), ("+10", page + 10), ("+100", page + 100), ("Last", last)]
+    return F.concat(*[
+        F.when((to >= 0) & (to <= last), F.concat(
+            F.lit(f"<a href='{folder}"), _page_name(to.cast("long")), F.lit(f"'>{text}</a> "))).otherwise("")
+        for text, to in steps])
 
-    def link(text: str, page: Column, shown: Column) -> Column:
-        return F.when(shown, F.concat(F.lit("<a href='../page="), page.cast("string"), F.lit(f"/'>{text}</a> "))).otherwise("")
 
-    number = F.col("page")
+def _table_head(concs: Sequence[int]) -> str:
+    return "".join(f"<th>{html.escape(t)}</th>" for t in site_columns(concs))
+
+
+def _documents(wide: DataFrame, concs: Sequence[int], frames: DataFrame) -> DataFrame:
+    """(name, content) of every page and report; ``frames``: what stands before and behind a report's first page."""
+    pages = stage(site_pages(wide, concs), "site-pages")
+    folder, number = files.folder_name(F.col("sample_group")), F.col("page")
+    table = F.concat(F.lit(f"<table><thead><tr>{_table_head(concs)}</tr></thead><tbody>"), F.coalesce("body", F.lit("")),
+                     F.lit("</tbody></table>"))
     page = F.concat(
-        F.lit("<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>Sites, page "), number.cast("string"),
-        F.lit("</title></head><body><p><a href='../../report.html'>Report</a> "),
-        link("Previous", number - 1, number > 0), link("Next", number + 1, number < pages - 1),
-        F.lit(f"</p><table><thead><tr class='head'>{head}</tr></thead><tbody>"), F.col("body"),
-        F.lit("</tbody></table></body></html>"))
-    # A page has at most 201 rows.
-    (rows.groupBy("page").agg(body.alias("body")).select("page", page.alias("html"))
-     .repartition("page").write.partitionBy("page").text(path))
-    return pages
-
-
-def _escaped(text: Column) -> Column:
-    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(raw), F.lit(safe))
-    return text
-
-
-def write_report(path: str, sample_group: str, control_group: str, on_target_motif: str, on_target_location: str,
-                 wide: DataFrame, concs: Sequence[int], peak_hist: DataFrame, metrics: DataFrame | None,
-                 evidence: Evidence, params: Params, version: str = "") -> str:
-    """``report.html`` in ``path`` plus the complete site table in ``path/sites``."""
-    sites = os.path.join(path, "sites")
-    pages = write_site_pages(wide, concs, sites)
-    links = " ".join(f"<a href='sites/page={k}/'>{k + 1}</a>" for k in range(pages))
-    first = [r.row for r in wide.filter(F.col("rank") < PAGE_ROWS).orderBy("rank").limit(PAGE_ROWS).select(
-        F.concat(F.lit("<tr>"), *[
-            F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in site_columns(concs).values()
-        ], F.lit("</tr>")).alias("row")).collect()]
-    head = "".join(f"<th>{html.escape(t)}</th>" for t in site_columns(concs))
-    breakdown = aggregate.called_breakdown(wide, concs).drop("sample_group").orderBy("conc")
-    parts = [
-        _section("Metadata", _table(["Field", "Value"], [
-            ("Sample group", sample_group), ("Control group", control_group), ("On-target motif", on_target_motif),
-            ("On-target location", on_target_location), ("Version", version)])),
-        _section("Called Site Summary", _frame(breakdown)),
-        _section("Read &amp; Alignment Stats", _frame(read_stats(metrics, sample_group, control_group).select(
-            "identifier", *METRICS)) if metrics is not None else "<p>not available</p>"),
-        _section("Thresholds", _frame(threshold_summary(evidence, params))),
-        _section("Peak Signal Distributions", _plot(plot_bins(peak_hist))),
-        _section("Called/Reported Sites", f"<p>First page of {pages}: {links}</p>"
-                 f"<table><thead><tr>{head}</tr></thead><tbody>{''.join(first)}</tbody></table>"),
-    ]
-    document = ("<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>"
-                f"{html.escape(sample_group)}</title></head><body>{''.join(parts)}</body></html>")
-    target = os.path.join(path, "report.html")
-    _save(wide.sparkSession, target, document)
-    return target
-
-
-def _save(spark: SparkSession, path: str, text: str) -> None:
-    """One small file on whatever file system the path names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
-    out.write(bytearray(text, "utf-8"))
-    out.close()
+        F.lit("<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>Sites, page "), (number + 1).cast("string"),
+        F.lit("</title></head><body><p><a href='../report.html'>Report</a> "), _links(number, F.col("last"), ""),
+        F.lit("</p>"), table, F.lit("</body></html>"))
+    first = frames.join(pages.filter("page = 0"), "sample_group", "left")
+    shown = F.when(F.col("last").isNotNull(), F.concat(
+        F.lit("<p>Page 1 of "), (F.col("last") + 1).cast("string"), F.lit(": "), _links(F.lit(0), F.col("last"), "sites/"),
+        F.lit("</p>"))).otherwise("<p>no sites</p>")
+    report = F.concat("before", shown, table, "behind")
+    return pages.select(F.concat(folder, F.lit("/sites/"), _page_name(number)).alias("name"), page.alias("content")).unionByName(
+        first.select(F.concat(folder, F.lit("/report.html")).alias("name"), report.alias("content")))
+
+
+def write_reports(path: str, groups: DataFrame, wide: DataFrame, concs: Sequence[int], peak_hists: DataFrame,
+                  metrics: DataFrame | None, evidence: Evidence, params: Params, version: str = "") -> None:
+    """``<sample group>/report.html`` and its site pages below ``path``, for all sample groups at once.
+
+    ``groups``: sample_group, grp, control_grp and the on-target columns; ``peak_hists``: histograms of test and
+    control groups side by side.
+    """
+    groups = groups.select("sample_group", "grp", "control_grp", "on_target_motif", "on_target_location")
+    # What follows has a row per sample, group or bin of the sheet's groups: it grows with the sheet, not with reads.
+    sheet = groups.groupBy("sample_group").agg(
+        F.max("control_grp").alias("control"), F.max("on_target_motif").alias("motif"),
+        F.max("on_target_location").alias("location")).orderBy("sample_group").collect()
+    called = aggregate.called_breakdown(wide, concs).orderBy("sample_group", "conc")
+    limits = threshold_summary(evidence, params)
+    members = groups.select("sample_group", "grp").unionByName(
+        groups.select("sample_group", F.col("control_grp").alias("grp"))).distinct()
+    bins = plot_bins(peak_hists.join(members, "grp"), "sample_group")
+    tables = {"called": (called.drop("sample_group").columns, _by(called, "sample_group")),
+              "limits": (limits.columns, _by(limits, "null_id")),
+              "bins": (bins.columns, _by(bins, "sample_group"))}
+    samples = metrics.select("sample_group", "identifier", *METRICS).orderBy("identifier").collect() if metrics is not None else []
+
+    def of(name: str, key: str):
+        columns, rows = tables[name]
+        return _table(columns, [[r[c] for c in columns] for r in rows.get(key, [])])
+
+    frames = []
+    for row in sheet:
+        control = row.control.rsplit("_", 1)[0] if row.control else ""
+        read = [r for r in samples if r.sample_group in (row.sample_group, control)]
+        before = [
+            _section("Metadata", _table(["Field", "Value"], [
+                ("Sample group", row.sample_group), ("Control group", control), ("On-target motif", row.motif),
+                ("On-target location", row.location), ("Version", version)])),
+            _section("Called Site Summary", of("called", row.sample_group)),
+            _section("Read &amp; Alignment Stats", _table(["identifier", *METRICS], [[r["identifier"], *[r[m] for m in METRICS]]
+                                                      for r in read]) if read else "<p>not available</p>"),
+            _section("Thresholds", of("limits", row.control)),
+            _section("Peak Signal Distributions", _plot(tables["bins"][1].get(row.sample_group, [])))]
+        frames.append((
+            row.sample_group, "<!DOCTYPE html><html lang='en'><head><meta charset='utf-8'><title>"
+            f"{html.escape(row.sample_group)}</title></head><body>{''.join(before)}<section><h4>Called/Reported Sites</h4>",
+            "</section></body></html>"))
+    if frames:
+        made = wide.sparkSession.createDataFrame(frames, "sample_group string, before string, behind string")
+        files.write_named(_documents(wide, concs, made), path)
+
+
+def _by(df: DataFrame, key: str) -> dict:
+    """Rows of a summary by key."""
+    out: dict = {}
+    for row in df.collect():
+        out.setdefault(row[key], []).append(row)
+    return out
 
 
 def _section(title: str, body: str) -> str:
     return f"<section><h4>{title}</h4>{body}</section>"
 
 
-def _frame(df: DataFrame) -> str:
-    """Few-row summaries only."""
-    return _table(df.columns, df.collect())
-
-
 def _table(head: Sequence[str], rows) -> str:
     top = "".join(f"<th>{html.escape(str(h))}</th>" for h in head)
     body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in row) + "</tr>"
@@ -176,9 +211,9 @@ def _table(head: Sequence[str], rows) -> str:
 COLORS = ("#4477aa", "#ee6677", "#228833", "#ccbb44", "#66ccee", "#aa3377")
 
 
-def _plot(bins: DataFrame, width: int = 900, height: int = 300) -> str:
+def _plot(rows: Sequence, width: int = 900, height: int = 300) -> str:
     """Overlaid bars on a logarithmic count axis, as inline SVG; at most 2000 bins per group."""
-    rows = bins.orderBy("grp", "bin").collect()
+    rows = sorted(rows, key=lambda r: (r.grp, r.bin))
     if not rows:
         return "<p>no peaks</p>"
     names = sorted({r.grp for r in rows})

@@ -54,6 +54,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def run_path(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared folder."""
+    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -61,7 +66,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     later steps column pruning, filter push-down and a known size.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = run_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

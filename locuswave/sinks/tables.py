@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locuswave.files import listed
 from locuswave.schema import value_names
+from locuswave.sinks import files
+from locuswave.sources.ranges import write_ranges
 
 
-def write_signal(runs: DataFrame, path: str) -> None:
-    """Parquet, one folder per group, range-partitioned and sorted by coordinate.
+def write_signal(runs: DataFrame, path: str, parts: int | None = None) -> None:
+    """Parquet, one folder per group, range-partitioned and sorted by coordinate, with an index of ranges.
 
-    Row-group minima and maxima then serve region scans the way an index would.
+    ``sources.ranges.read_region`` chooses files by the index; row-group minima and maxima prune inside them.
     """
-    (
-        runs.repartitionByRange("grp", "chrom", "start").sortWithinPartitions("grp", "chrom", "start")
-        .write.partitionBy("grp").parquet(path)
-    )
+    keys = ("grp", "chrom", "start")
+    dealt = runs.repartitionByRange(parts, *keys) if parts else runs.repartitionByRange(*keys)
+    dealt.sortWithinPartitions(*keys).write.partitionBy("grp").parquet(path)
+    write_ranges(runs.sparkSession, path)
 
 
 def write_signal_text(runs: DataFrame, samples: Sequence[str], path: str, digits: int = 10) -> None:
@@ -71,10 +74,11 @@ def count_report(stats: DataFrame) -> DataFrame:
 
 
 def write_fastq(pairs: DataFrame, path: str, mates: Sequence[int] | None = None, umi_separator: str = "_") -> None:
-    """Gzipped FASTQ, one folder per sample and mate; a record is one text row of four lines.
+    """Blocked-gzip FASTQ, a folder per sample and mate, a part file per task.
 
-    All mates that ``pairs`` has are written.  An extracted UMI goes behind the read name, where aligners
-    keep it and ``read_sam`` finds it.
+    Parts of the same number are a lane: they hold the same reads in the same order for every mate, so that
+    ``fastq_sheet`` can pair them.  All mates that ``pairs`` has are written.  An extracted UMI goes behind the read
+    name, where aligners keep it and ``read_sam`` finds it.
     """
     mates = [m for m in (1, 2) if f"seq{m}" in pairs.columns] if mates is None else mates
     name = F.concat_ws(umi_separator, "read_id", "umi") if "umi" in pairs.columns else F.col("read_id")
@@ -82,9 +86,22 @@ def write_fastq(pairs: DataFrame, path: str, mates: Sequence[int] | None = None,
         F.struct(F.lit(m).alias("mate"), F.concat_ws(
             "\n", F.concat(F.lit("@"), name), f"seq{m}", F.lit("+"), f"qual{m}").alias("record"))
         for m in mates]
-    rows = pairs.select("sample_id", F.explode(F.array(*records)).alias("r"), "read_id").select(
-        "sample_id", F.col("r.mate").alias("mate"), "read_id", F.col("r.record").alias("record"))
-    (
-        rows.repartitionByRange("sample_id", "mate", "read_id").sortWithinPartitions("sample_id", "mate", "read_id")
-        .drop("read_id").write.partitionBy("sample_id", "mate").option("compression", "gzip").text(path)
+    folder = F.concat(F.lit("sample_id="), files.folder_name(F.col("sample_id")), F.lit("/mate="), F.col("r.mate").cast("string"))
+    rows = (
+        pairs.select("sample_id", "read_id", F.array(*records).alias("records"))
+        .repartitionByRange("sample_id", "read_id")
+        .select("sample_id", "read_id", F.explode("records").alias("r"))
+        .sortWithinPartitions("sample_id", "r.mate", "read_id", "r.record")
     )
+    files.write_blocked_gzip(rows.select(folder.alias("folder"), F.col("r.record").alias("line")), path, "fastq.gz")
+
+
+def fastq_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """Lanes ``(sample_id, fastq_1, fastq_2)`` of what ``write_fastq`` wrote."""
+    place = F.regexp_extract("path", r"sample_id=([^/]+)/mate=", 1)
+    mate = F.regexp_extract("path", r"/mate=(\d+)/", 1)
+    lane = F.regexp_extract("path", r"/(part-\d+[^/]*)$", 1)
+    found = listed(spark, [path]).select(files.plain_name(place).alias("sample_id"), mate.alias("mate"), lane.alias("lane"), "path")
+    return found.groupBy("sample_id", "lane").agg(
+        F.max(F.when(F.col("mate") == "1", F.col("path"))).alias("fastq_1"),
+        F.max(F.when(F.col("mate") == "2", F.col("path"))).alias("fastq_2")).drop("lane")

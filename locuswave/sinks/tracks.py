@@ -9,7 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuswave.files import listed
 from locuswave.schema import value_names
+from locuswave.sinks import files
 
 
 def bedgraph_rows(runs: DataFrame, reps: Sequence[int]) -> DataFrame:
@@ -35,6 +37,25 @@ def write_bedgraph(runs: DataFrame, reps: Sequence[int], path: str, compression:
     )
 
 
+def write_tracks(runs: DataFrame, reps: Sequence[int], path: str, session_folder: str) -> list[list[str]]:
+    """Blocked-gzip bedGraph, a folder per group and replicate; per group the paths for a session in ``session_folder``.
+
+    Part files are in coordinate order, so that a browser's index fits them.
+    """
+    keys = ("grp", "rep", "chrom", "start")
+    rows = bedgraph_rows(runs, reps).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    folder = F.concat(files.folder_name(F.col("grp")), F.lit("/R"), F.col("rep").cast("string"))
+    line = F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("stop").cast("string"), F.col("value").cast("string"))
+    files.write_blocked_gzip(rows.select(folder.alias("folder"), line.alias("line")), path, "bedgraph.gz")
+    # As many files as groups, replicates and tasks of the write.
+    found = listed(runs.sparkSession, [path]).filter(F.col("path").endswith(".bedgraph.gz")).orderBy("path").collect()
+    panels: dict[str, list[str]] = {}
+    for row in found:
+        group = row.path.rsplit("/", 3)[1]
+        panels.setdefault(group, []).append(track_path(row.path, "", session_folder, relative=True))
+    return list(panels.values())
+
+
 def track_path(name: str, folder: str, session_folder: str, server_url: str | None = None,
                server_prefixes: Sequence[str] = (), relative: bool = False) -> str:
     """Path of a track as the browser should open it: behind a file server, relative or absolute."""
@@ -55,8 +76,8 @@ def browser_session(genome: str, panels: Sequence[Sequence[str]]) -> str:
     for number, paths in enumerate(panels):
         panel = ET.SubElement(root, "Panel", name=f"Panel{number}")
         for path in paths:
-            kind = os.path.splitext(path)[1].lstrip(".")
-            if kind not in TRACKS:
+            kind = next((k for k in TRACKS if path.endswith(f".{k}")), "")
+            if not kind:
                 raise ValueError(f"unrecognized track type: {path}")
             TRACKS[kind](panel, path)
             ET.SubElement(resources, "Resource", path=path, type=kind)
@@ -108,4 +129,4 @@ def _signal_track(panel: ET.Element, path: str) -> None:
                   windowFunction="none"))
 
 
-TRACKS = {"bam": _alignment_tracks, "bw": _signal_track}
+TRACKS = {"bam": _alignment_tracks, "bw": _signal_track, "bedgraph.gz": _signal_track}

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from locuswave.files import plain_path
 from locuswave.schema import ALIGNMENTS, CONTIGS
-from locuswave.sources.text_lines import numbered_lines, plain_path
+from locuswave.sources.bgzf import SPLIT_BYTES
+from locuswave.sources.text_lines import numbered_lines, split_lines
 
 
-def read_fastq(spark: SparkSession, sheet: DataFrame) -> DataFrame:
+def read_fastq(spark: SparkSession, sheet: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Read pairs ``(sample_id, read_id, seq1, qual1, seq2, qual2)`` of a sample sheet.
 
     Lanes of a sample are added up.  Records of the two files are paired by their ordinal and end
@@ -26,7 +28,7 @@ def read_fastq(spark: SparkSession, sheet: DataFrame) -> DataFrame:
             "sample_id", F.col("fastq_2").alias("path"), F.lit(2).alias("mate"), F.col("fastq_1").alias("lane")))
     # The sample sheet names every file, so the list is as short as the sheet.
     paths = [r.path for r in files.select("path").distinct().collect()]
-    lines = numbered_lines(spark, paths).join(
+    lines = numbered_lines(spark, paths, split_bytes).join(
         F.broadcast(files.withColumn("path", plain_path(F.col("path")))), "path")
     part = F.col("line_no") % 4
 
@@ -45,12 +47,12 @@ def read_fastq(spark: SparkSession, sheet: DataFrame) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, sample_id: str, paths: str | Sequence[str], umi_separator: str = "_") -> DataFrame:
-    """Alignments from SAM text (plain or gzip): 0-based positions, UMI from the end of the read name."""
-    fields = F.split(F.col("value"), "\t")
+    """Alignments from SAM text (plain, gzip or bgzip): 0-based positions, UMI from the end of the read name."""
+    fields = F.split(F.col("line"), "\t")
     chrom = fields[2]
     return (
-        spark.read.text([paths] if isinstance(paths, str) else list(paths))
-        .filter(~F.col("value").startswith("@") & (F.col("value") != ""))
+        split_lines(spark, [paths] if isinstance(paths, str) else paths)
+        .filter(~F.col("line").startswith("@") & (F.col("line") != ""))
         .select(
             F.lit(sample_id).alias("sample_id"), fields[0].alias("read_id"),
             F.when(chrom != "*", chrom).alias("chrom"), (fields[3].cast("long") - 1).alias("pos"),
@@ -71,12 +73,13 @@ def contigs_of(genome: DataFrame, chunk: int) -> DataFrame:
     return genome.groupBy("chrom").agg(F.max(F.col("chunk_id") * chunk + F.length("seq")).alias("length"))
 
 
-def read_fasta(spark: SparkSession, paths: str | Sequence[str], chunk: int = 4096) -> DataFrame:
+def read_fasta(spark: SparkSession, paths: str | Sequence[str], chunk: int = 4096,
+               split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Genome as ``(chrom, chunk_id, seq)`` with ``chunk`` bases per row, the last of a contig shorter.
 
     Headers and base offsets are carried over splits by one summary row per split.
     """
-    lines = numbered_lines(spark, [paths] if isinstance(paths, str) else paths)
+    lines = numbered_lines(spark, [paths] if isinstance(paths, str) else paths, split_bytes)
     is_header = F.col("line").startswith(">")
     name = F.regexp_extract("line", r"^>(\S+)", 1)
     lines = lines.select(

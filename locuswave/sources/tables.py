@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from locuswave.schema import SAMPLE_SHEET, value_names
+from locuswave.sources.text_lines import split_lines
 
 # Formats of the sample-sheet columns.
 FORMATS = {
@@ -41,30 +42,34 @@ def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_signal(spark: SparkSession, path: str, grp: str) -> DataFrame:
-    """Signal table from text ``#chromosome start end <sample> ..``; plain or gzip.
+    """Signal table from text ``#chromosome start end <sample> ..``; plain, gzip or bgzip.
 
     Value columns take the order of the header.  A line with too few or malformed values fails the
     read; lines without any text end up nowhere.
     """
-    names = header_of(spark, path)[3:]
+    lines = split_lines(spark, [path])
+    names = _header(lines, path)[3:]
     values = value_names(len(names))
     columns = T.StructType([
         T.StructField("chrom", T.StringType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()),
         *[T.StructField(v, T.DoubleType()) for v in values]])
-    rows = (
-        spark.read.schema(columns).option("sep", "\t").option("comment", "#").option("mode", "FAILFAST")
-        .option("enforceSchema", True).csv(path)
-    )
+    rows = lines.filter((F.col("line") != "") & ~F.col("line").startswith("#")).select(F.from_csv(
+        "line", columns.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+        {"sep": "\t", "mode": "FAILFAST"}).alias("r")).select("r.*")
     short = F.col(values[-1]).isNull() if values else F.lit(True)
     checked = F.when(short, F.raise_error(F.lit("line with fewer values than the header"))).otherwise(F.col("chrom"))
     return rows.select(F.lit(grp).alias("grp"), checked.alias("chrom"), "start", "stop", *values)
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.text(path).filter(F.col("value").startswith("#chromosome")).first()
+    return _header(split_lines(spark, [path]), path)
+
+
+def _header(lines: DataFrame, path: str) -> list[str]:
+    first = lines.filter(F.col("line").startswith("#chromosome")).select("line").first()
     if first is None:
         raise ValueError(f"no header in {path}")
-    return first.value.rstrip().split("\t")
+    return first.line.rstrip().split("\t")
 
 
 def read_histogram(spark: SparkSession, path: str, grp: str) -> DataFrame:

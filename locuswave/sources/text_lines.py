@@ -7,27 +7,41 @@ of the first line of each, without gathering a file in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from locuswave.files import listed, plain_path
 from locuswave.session import bounded_side, stage
+from locuswave.sources.bgzf import SPLIT_BYTES, SUFFIXES, compressed_lines
 
 
-def plain_path(path: Column) -> Column:
-    """Local file URIs as bare paths, so that they compare equal to paths in sample sheets."""
-    return F.regexp_replace(path, "^file:/+", "/")
+def split_lines(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Rows ``(path, split, _id, line)``; ``_id`` grows by one from line to line inside a split.
 
-
-def numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Rows ``(path, split, line_no, line)``; ``line_no`` counts from 0 in every file.
-
-    Compressed files are one split each; plain files are cut at the usual split size.
+    Blocked gzip files (``.gz``, ``.bgz``, ``.bgzf``) and plain files are cut at the split size; an ordinary
+    gzip file is one split.
     """
-    # Written once: how files are cut into splits may differ from one scan to the next.
-    lines = stage(spark.read.text(list(paths)).select(
-        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line")), "lines")
+    # As many files as the caller names, in folders or not.
+    files = [(r.path, r.length) for r in listed(spark, paths).collect()]
+    packed = [f for f in files if f[0].endswith(SUFFIXES)]
+    plain = [path for path, _ in files if not path.endswith(SUFFIXES)]
+    parts = []
+    if packed or not plain:
+        parts.append(compressed_lines(spark, packed, split_bytes).select(
+            "path", "split", F.col("line_in_split").alias("_id"), "line"))
+    if plain:
+        parts.append(spark.read.text(plain).select(
+            plain_path(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def numbered_lines(spark: SparkSession, paths: Sequence[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Rows ``(path, split, line_no, line)``; ``line_no`` counts from 0 in every file."""
+    # Written once: how plain files are cut into splits may differ from one scan to the next.
+    lines = stage(split_lines(spark, paths, split_bytes), "lines")
     sizes = lines.groupBy("path", "split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     earlier = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

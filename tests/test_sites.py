@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,8 +156,20 @@ def test_published_files(spark, run, tmp_path):
     for title in ("Metadata", "Called Site Summary", "Thresholds", "Peak Signal Distributions", "Called/Reported Sites"):
         assert title in page
     assert "<svg" in page and "Rank" in page
-    written = sum(p.read_text().count("<tr>") for p in (place / "reports" / "guide" / "sites").rglob("*.txt"))
-    assert written == results[0].sites.count()
+    ranks = []
+    for shown in sorted((place / "reports" / "guide" / "sites").glob("*.html")):
+        text = shown.read_text()
+        ranks += [int(r) for r in re.findall(r"<tr><td>(\d+)</td>", text)]
+        # Every link opens a page.
+        assert all((shown.parent / link).is_file() for link in re.findall(r"href='([^']+)'", text))
+    assert sorted(ranks) == sorted(r[0] for r in results[0].sites.select("rank").collect())
+    links = re.findall(r"href='([^']+)'", page)
+    assert links and all((place / "reports" / "guide" / link).is_file() for link in links)
+    session = (tmp_path / "session.xml").read_text()
+    tracks_ = re.findall(r'<Resource path="([^"]+)"', session)
+    assert len(tracks_) >= 4 and all((tmp_path / t).is_file() for t in tracks_)
+    metrics = "".join(p.read_text() for p in (tmp_path / "metrics").glob("*.csv")).splitlines()
+    assert len(metrics) == 1 + 7 and "guide_16nM_R1" in metrics[-4] + metrics[-3] + metrics[-2] + metrics[-1]
     back = tables.read_sites(spark, str(place / "sites"), results[0].sites.schema, ("sample_group", "chrom", "position"))
     assert rows(back.select("rank", "64nM_signal_vals", "64nM_test_pval")) == rows(
         results[0].sites.select("rank", "64nM_signal_vals", "64nM_test_pval"))
@@ -166,6 +179,35 @@ def test_published_files(spark, run, tmp_path):
     assert "16nM_site_called" in header and "rank" in header
 
 
+def test_pages_links_and_escapes(spark, run, tmp_path):
+    """Several sample groups in one write; pages link to each other and no cell is markup."""
+    results, _, params, _, _ = run
+    wide = results[0].sites
+    nasty = "<b title='x'>&\"chr\"</b>"
+    many = wide.limit(1).withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(2500)))).withColumn("chrom", F.lit(nasty))
+    many = many.unionByName(many.filter("rank < 3").withColumn("sample_group", F.lit("other/group")))
+    groups = spark.createDataFrame(
+        [("guide", "guide_16nM", "ctl_0nM", nasty, "chr1:1-2,+"), ("other/group", "o_16nM", "ctl_0nM", None, None),
+         ("without", "w_16nM", "ctl_0nM", None, None)],
+        "sample_group string, grp string, control_grp string, on_target_motif string, on_target_location string")
+    hist = spark.createDataFrame([("guide_16nM", 7.5, 3), ("ctl_0nM", 0.5, 9)], "grp string, mean double, cnt long")
+    report.write_reports(str(tmp_path / "r"), groups, many, [16, 64], hist, None, results[0].evidence, params)
+    pages = sorted((tmp_path / "r" / "guide" / "sites").glob("*.html"))
+    assert len(pages) == 13
+    assert sorted(p.relative_to(tmp_path / "r").as_posix() for p in (tmp_path / "r").rglob("report.html")) == [
+        "guide/report.html", "other%2Fgroup/report.html", "without/report.html"]
+    opened, ahead = set(), [tmp_path / "r" / "guide" / "report.html"]
+    while ahead:
+        at = ahead.pop().resolve()
+        if at not in opened:
+            opened.add(at)
+            text = at.read_text()
+            assert "<b" not in text.replace("<body", "").replace("<br", "") and "&lt;b title=&#x27;x&#x27;&gt;&amp;&quot;chr" in text
+            ahead += [at.parent / link for link in re.findall(r"href='([^']+)'", text)]
+    assert {p.name for p in opened} == {p.name for p in pages} | {"report.html"}
+    assert all(p.read_text().count("href=") <= 9 for p in pages)
+
+
 def test_threshold_summary(spark, run):
     results, _, params, _, _ = run
     names = {r.name: r.p for r in report.threshold_summary(results[0].evidence, params).collect()}
