@@ -126,6 +126,22 @@ def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def overlapping_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of 60 bases from fragments of 20 to 109 bases with adapters behind, some bases changed, some reads short."""
+    doc = table(spark, sf_dir, "documents").withColumn("fragment", F.expr(
+        "substring(translate(concat(md5(text), md5(concat(text, 'a')), md5(concat(text, 'b')), md5(concat(text, 'c'))), "
+        "'0123456789abcdef', 'ACGTACGTACGTACGT'), 1, cast(20 + doc_id % 90 as int))"))
+    doc = doc.withColumn("turned", F.expr("translate(reverse(fragment), 'ACGT', 'TGCA')"))
+    size = "cast(case when doc_id % 13 = 0 then 5 when doc_id % 11 = 0 then 48 else 60 end as int)"
+    return doc.withColumn("s", F.expr("substring(concat(turned, repeat('AGATCGGAAGAGCGT', 4)), 1, 60)")).select(
+        F.expr("concat('D_R', doc_id % 3 + 1)").alias("sample_id"), F.col("doc_id").cast("string").alias("read_id"),
+        F.expr(f"substring(concat(fragment, repeat('AGATCGGAAGAGCAC', 4)), 1, {size})").alias("seq1"),
+        # Every base of one kind in a stretch becomes N in some reads: up to and beyond the mismatch bound.
+        F.expr("case when doc_id % 4 = 0 then concat(translate(substring(s, 1, cast(doc_id % 37 as int)), 'A', 'N'), "
+               "substring(s, cast(doc_id % 37 + 1 as int))) else s end").alias("seq2"),
+        F.expr(f"repeat('I', {size})").alias("qual1"), F.expr("repeat('I', 60)").alias("qual2"))
+
+
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of 1-based coordinates, one pair per line item."""
     item = table(spark, sf_dir, "lineitem")

@@ -177,6 +177,8 @@ define("ctrl_self_diffs", COUNTS, CTRL, SELF, select=f"SELECT {RUN} FROM selfd")
 define("rotated_controls", COUNTS, CTRL, select="""
 SELECT conc, chrom, pos, v2::DOUBLE AS v1, v3::DOUBLE AS v2, v1::DOUBLE AS v3 FROM ctrl""")
 define("signal_peaks", PEAKS, select=f"SELECT conc, chrom, pos, {DOUBLES} FROM peaks")
+define("site_lists_round_trip", PEAKS, select=f"""
+SELECT 'guide_' || conc || 'nM' AS identifier, conc::INT AS concentration, chrom, pos, {DOUBLES} FROM peaks""")
 define("ctrl_peak_dist", COUNTS, CTRL, SELF, select="""
 SELECT conc, (v1 + v2 + v3)::DOUBLE AS total, round((v1 + v2 + v3) / 3.0::DOUBLE, 6) AS mean, count(*)::BIGINT AS cnt
 FROM nullpk GROUP BY conc, v1 + v2 + v3""")
@@ -383,6 +385,39 @@ READ_REPORT = """SELECT sample_id, count(*)::BIGINT AS total_reads, count(*) FIL
 FROM flagged GROUP BY 1"""
 define("umi_quality_filter", PAIRS, select=UMIS.format("flagged"))
 define("read_quality_filter", PAIRS, select=READ_REPORT)
+FRAGMENTS = """fragments AS (
+  SELECT doc_id, substr(translate(md5(text) || md5(text || 'a') || md5(text || 'b') || md5(text || 'c'),
+                                  '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, (20 + doc_id % 90)::INT) AS f FROM documents),
+pieces AS (
+  SELECT doc_id, substr(f || repeat('AGATCGGAAGAGCAC', 4), 1,
+           CASE WHEN doc_id % 13 = 0 THEN 5 WHEN doc_id % 11 = 0 THEN 48 ELSE 60 END) AS a,
+         substr(translate(reverse(f), 'ACGT', 'TGCA') || repeat('AGATCGGAAGAGCGT', 4), 1, 60) AS s FROM fragments),
+mates AS (
+  SELECT doc_id, a, CASE WHEN doc_id % 4 = 0 THEN translate(substr(s, 1, (doc_id % 37)::INT), 'A', 'N')
+         || substr(s, (doc_id % 37 + 1)::INT) ELSE s END AS b FROM pieces),
+tried AS (
+  SELECT doc_id, a, translate(reverse(b), 'ACGT', 'TGCA') AS r, size, greatest(0, size - 60) AS skipped,
+         least(len(a), size) - greatest(0, size - 60) AS overlap
+  FROM mates, (SELECT unnest(range(30, 121)) AS size)),
+fitting AS (
+  SELECT doc_id, size, overlap, hamming(substr(a, skipped + 1, overlap), substr(r, skipped - size + 61, overlap)) AS wrong
+  FROM tried WHERE overlap >= 30),
+best AS (
+  SELECT doc_id, size, wrong FROM fitting WHERE wrong <= least(5, floor(overlap * 0.2::DOUBLE))
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, wrong, size DESC) = 1),
+cut AS (
+  SELECT m.doc_id, size, wrong, substr(a, 1, coalesce(size, 60)::INT) AS seq1, substr(b, 1, coalesce(size, 60)::INT) AS seq2,
+         len(a) + len(b) AS given FROM mates m LEFT JOIN best USING (doc_id))"""
+define("adapter_trim", FRAGMENTS, select="""
+SELECT doc_id::VARCHAR AS read_id, coalesce(size, -1)::INT AS insert_length, coalesce(wrong, -1)::INT AS mismatches, seq1, seq2,
+       len(seq1)::INT AS qual1_length, (given - len(seq1) - len(seq2))::INT AS trimmed_bases FROM cut""")
+define("trimmed_read_filter", FRAGMENTS, """judged AS (
+  SELECT *, greatest(len(regexp_replace(seq1, '[^N]', '', 'g')), len(regexp_replace(seq2, '[^N]', '', 'g'))) > 5 AS many_n,
+         least(len(seq1), len(seq2)) < 7 AS short FROM cut)""", select="""
+SELECT 'D_R' || (doc_id % 3 + 1) AS sample_id, count(*)::BIGINT AS total_reads, 0::BIGINT AS lowq_reads,
+       count(*) FILTER (many_n)::BIGINT AS too_many_n_reads, count(*) FILTER (short AND NOT many_n)::BIGINT AS short_reads,
+       count(*) FILTER (NOT short AND NOT many_n)::BIGINT AS reads_passing_filter, 100.0::DOUBLE AS pct_q30_reads_pf
+FROM judged GROUP BY 1""")
 define("umi_extract", PAIRS, select="SELECT read_id, seq1, substr(seq2, 1, 7) AS umi FROM pairs")
 DEDUP = ALN + """,
 kept AS (

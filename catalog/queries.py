@@ -11,7 +11,7 @@ from catalog import adapters as src
 from locuswave.functions import cigar as cg
 from locuswave.functions import coords, display, dna
 from locuswave.operators import (
-    aggregate, calling, dedup, groups, intervals, islands, motif, nulls, peaks, qc, ranking, reads, sampling, signal,
+    adapters, aggregate, calling, dedup, groups, intervals, islands, motif, nulls, peaks, qc, ranking, reads, sampling, signal,
 )
 from locuswave.params import Params
 from locuswave.plans import calls
@@ -19,6 +19,7 @@ from locuswave.schema import mean_of, value_names
 from locuswave.session import run_path, stage, together
 from locuswave.sinks import tables as sink
 from locuswave.sources import ranges, sequences
+from locuswave.sources import tables as source_tables
 
 N = len(src.REPS)
 VALUES = value_names(N)
@@ -153,6 +154,20 @@ def signal_peaks(spark, sf):
     return plain(peaks.signal_peaks(difference(spark, sf), N, PARAMS.peak_window), "chrom", "pos")
 
 
+@query
+def site_lists_round_trip(spark, sf):
+    """Peaks of both concentrations written as lists with head lines and read back together."""
+    path = run_path(spark, "lists")
+    found = stage(peaks.signal_peaks(difference(spark, sf), N, PARAMS.peak_window), "peaks")
+    listed = found.select(F.concat(F.lit("guide_"), "grp", F.lit("nM")).alias("identifier"), F.col("grp").cast("int").alias("conc"),
+                          "chrom", "pos", F.array(*[F.col(v).cast("double") for v in VALUES]).alias("vals"))
+    sink.write_site_lists(listed, path, ["chrom", "pos"], identifier="identifier")
+    layout = listed.drop("identifier", "conc").schema
+    back = source_tables.read_site_lists(spark, [path], layout)
+    return back.select("identifier", "concentration", "chrom", "pos",
+                       *[F.get("vals", F.lit(k)).alias(v) for k, v in enumerate(VALUES)])
+
+
 @query
 def ctrl_peak_dist(spark, sf):
     hist = peaks.peak_histogram(null_peaks(spark, sf), N)
@@ -404,6 +419,23 @@ def read_quality_filter(spark, sf):
     return with_floats(qc.read_report(flagged), 6)
 
 
+@query
+def adapter_trim(spark, sf):
+    """Fragment lengths by the overlap of the mates, and the reads cut to them."""
+    pairs = src.overlapping_pairs(spark, sf)
+    known = adapters.with_inserts(pairs).select(
+        "read_id", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("insert_length", "mismatches")])
+    cut = adapters.trim(pairs).select("read_id", "seq1", "seq2", F.length("qual1").alias("qual1_length"), "trimmed_bases")
+    return groups.keyed_join(known, cut, ["read_id"])
+
+
+@query
+def trimmed_read_filter(spark, sf):
+    """Read filter after adapter removal; some reads are shorter than a UMI."""
+    flagged = qc.read_flags(adapters.trim(src.overlapping_pairs(spark, sf)), PARAMS)
+    return with_floats(qc.read_report(flagged), 6)
+
+
 @query
 def umi_extract(spark, sf):
     return qc.extract_umi(src.read_pairs(spark, sf), PARAMS).select("read_id", "seq1", "umi")

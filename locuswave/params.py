@@ -31,6 +31,7 @@ class Params:
     subsample_fastqs: bool = False
     subsample_target_reads: int | None = None
     subsample_seed: int = 100
+    trim_adapters: bool = True
     min_peak_signal: float = 1.0
     on_target_overlap: float = 0.9
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locuswave.functions import cigar as cg
-from locuswave.operators import aggregate, dedup, groups, qc, reads, sampling
+from locuswave.operators import adapters, aggregate, dedup, groups, qc, reads, sampling
 from locuswave.operators.calling import Evidence
 from locuswave.params import Params
 from locuswave.plans import calls, report
@@ -30,9 +30,11 @@ class Preprocessed:
 
 
 def preprocess(pairs: DataFrame, params: Params) -> Preprocessed:
-    """Subsample, drop poor reads and poor UMIs, move the UMI off the second read."""
+    """Subsample, cut adapters, drop poor reads and poor UMIs, move the UMI off the second read."""
     if params.subsample_fastqs:
         pairs = sampling.subsample(pairs, params.subsample_target_reads, params.subsample_seed)
+    if params.trim_adapters and "seq2" in pairs.columns:
+        pairs = adapters.trim(pairs)
     mates = ("1", "2") if params.use_umis else ("1",)
     flagged = qc.read_flags(pairs, params, mates)
     if params.use_umis:

@@ -85,11 +85,11 @@ class _BlockedWriter(_Attempts):
                 out.close()
 
         for batch in iterator:
-            for folder, line in zip(batch.column("folder").to_pylist(), batch.column("line").to_pylist()):
+            for folder, head, line in zip(*(batch.column(c).to_pylist() for c in ("folder", "head", "line"))):
                 if folder != open_:
                     end()
                     out = self._new(f"{folder}/part-{part:05d}.{self.suffix}", made)
-                    open_, held = folder, bytearray()
+                    open_, held = folder, bytearray() if head is None else bytearray(head.encode() + b"\n")
                 held += line.encode() + b"\n"
                 while len(held) >= BLOCK:
                     out.write(make_member(bytes(held[:BLOCK])))
@@ -112,7 +112,10 @@ class NamedFiles(DataSource):
 
 
 class BlockedGzip(NamedFiles):
-    """Rows ``folder``, ``line``, sorted by folder in each task: one file per task and folder."""
+    """Rows ``folder``, ``head``, ``line``, sorted by folder in each task: one file per task and folder.
+
+    A file begins with the head of its first row, unless that is NULL.
+    """
 
     writer_class = _BlockedWriter
 
@@ -127,7 +130,8 @@ def write_named(rows: DataFrame, path: str) -> None:
 
 
 def write_blocked_gzip(rows: DataFrame, path: str, suffix: str) -> None:
-    _save(rows.select("folder", "line"), BlockedGzip, path, suffix)
+    head = F.col("head") if "head" in rows.columns else F.lit(None).cast("string").alias("head")
+    _save(rows.select("folder", head, "line"), BlockedGzip, path, suffix)
 
 
 def _save(rows: DataFrame, kind: type[NamedFiles], path: str, suffix: str) -> None:

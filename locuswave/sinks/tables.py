@@ -56,6 +56,20 @@ def write_sites(sites: DataFrame, path: str, order: Sequence[str]) -> None:
     as_text(rows).write.option("sep", "\t").option("header", True).option("escape", '"').csv(path)
 
 
+def write_site_lists(sites: DataFrame, path: str, order: Sequence[str], identifier: str = "grp", concentration: str = "conc") -> None:
+    """Site lists as published: a folder per group, files with ``#key=value`` head lines before the column names."""
+    rows = as_text(sites.drop(identifier, concentration))
+    names = "\t".join(rows.columns)
+    text = as_text(sites)
+    head = F.concat(F.lit("#identifier="), F.col(identifier), F.lit("\n#concentration="), F.col(concentration).cast("string"),
+                    F.lit(f"\n{names}"))
+    keys = [identifier, concentration, *order]
+    dealt = text.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"sep": "\t", "escape": '"'})
+    files.write_blocked_gzip(dealt.select(
+        files.folder_name(F.col(identifier)).alias("folder"), head.alias("head"), line.alias("line")), path, "tsv.gz")
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """All samples under one header; one row per sample, so one file."""
     metrics.orderBy("identifier").coalesce(1).write.option("sep", "\t").option("header", True).csv(path)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from locuswave.schema import SAMPLE_SHEET, value_names
+from locuswave.session import bounded_side, stage
 from locuswave.sources.text_lines import split_lines
 
 # Formats of the sample-sheet columns.
@@ -97,6 +100,46 @@ def read_sites(spark: SparkSession, path: str, layout: T.StructType, keys: tuple
     return rows
 
 
+def read_site_lists(spark: SparkSession, paths: Sequence[str], layout: T.StructType,
+                    keys: tuple[str, ...] = ("identifier", "concentration", "chrom", "pos")) -> DataFrame:
+    """Site lists of several concentrations together, each file with ``#key=value`` head lines.
+
+    ``layout`` is the schema of the columns below the heads.  The heads are a side table, one row per file, joined to
+    the rows by path.  A file without identifier, concentration or the columns of ``layout`` is an error, as are two
+    lists (files or folders) of one concentration of an identifier, and a site listed twice.
+    """
+    lines = stage(split_lines(spark, paths).select("path", "line"), "site-lines")
+    flat = T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.ArrayType) else f.dataType) for f in layout])
+    names = "\t".join(flat.names)
+    value = lambda key: F.max(F.when(F.col("line").startswith(f"#{key}="), F.substring_index("line", "=", -1)))
+    heads = lines.groupBy("path").agg(
+        value("identifier").alias("identifier"), value("concentration").try_cast("int").alias("concentration"),
+        F.count_if(F.col("line") == names).alias("_heads"))
+    wrong = F.when(F.col("identifier").isNull() | F.col("concentration").isNull(), "no identifier or concentration").when(
+        F.col("_heads") != 1, "other columns than expected")
+    named = F.regexp_replace("path", r"/part-[^/]*$", "")
+    heads = stage(heads.select("path", "identifier", "concentration", named.alias("_list"), wrong.alias("_wrong")), "site-heads")
+    # As many rows as files.
+    bad = heads.filter("_wrong is not null").select("path", "_wrong").first()
+    if bad:
+        raise ValueError(f"site list {bad.path}: {bad['_wrong']}")
+    lists = heads.groupBy("identifier", "concentration").agg(F.countDistinct("_list").alias("_n")).filter("_n > 1").first()
+    if lists:
+        raise ValueError(f"more than one site list for {lists.identifier} at concentration {lists.concentration}")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat)
+    rows = lines.filter((F.col("line") != "") & ~F.col("line").startswith("#") & (F.col("line") != names)).select(
+        "path", F.from_csv("line", kinds, {"sep": "\t", "mode": "FAILFAST", "escape": '"'}).alias("r"))
+    vectors = {f.name: f.dataType for f in layout if isinstance(f.dataType, T.ArrayType)}
+    cells = [F.from_json(F.col(f"r.`{c}`"), vectors[c]).alias(c) if c in vectors else F.col(f"r.`{c}`") for c in flat.names]
+    found = rows.join(bounded_side(heads.select("path", "identifier", "concentration")), "path").select(
+        "identifier", "concentration", *cells)
+    twice = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").first()
+    if twice:
+        raise ValueError(f"site listed twice: {twice.asDict()}")
+    return found
+
+
 # -- reports of outside tools -------------------------------------------------------------------
 
 
