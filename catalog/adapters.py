@@ -169,6 +169,24 @@ def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large sample sheet, a row per order, in which every rule is broken somewhere."""
+    order = table(spark, sf_dir, "orders")
+    control, group = "o_custkey % 4 = 0", "o_custkey % 4 > 0"
+    motif = "case when o_custkey % 23 = 5 and o_orderkey % 2 = 0 then 'ACGTNGG' else 'GACGTCTTNGG' end"
+    return order.select(
+        F.expr(f"case when {control} then concat('ctl', o_custkey % 1024) else concat('g', o_custkey % 1021) end").alias("sample_group"),
+        F.expr(f"case when {group} and o_custkey % 37 = 3 then '' when {group} then concat('ctl', o_custkey % 1021 % 300 * 4) "
+               "when o_custkey % 52 = 0 then 'ctl4' else '' end").alias("control_group"),
+        F.expr(f"case when o_custkey % 61 = 1 and o_orderkey % 3 = 0 then -1 when {control} then 0 "
+               "else 16 + 48 * (o_custkey % 3) end").alias("concentration"),
+        F.expr("cast(o_orderkey % (2 + o_custkey % 3) as int)").alias("replicate"),
+        F.expr(f"case when {group} then {motif} else '' end").alias("on_target_motif"),
+        F.expr(f"case when {group} then 'chr1:41,995-42,005,+' else '' end").alias("on_target_location"),
+        F.lit("a_1.fastq.gz").alias("fastq_1"),
+        F.expr("case when o_custkey % 19 = 0 or o_orderkey % 29 = 0 then null else 'a_2.fastq.gz' end").alias("fastq_2"))
+
+
 def trading_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A large grouping table: one sample per order, customers as sample groups, nations as controls."""
     order, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")

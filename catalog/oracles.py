@@ -353,6 +353,42 @@ SELECT 'uneven_replicates' AS rule, 'warning' AS severity, sample_group AS subje
 UNION ALL SELECT 'control_with_uneven_tests', 'error', 'ctrl' FROM sizes WHERE concentration > 0 HAVING min(n) <> max(n)
 UNION ALL SELECT 'fewer_tests_than_controls', 'warning', grp FROM sizes
   WHERE concentration > 0 AND n > 1 AND n < (SELECT n FROM sizes WHERE concentration = 0)""")
+define("sheet_rules", """given AS (
+  SELECT CASE WHEN o_custkey % 4 = 0 THEN 'ctl' || (o_custkey % 1024) ELSE 'g' || (o_custkey % 1021) END AS sample_group,
+         CASE WHEN o_custkey % 4 > 0 AND o_custkey % 37 = 3 THEN NULL WHEN o_custkey % 4 > 0 THEN 'ctl' || (o_custkey % 1021 % 300 * 4)
+              WHEN o_custkey % 52 = 0 THEN 'ctl4' END AS control_group,
+         (CASE WHEN o_custkey % 61 = 1 AND o_orderkey % 3 = 0 THEN -1 WHEN o_custkey % 4 = 0 THEN 0 ELSE 16 + 48 * (o_custkey % 3) END)::INT AS conc,
+         o_orderkey % (2 + o_custkey % 3) AS replicate,
+         CASE WHEN o_custkey % 4 > 0 THEN CASE WHEN o_custkey % 23 = 5 AND o_orderkey % 2 = 0 THEN 'ACGTNGG' ELSE 'GACGTCTTNGG' END END AS motif,
+         CASE WHEN o_custkey % 4 > 0 THEN 'chr1:41,995-42,005,+' END AS place,
+         CASE WHEN o_custkey % 19 = 0 OR o_orderkey % 29 = 0 THEN FALSE ELSE TRUE END AS paired FROM orders),
+named AS (
+  SELECT *, sample_group || '_' || conc || 'nM' AS grp, sample_group || '_' || conc || 'nM_R' || replicate AS sample_id,
+         row(coalesce(control_group, '-'), coalesce(motif, '-'), coalesce(place, '-')) AS fields FROM given),
+sized AS (
+  SELECT grp, sample_group, conc, control_group, count(DISTINCT sample_id) AS n, bool_and(paired) AS paired
+  FROM named GROUP BY ALL),
+linked AS (
+  SELECT t.grp, t.n, t.paired, c.n AS control_n, c.paired AS control_paired
+  FROM sized t JOIN sized c ON t.control_group = c.sample_group WHERE t.conc > 0 AND c.conc = 0)""", select="""
+SELECT DISTINCT * FROM (
+SELECT 'conc_negative' AS rule, 'error' AS severity, sample_id AS subject FROM named WHERE conc < 0
+UNION ALL SELECT 'control_fields_not_blank', 'error', sample_id FROM named WHERE conc = 0 AND coalesce(control_group, motif, place) IS NOT NULL
+UNION ALL SELECT 'test_fields_missing', 'error', sample_id FROM named WHERE conc > 0 AND (control_group IS NULL OR motif IS NULL OR place IS NULL)
+UNION ALL SELECT 'umis_need_fastq_2', 'error', sample_id FROM named WHERE NOT paired
+UNION ALL SELECT 'mixed_endedness', 'error', sample_id FROM named GROUP BY sample_id HAVING count(DISTINCT paired) > 1
+UNION ALL SELECT 'replicate_group_fields_differ', 'error', grp FROM named GROUP BY grp HAVING count(DISTINCT fields) > 1
+UNION ALL SELECT 'sample_group_fields_differ', 'error', sample_group FROM named GROUP BY sample_group HAVING count(DISTINCT fields) > 1
+UNION ALL SELECT 'control_needs_two_replicates', 'error', grp FROM sized WHERE conc = 0 AND n < 2
+UNION ALL SELECT 'uneven_replicates', 'warning', sample_group FROM sized GROUP BY sample_group HAVING count(DISTINCT n) > 1
+UNION ALL SELECT 'control_with_uneven_tests', 'error', control_group FROM sized WHERE conc > 0 GROUP BY control_group HAVING count(DISTINCT n) > 1
+UNION ALL SELECT 'unmatched_test_group', 'error', grp FROM sized t WHERE conc > 0 AND NOT EXISTS (
+  SELECT 1 FROM sized c WHERE c.conc = 0 AND c.sample_group = t.control_group)
+UNION ALL SELECT 'unused_control_group', 'warning', sample_group FROM sized c WHERE conc = 0 AND NOT EXISTS (
+  SELECT 1 FROM sized t WHERE t.conc > 0 AND t.control_group = c.sample_group)
+UNION ALL SELECT 'more_tests_than_controls', 'error', grp FROM linked WHERE n > control_n
+UNION ALL SELECT 'fewer_tests_than_controls', 'warning', grp FROM linked WHERE n < control_n AND n > 1
+UNION ALL SELECT 'endedness_differs_from_control', 'error', grp FROM linked WHERE paired <> control_paired)""")
 define("control_limits", select="""
 SELECT control_group, min(k)::BIGINT AS least, max(k)::BIGINT AS most, count(DISTINCT k)::BIGINT AS sizes
 FROM (SELECT 'n' || c_nationkey AS control_group, o_custkey, count(*) AS k

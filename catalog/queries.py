@@ -375,6 +375,12 @@ def sheet_violations(spark, sf):
     return groups.violations(groups.with_ids(src.sample_sheet(spark, sf)))
 
 
+@query
+def sheet_rules(spark, sf):
+    """Every rule on a large sheet with every fault."""
+    return groups.violations(groups.with_ids(src.faulty_sheet(spark, sf)))
+
+
 @query
 def control_limits(spark, sf):
     """Replicates per test group and control on the large grouping table, uneven controls included."""

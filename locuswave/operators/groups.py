@@ -80,63 +80,79 @@ def test_control_pairs(groups: DataFrame) -> DataFrame:
 
 
 def violations(samples: DataFrame, use_umis: bool = True) -> DataFrame:
-    """All broken rules as rows ``(rule, severity, subject)``; ``samples`` comes from ``with_ids``."""
+    """All broken rules as rows ``(rule, severity, subject)``; ``samples`` comes from ``with_ids``.
+
+    Two aggregations judge everything: one with grouping sets over samples, replicate groups and sample groups for the
+    rules on fields, one per replicate group for the rules on numbers of replicates, compared inside sample groups and
+    between tests and their control by windows over these few rows.
+    """
     control, test = F.col("concentration") == 0, F.col("concentration") > 0
     paired = F.col("fastq_2").isNotNull()
-    missing = F.col("control_group").isNull() | F.col("on_target_motif").isNull() | F.col("on_target_location").isNull()
     filled = F.coalesce(*[F.col(c) for c in OPTIONAL_TEXT]).isNotNull()
-    found = [
-        _rule("conc_negative", ERROR, samples.filter("concentration < 0"), "sample_id"),
-        _rule("control_fields_not_blank", ERROR, samples.filter(control & filled), "sample_id"),
-        _rule("test_fields_missing", ERROR, samples.filter(test & missing), "sample_id"),
-    ]
-    if use_umis:
-        found.append(_rule("umis_need_fastq_2", ERROR, samples.filter(~paired), "sample_id"))
-
-    def differing(key: str, rule: str, *columns: Column):
-        agg = samples.groupBy(key).agg(*[
-            (F.min(c).eqNullSafe(F.max(c)) & (F.count(c).isin(0) | (F.count(c) == F.count(F.lit(1))))).alias(f"_ok{i}")
-            for i, c in enumerate(columns)])
-        ok = F.lit(True)
-        for i in range(len(columns)):
-            ok = ok & F.col(f"_ok{i}")
-        return _rule(rule, ERROR, agg.filter(~ok), key)
-
-    texts = [F.col(c) for c in OPTIONAL_TEXT]
-    found += [
-        differing("sample_id", "mixed_endedness", paired),
-        differing("grp", "replicate_group_fields_differ", *texts),
-        differing("sample_group", "sample_group_fields_differ", *texts),
-    ]
+    missing = F.col("control_group").isNull() | F.col("on_target_motif").isNull() | F.col("on_target_location").isNull()
+
+    sets = samples.groupingSets([["sample_id"], ["grp"], ["sample_group"]], "sample_id", "grp", "sample_group").agg(
+        F.grouping_id().alias("_set"), F.bool_or(F.col("concentration") < 0).alias("negative"),
+        F.bool_or(control & filled).alias("filled"), F.bool_or(test & missing).alias("missing"),
+        F.bool_and(paired).alias("paired"), F.bool_or(paired).alias("some_paired"),
+        *[_differs(c).alias(f"{c}_differs") for c in OPTIONAL_TEXT])
+    # Bits of the grouping: 1 for a column that is not grouped by; the first column is the highest bit.
+    sample, group, sample_group = F.col("_set") == 3, F.col("_set") == 5, F.col("_set") == 6
+    differ = F.col("control_group_differs") | F.col("on_target_motif_differs") | F.col("on_target_location_differs")
+    fields = _broken(sets, {
+        ("conc_negative", ERROR, "sample_id"): sample & F.col("negative"),
+        ("control_fields_not_blank", ERROR, "sample_id"): sample & F.col("filled"),
+        ("test_fields_missing", ERROR, "sample_id"): sample & F.col("missing"),
+        ("umis_need_fastq_2", ERROR, "sample_id"): sample & ~F.col("paired") & F.lit(use_umis),
+        ("mixed_endedness", ERROR, "sample_id"): sample & F.col("some_paired") & ~F.col("paired"),
+        ("replicate_group_fields_differ", ERROR, "grp"): group & differ,
+        ("sample_group_fields_differ", ERROR, "sample_group"): sample_group & differ,
+    })
 
     sizes = samples.groupBy("grp", "sample_group", "concentration", "control_group").agg(
         F.countDistinct("sample_id").alias("n"), F.bool_and(paired).alias("paired"))
-    tests, controls = sizes.filter(test), sizes.filter(control)
-    found.append(_rule("control_needs_two_replicates", ERROR, controls.filter("n < 2"), "grp"))
-    uneven = sizes.groupBy("sample_group").agg(F.min("n").alias("a"), F.max("n").alias("b")).filter("a <> b")
-    found.append(_rule("uneven_replicates", WARNING, uneven, "sample_group"))
-    uneven_tests = tests.groupBy("control_group").agg(F.min("n").alias("a"), F.max("n").alias("b")).filter("a <> b")
-    found.append(_rule("control_with_uneven_tests", ERROR, uneven_tests, "control_group"))
-
-    keyed = controls.select(F.col("sample_group").alias("control_group"), F.col("n").alias("control_n"),
-                            F.col("paired").alias("control_paired"))
-    pairs = tests.join(keyed, "control_group")
-    found += [
-        _rule("unmatched_test_group", ERROR, tests.join(keyed, "control_group", "left_anti"), "grp"),
-        _rule("unused_control_group", WARNING, keyed.join(tests, "control_group", "left_anti"), "control_group"),
-        _rule("more_tests_than_controls", ERROR, pairs.filter("n > control_n"), "grp"),
-        _rule("fewer_tests_than_controls", WARNING, pairs.filter("n < control_n and n > 1"), "grp"),
-        _rule("endedness_differs_from_control", ERROR, pairs.filter("paired <> control_paired"), "grp"),
-    ]
-    result = found[0]
-    for rows in found[1:]:
-        result = result.unionByName(rows)
-    return result
-
-
-def _rule(name: str, severity: str, rows: DataFrame, subject: str) -> DataFrame:
-    return rows.select(F.lit(name).alias("rule"), F.lit(severity).alias("severity"),
-                       F.col(subject).cast("string").alias("subject")).distinct()
+    sizes = sizes.withColumn("_control", F.when(control, F.col("sample_group")).when(test, F.col("control_group")))
+    within, linked = Window.partitionBy("sample_group"), Window.partitionBy("_control")
+
+    def of(kind: Column, column: str, over) -> tuple[Column, Column]:
+        value = F.when(kind, F.col(column))
+        return F.min(value).over(over), F.max(value).over(over)
+
+    least_control, most_control = of(control, "n", linked)
+    least_test, most_test = of(test, "n", linked)
+    control_paired, any_control_paired = of(control, "paired", linked)
+    counted = sizes.select(
+        "*", (F.min("n").over(within) != F.max("n").over(within)).alias("uneven"),
+        least_control.alias("least_control"), most_control.alias("most_control"), least_test.alias("least_test"),
+        most_test.alias("most_test"), control_paired.alias("all_control_paired"), any_control_paired.alias("any_control_paired"))
+    numbers = _broken(counted, {
+        ("control_needs_two_replicates", ERROR, "grp"): control & (F.col("n") < 2),
+        ("uneven_replicates", WARNING, "sample_group"): F.col("uneven"),
+        ("control_with_uneven_tests", ERROR, "_control"): test & (F.col("least_test") != F.col("most_test")),
+        ("unmatched_test_group", ERROR, "grp"): test & (F.col("_control").isNull() | F.col("most_control").isNull()),
+        ("unused_control_group", WARNING, "_control"): control & F.col("most_test").isNull(),
+        ("more_tests_than_controls", ERROR, "grp"): test & F.col("_control").isNotNull() & (F.col("n") > F.col("least_control")),
+        ("fewer_tests_than_controls", WARNING, "grp"): test & F.col("_control").isNotNull() & (F.col("n") > 1) & (
+            F.col("n") < F.col("most_control")),
+        ("endedness_differs_from_control", ERROR, "grp"): test & F.col("_control").isNotNull() & (
+            (F.col("paired") != F.col("all_control_paired")) | (F.col("paired") != F.col("any_control_paired"))),
+    })
+    return fields.unionByName(numbers).distinct()
+
+
+def _differs(column: str) -> Column:
+    """Whether rows disagree about a column; NULL is a value of its own."""
+    return F.coalesce(F.min(column) != F.max(column), F.lit(False)) | (
+        (F.count(column) > 0) & (F.count(column) < F.count(F.lit(1))))
+
+
+def _broken(rows: DataFrame, rules: dict[tuple[str, str, str], Column]) -> DataFrame:
+    """One row per rule and subject whose condition holds."""
+    found = F.filter(F.array(*[
+        F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), F.col(subject).cast("string").alias("subject"),
+                 F.coalesce(condition, F.lit(False)).alias("_broken"))
+        for (name, severity, subject), condition in rules.items()]), lambda r: r["_broken"])
+    return rows.select(F.explode(found).alias("r")).select("r.rule", "r.severity", "r.subject")
 
 
 def require_valid(samples: DataFrame, use_umis: bool = True) -> list[str]:
