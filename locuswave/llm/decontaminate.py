@@ -246,11 +246,12 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no leaked item; rows without doc_id stay unless such a row holds one."""
-    found = leaks(docs, benchmark).select("doc_id").unionByName(passages(docs, benchmark).select("doc_id"))
+    """The documents that hold no leaked item, judged row by row: ids may be NULL or repeated."""
+    own = F.xxhash64("doc_id", "text")
+    rows = docs.select(own.alias("doc_id"), "text")
+    found = leaks(rows, benchmark).select("doc_id").unionByName(passages(rows, benchmark).select("doc_id"))
     hit = stage(found.select(F.col("doc_id").alias("_hit")).distinct(), "leaked")
-    hit = bounded_side(hit, BROADCAST_WINDOWS)
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti")
+    return docs.join(bounded_side(hit, BROADCAST_WINDOWS), own == F.col("_hit"), "left_anti")
 
 
 def op2_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,7 +110,8 @@ def train(docs: DataFrame) -> bytes | None:
               .join(bounded_side(counts), "lang")
               .filter(chosen | (F.col("place") == F.col("first")))
               .select("text", "lang", "place"))
-    found = sample.coalesce(1).mapInPandas(_fit, "model binary").collect()
+    # The corpus is read by many tasks; only the bounded sample goes through one.
+    found = stage(sample, "language-sample").coalesce(1).mapInPandas(_fit, "model binary").collect()
     return found[0]["model"] if found else None
 
 

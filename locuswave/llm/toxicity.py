@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locuswave.llm.common import table
+from locuswave.session import stage
 
 BITS = 22
 PER_CLASS = 8_000
@@ -107,45 +108,44 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Dat
     # At most 2 * per_class ids: small enough to send to every reader of the texts.
     sample = docs.select("doc_id", "text").join(F.broadcast(first(1).unionByName(first(0))), "doc_id")
     found = sample.select("place", "toxic", "text").mapInPandas(_extract, "place long, toxic int, features binary")
-    return found.coalesce(1).mapInPandas(_fit, "place long, weight double")
+    # Texts are read and features made by many tasks; only the bounded sample of features goes through one.
+    return stage(found, "toxicity-sample").coalesce(1).mapInPandas(_fit, "place long, weight double")
 
 
 def score(docs: DataFrame, weights: DataFrame, name: str = "score") -> DataFrame:
-    """The given columns but text, and the probability of label 1 as ``name``."""
+    """The given columns and the probability of label 1 as ``name``; only texts go to Python, only scores come back."""
     found = weights.toPandas()  # at most 2 ** BITS + 1 rows
     shared = docs.sparkSession.sparkContext.broadcast(
         (found["place"].to_numpy(np.int64), found["weight"].to_numpy(np.float64)))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         places, values = shared.value
         dense, known = np.zeros((1 << BITS) + 1), {}
         dense[places] = values
         bias = dense[-1]
-        for frame in frames:
-            out = []
-            for text in frame["text"]:
+        for texts in batches:
+            out = np.zeros(len(texts))
+            for k, text in enumerate(texts if len(places) else ()):
                 at = features(text, known)
                 at = np.unique(at[dense[at] != 0])
-                out.append(1.0 / (1.0 + np.exp(-np.clip(dense[at].sum() + bias, -35, 35))) if len(places) else 0.0)
-            yield frame.assign(**{name: np.array(out, np.float64)}).drop(columns="text")
+                out[k] = 1.0 / (1.0 + np.exp(-np.clip(dense[at].sum() + bias, -35, 35)))
+            yield pd.Series(out)
 
-    rest = docs.drop("text").schema
-    return docs.mapInPandas(run, rest.add(name, "double"))
+    return docs.withColumn(name, run(F.col("text")))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``."""
     held = F.coalesce(remainder(3) == 1, F.lit(False))
     rows = docs.select("doc_id", held.alias("held_out"), "text")
-    return score(rows, train(docs, labels)).withColumn(
+    return score(rows, train(docs, labels)).drop("text").withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic; columns stay as they are."""
-    rows = docs.withColumn("_text", F.col("text"))
-    kept = score(rows, train(docs, labels), "_toxic").filter(F.col("_toxic") < THRESHOLD)
-    return kept.withColumnRenamed("_text", "text").select(docs.columns)
+    return score(docs, train(docs, labels), "_toxic").filter(F.col("_toxic") < THRESHOLD).select(docs.columns)
 
 
 def op3_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:

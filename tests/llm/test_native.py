@@ -163,3 +163,11 @@ def test_policies_and_ablation_read_the_ledger(spark):
     for name, r in rows.items():
         assert r.rejected == sum(bool(b & quality.BIT[name]) for b in bits)
         assert r.rejected_without == sum(bool(b & ~quality.BIT[name]) for b in bits)
+
+
+def test_leaks_are_dropped_by_row(spark):
+    bench = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    rows = [(None, f"before {LONG} after"), (None, "a clean text without an id"), (None, None), (5, LONG), (5, "another clean text"),
+            (6, f"before {LONG} after")]
+    kept = decontaminate.drop_leaked(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[1], rows[2], rows[4]]))
