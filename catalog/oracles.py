@@ -603,6 +603,17 @@ SELECT conc, rep, chrom, start, stop, value FROM (
   SELECT conc, 1 AS rep, chrom, start, stop, v1::DOUBLE AS value FROM sums UNION ALL
   SELECT conc, 2, chrom, start, stop, v2::DOUBLE FROM sums UNION ALL
   SELECT conc, 3, chrom, start, stop, v3::DOUBLE FROM sums) WHERE value > 0""")
+# Every level straight from the positions.
+define("track_zoom", COUNTS, expanded("sums", "counts", 5), """shown AS (
+  SELECT conc, 1 AS rep, chrom, x, v1::DOUBLE AS value FROM sums_at WHERE v1 > 0 UNION ALL
+  SELECT conc, 2, chrom, x, v2::DOUBLE FROM sums_at WHERE v2 > 0 UNION ALL
+  SELECT conc, 3, chrom, x, v3::DOUBLE FROM sums_at WHERE v3 > 0),
+levels AS (
+  SELECT level, (256 * power(4, level))::BIGINT AS width FROM (SELECT unnest(range(20)) AS level)
+  WHERE level = 0 OR (SELECT max(x) FROM shown) // (64 * power(4, level))::BIGINT > 0)""", select="""
+SELECT level::INT AS level, conc, rep, chrom, (x // width * width)::BIGINT AS start, ((x // width + 1) * width)::BIGINT AS stop,
+       min(value) AS least, max(value) AS greatest, sum(value) AS total, count(*)::BIGINT AS covered
+FROM shown, levels GROUP BY level, width, conc, rep, chrom, x // width""")
 define("peak_plot_histogram", PEAKS, """means AS (SELECT conc, round((v1 + v2 + v3) / 3.0::DOUBLE, 6) AS mean FROM peaks),
 scale AS (SELECT max(mean) AS top, greatest(1, least(floor(max(mean))::INT * 2, 2000)) AS bins FROM means)""", select="""
 SELECT conc, least(floor(mean / (top / bins)), bins - 1)::BIGINT AS bin, round(bin * (any_value(top) / any_value(bins)), 6) AS bin_start,

@@ -182,7 +182,7 @@ def event_islands(spark, sf):
         F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("t"))
     best = islands.island_best(
         events, ["user_id"], gap=3_600_000_000, priority=[F.col("value"), F.col("event_id")],
-        payload=["event_id", "value"], start="t", stop="t", tile=60_000_000)
+        payload=["event_id", "value"], start="t", stop="t", tile=24 * 3_600_000_000)
     return best.select("user_id", "island_start", "island_stop", "members", "event_id", "value")
 
 
@@ -595,6 +595,19 @@ def bedgraph_unpivot(spark, sf):
     return rows.select(conc(), "rep", "chrom", "start", "stop", "value")
 
 
+@query
+def track_zoom(spark, sf):
+    """All zoom levels of the window sums, written and read back."""
+    from locuswave.sinks import zoom
+    from locuswave.sinks.tracks import bedgraph_rows
+
+    path = run_path(spark, "zoom")
+    zoom.write_zoom(bedgraph_rows(signal.window_sums(src.counts(spark, sf), N, PARAMS.stat_window), src.REPS), path)
+    return spark.read.parquet(path).select(
+        F.col("level").cast("int").alias("level"), conc(), "rep", "chrom", "start", "stop", "least", "greatest", "total",
+        "covered")
+
+
 @query
 def peak_plot_histogram(spark, sf):
     from locuswave.plans.report import plot_bins

@@ -8,6 +8,7 @@ overlapping runs; row-group statistics then prune inside them.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +19,25 @@ from locuswave.operators.intervals import region
 INDEX = "_ranges"
 
 
-def write_ranges(spark: SparkSession, path: str) -> None:
-    """Index of the written table at ``path``; reads three columns of it."""
+def write_ranges(spark: SparkSession, path: str, keys: Sequence[str] = ("grp", "chrom")) -> None:
+    """Index of the written table at ``path`` by its key columns; reads these and the coordinates."""
     table = spark.read.parquet(path).select(
-        F.col("grp").cast("string").alias("grp"), "chrom", "start", "stop", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-    found = table.groupBy("file", "bytes", "grp", "chrom").agg(
+        *[F.col(k).cast("string").alias(k) for k in keys], "start", "stop",
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    found = table.groupBy("file", "bytes", *keys).agg(
         F.min("start").alias("first"), F.max("stop").alias("last"), F.count(F.lit(1)).alias("rows"))
     # File names relative to the table, so that it may be moved.
     below = F.substring_index("file", f"/{os.path.basename(path.rstrip('/'))}/", -1)
-    found.select(below.alias("file"), "bytes", "grp", "chrom", "first", "last", "rows").write.parquet(os.path.join(path, INDEX))
+    found.select(below.alias("file"), "bytes", *keys, "first", "last", "rows").write.parquet(os.path.join(path, INDEX))
 
 
 def files_of(spark: SparkSession, path: str, chrom: str, start: int | None = None, stop: int | None = None,
-             grp: str | None = None) -> DataFrame:
-    """Index rows of the files that can hold runs of the region."""
+             **keys: str | None) -> DataFrame:
+    """Index rows of the files that can hold rows of the region, and of the given values of other keys."""
     index = spark.read.parquet(os.path.join(path, INDEX)).filter(F.col("chrom") == chrom)
-    if grp is not None:
-        index = index.filter(F.col("grp") == grp)
+    for name, value in keys.items():
+        if value is not None:
+            index = index.filter(F.col(name) == value)
     if stop is not None:
         index = index.filter(F.col("first") < stop)
     if start is not None:
@@ -46,7 +49,7 @@ def read_region(spark: SparkSession, path: str, chrom: str, start: int | None =
                 grp: str | None = None) -> DataFrame:
     """Runs of the written table that overlap ``[start, stop)``; an unknown contig or group gives no rows."""
     # As many names as files overlap the region.
-    files = [r.file for r in files_of(spark, path, chrom, start, stop, grp).select("file").distinct().collect()]
+    files = [r.file for r in files_of(spark, path, chrom, start, stop, grp=grp).select("file").distinct().collect()]
     # Folder names look like numbers to Spark where all groups do; a group is always text.
     layout = T.StructType([
         T.StructField(f.name, T.StringType()) if f.name == "grp" else f for f in spark.read.parquet(path).schema])
