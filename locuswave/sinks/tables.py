@@ -76,8 +76,9 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def write_reports(rows: DataFrame, path: str) -> None:
-    """One JSON object per row (filter and count reports)."""
-    rows.write.json(path)
+    """One JSON file per sample (filter and count reports), named by it."""
+    files.write_named(rows.select(F.concat(files.folder_name(F.col("sample_id")), F.lit(".json")).alias("name"),
+                                  F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("content")), path)
 
 
 def count_report(stats: DataFrame) -> DataFrame:

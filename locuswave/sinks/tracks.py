@@ -57,9 +57,14 @@ def write_tracks(runs: DataFrame, reps: Sequence[int], path: str, session_folder
 
 
 def track_path(name: str, folder: str, session_folder: str, server_url: str | None = None,
-               server_prefixes: Sequence[str] = (), relative: bool = False) -> str:
-    """Path of a track as the browser should open it: behind a file server, relative or absolute."""
+               server_prefixes: str | Sequence[str] = (), relative: bool = False) -> str:
+    """Path of a track as the browser should open it: behind a file server, relative or absolute.
+
+    The prefixes that the server's address stands for may be given as one text, separated by commas.
+    """
     path = os.path.join(folder, name)
+    if isinstance(server_prefixes, str):
+        server_prefixes = [p for p in (part.strip() for part in server_prefixes.split(",")) if p]
     if server_url and server_prefixes:
         for prefix in server_prefixes:
             path = path.replace(prefix, server_url)

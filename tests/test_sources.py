@@ -192,6 +192,7 @@ def test_tracks(spark, tmp_path):
         tracks.browser_session("hg38", [["x.vcf"]])
     assert tracks.track_path("a.bw", "/data/run", "/data/igv", relative=True) == "../run/a.bw"
     assert tracks.track_path("a.bw", "/data/run", "/x", "http://h", ["/data"]) == "http://h/run/a.bw"
+    assert tracks.track_path("a.bw", "/data/run", "/x", "http://h", " /x, /data ,") == "http://h/run/a.bw"
     assert tracks.track_path("a.bw", "/data/run", "/x", "http://h") == "http://h/data/run/a.bw"
 
 
