@@ -13,6 +13,7 @@ from locuswave.session import run_path, stage
 from locuswave.sinks import files
 from locuswave.sinks import tables as sink
 from locuswave.sources import sequences, tables
+from locuswave.streaming.islands import running_islands
 
 
 @query
@@ -138,6 +139,24 @@ def run_order(spark, sf):
     return ordinal(back.withColumn("_all", F.lit(0)), ["_all"], [F.col("at")], "place").select("sample_id", "place")
 
 
+@query
+def event_islands_stream(spark, sf):
+    """Bursts of events found while the events stream in; a last event far ahead closes them all."""
+    folder, out = run_path(spark, "arriving"), run_path(spark, "closed")
+    events = src.table(spark, sf, "events").select("user_id", "event_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    events.write.parquet(folder)
+    events.agg((F.max("ts") + F.expr("interval 30 days")).alias("ts")).select(
+        F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("event_id"), F.lit(0.0).alias("value"), "ts",
+    ).write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(events.schema).parquet(folder)
+    found = running_islands(arriving, ["user_id"], 3_600_000_000, "ts", "1 day", ["value", "event_id"], ["event_id", "value"])
+    stream = found.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", run_path(spark, "stream")).trigger(availableNow=True).start()
+    stream.awaitTermination()
+    return spark.read.schema(found.schema).parquet(out).select(
+        "user_id", "island_start", "island_stop", "members", "event_id", "value")
+
+
 define("sam_round_trip", ALN, select="SELECT sample_id, read_id, chrom, pos, flag, mapq, cigar, umi FROM aln")
 define("genome_round_trip", """whole AS (
   SELECT 'chr' || c AS chrom, string_agg(substr(translate(md5(o_orderkey || '-' || c), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 7), ''
@@ -162,6 +181,7 @@ SELECT sample_group, CASE sample_group WHEN 'ctrl' THEN '-' ELSE 'ctrl' END AS c
        CASE sample_group WHEN 'ctrl' THEN '-' ELSE 'chr1:41,995-42,005,+' END AS on_target_location,
        'reads/' || CASE sample_group WHEN 'ctrl' THEN 'R' WHEN 'guideA' THEN 'A' ELSE 'N' END || replicate || '_2.fastq.gz' AS fastq_2
 FROM samples""")
+ORACLES["event_islands_stream"] = ORACLES["event_islands"]
 LANES = """lanes AS (
   SELECT 'g' || (p_partkey // 8) AS sample_group, 'ctl' || (p_partkey // 8 % 20) AS control_group, 64 AS conc, p_partkey % 8 + 1 AS replicate
   FROM part WHERE p_partkey % 8 < 2 + p_partkey // 8 % 20 % 3
