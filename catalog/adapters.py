@@ -107,6 +107,14 @@ def genome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bases.groupBy("chrom", "chunk_id").agg(seq.alias("seq"))
 
 
+def genome_with_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same genome with the guide's own sequence at the on-target location, bases 41,994 to 42,004 from zero."""
+    cell, at = 41_994 // CHUNK, 41_994 % CHUNK
+    planted = F.expr(f"concat(substring(seq, 1, {at}), 'GACGTCTTAGG', substring(seq, {at + 12}))")
+    here = (F.col("chrom") == "chr1") & (F.col("chunk_id") == cell)
+    return genome(spark, sf_dir).withColumn("seq", F.when(here, planted).otherwise(F.col("seq")))
+
+
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = table(spark, sf_dir, "orders")
     longest = order.agg((F.max("o_orderkey") * 7 + 7).alias("length"))

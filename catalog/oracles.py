@@ -566,6 +566,38 @@ windows AS (
   GROUP BY conc, chrom, pos)""", gapped_scores("windows", "conc, chrom, pos", ("GACGTCTTNGG", "CCNAAGACGTC"), 1, 1, 8),
        select="SELECT conc, chrom, pos, score::INT AS motif_score FROM aligned")
 
+# A window that holds the planted sequence whole aligns it without a fault; all others score less.
+ON_TARGET = "(chrom = 'chr1' AND pos BETWEEN 41994 AND 42005 AND (SELECT max(o_orderkey) FROM orders) > 6000)"
+FOUND = "CASE WHEN on_target THEN 'GACGTCTTAGG' ELSE '-' END AS closest_motif, CASE WHEN on_target THEN 'chr1:41995-42005,+' ELSE '-' END AS motif_location"
+define("on_target_ranks", SITES, """bases AS (
+  SELECT c, k, CASE WHEN c = 1 AND k = 5999 THEN b[1] || 'GACGTC' WHEN c = 1 AND k = 6000 THEN 'TTAGG' || b[6:7] ELSE b END AS b FROM (
+    SELECT c AS c, o_orderkey AS k, substr(translate(md5(o_orderkey || '-' || c), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 7) AS b
+    FROM orders, range(4) AS t(c))),
+windows AS (
+  SELECT conc, chrom, pos, substr(string_agg(b, '' ORDER BY k), (greatest(pos - 11, 0) - min(k) * 7 + 1)::BIGINT,
+                                  (pos + 11 - greatest(pos - 11, 0))::BIGINT) AS w
+  FROM sites JOIN bases ON chrom = 'chr' || c AND k BETWEEN greatest(pos - 11, 0) // 7 AND (pos + 10) // 7
+  GROUP BY conc, chrom, pos)""", gapped_scores("windows", "conc, chrom, pos", ("GACGTCTTNGG", "CCNAAGACGTC"), 1, 1, 8),
+       f"""targeted AS (SELECT *, {ON_TARGET} AS on_target FROM sites)""", select=f"""
+SELECT t.conc, t.chrom, t.pos, row_number() OVER (PARTITION BY t.conc ORDER BY on_target DESC, site_called DESC, mean_signal DESC, t.chrom, t.pos)
+         - (bool_or(on_target) OVER (PARTITION BY t.conc))::INT AS rank,
+       on_target AS is_on_target, score::INT AS motif_score, {FOUND}
+FROM targeted t JOIN aligned a ON t.conc = a.conc AND t.chrom = a.chrom AND t.pos = a.pos""")
+TARGETED = GRID + CONSENSUS[len(GRID):].replace("best AS (\n  SELECT * FROM loc_isl", f"best AS (\n  SELECT *, {ON_TARGET} AS on_target FROM loc_isl").replace(
+    "ORDER BY signal_64 DESC, signal_256 DESC, total_signal DESC, pos) = 1", f"ORDER BY {ON_TARGET} DESC, signal_64 DESC, signal_256 DESC, total_signal DESC, pos) = 1").replace(
+    "SELECT chrom, pos, signal_64, signal_256, total_signal,\n         row_number() OVER (ORDER BY signal_64",
+    "SELECT chrom, pos, on_target,\n         row_number() OVER (ORDER BY on_target DESC, signal_64").replace(
+    "AS rank FROM best", "- (SELECT bool_or(on_target)::INT FROM best) AS rank FROM best")
+define("on_target_consensus", TARGETED, select=f"""
+SELECT g.chrom, g.pos AS position, rank, on_target AS is_on_target, {FOUND},
+       bool_or(site_called) FILTER (conc = 64) AS "64nM_site_called", bool_or(site_called) FILTER (conc = 256) AS "256nM_site_called",
+       round(max(mean_signal) FILTER (conc = 256), 9) AS "256nM_mean_signal"
+FROM grid g JOIN ranked r ON g.chrom = r.chrom AND g.pos = r.pos GROUP BY g.chrom, g.pos, rank, on_target""")
+define("on_target_breakdown", TARGETED, select="""
+SELECT conc, count(*) FILTER (site_called)::BIGINT AS sites_called, bool_or(site_called AND on_target) AS on_target_called,
+       round(max(mean_signal) FILTER (site_called), 9) AS max_called_signal
+FROM grid g JOIN ranked r ON g.chrom = r.chrom AND g.pos = r.pos GROUP BY conc""")
+
 SPANS = """spans AS (
   SELECT l_orderkey, l_linenumber, l_partkey, 'chr' || (l_suppkey % 2) AS chrom_a, 'chr' || (l_suppkey % 3 % 2) AS chrom_b,
          100 + l_partkey % 50 AS sa, 110 + l_partkey % 50 + l_linenumber AS ea, 100 + l_orderkey % 60 AS sb,

@@ -256,11 +256,11 @@ def tables(spark, sf):
     return calls.signal_tables(src.counts(spark, sf), src.groups(spark, sf), N, N, PARAMS)
 
 
-def site_stage(spark, sf, genome: bool = False):
+def site_stage(spark, sf, genome=None):
     groups_ = stage(src.groups(spark, sf), "groups")
     made = tables(spark, sf)
     evidence = made.evidence(N, N, PARAMS)
-    kwargs = dict(genome=src.genome(spark, sf), chunk=src.CHUNK) if genome else {}
+    kwargs = dict(genome=genome, chunk=src.CHUNK) if genome is not None else {}
     return groups_, made, evidence, calls.reported_sites(made, groups_, evidence, PARAMS, **kwargs)
 
 
@@ -292,10 +292,40 @@ def pct_max_peak(spark, sf):
 @query
 def on_target_sites(spark, sf):
     """Reported sites with their closest motif; the score is checked by SQL, the span by tests."""
-    sites = site_stage(spark, sf, genome=True)[3]
+    sites = site_stage(spark, sf, genome=src.genome(spark, sf))[3]
     return sites.select(conc(), "chrom", "pos", "motif_score")
 
 
+def on_motif(column: str):
+    return F.when(F.col("is_on_target"), F.col(column)).otherwise(F.lit("-")).alias(column)
+
+
+@query
+def on_target_ranks(spark, sf):
+    """Reported sites of a genome that holds the guide's sequence: the on-target is first and has rank 0."""
+    sites = site_stage(spark, sf, genome=src.genome_with_target(spark, sf))[3]
+    return sites.select(conc(), "chrom", "pos", "rank", "is_on_target", "motif_score", on_motif("closest_motif"), on_motif("motif_location"))
+
+
+def target_consensus(spark, sf):
+    groups_, made, evidence, sites = site_stage(spark, sf, genome=src.genome_with_target(spark, sf))
+    return stage(calls.consensus_sites(sites, groups_, made, evidence, PARAMS), "target-consensus")
+
+
+@query
+def on_target_consensus(spark, sf):
+    """Consensus ranks with the on-target, and the motif fields that its concentrations share."""
+    wide = aggregate.pivot_concentrations(target_consensus(spark, sf), [64, 256], N, N, PARAMS)
+    return with_floats(wide.select("chrom", "position", "rank", "is_on_target", on_motif("closest_motif"), on_motif("motif_location"),
+                                   "64nM_site_called", "256nM_site_called", "256nM_mean_signal"))
+
+
+@query
+def on_target_breakdown(spark, sf):
+    wide = aggregate.pivot_concentrations(target_consensus(spark, sf), [64, 256], N, N, PARAMS)
+    return with_floats(aggregate.called_breakdown(wide, [64, 256]).drop("sample_group"))
+
+
 @query
 def site_conc_grid(spark, sf):
     groups_, made, evidence, sites = site_stage(spark, sf)
