@@ -8,9 +8,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locuswave.files import file_system
+
 T = TypeVar("T")
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -54,9 +57,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/stages-{spark.sparkContext.applicationId}"
+
+
 def run_path(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder."""
-    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder name in this application's part of the shared folder."""
+    return f"{_run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all stage tables of this application, for the end of a run: DataFrames made so far are void."""
+    system, folder = file_system(_run_folder(spark))
+    if system.get_file_info(folder).type == fs.FileType.Directory:
+        system.delete_dir(folder)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
