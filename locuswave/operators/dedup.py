@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuswave.functions import cigar as cg
+from locuswave.schema import ALIGNMENTS
 from locuswave.session import stage
 
 
@@ -31,35 +32,38 @@ PLACE = ("sample_id", "chrom", "fragment_start", "is_reverse")
 def molecules_of(placed: DataFrame) -> DataFrame:
     """Place, UMI, number of alignments and the best of them: highest mapping quality, then smallest read id.
 
-    Only the columns that decide are aggregated, map-side first, so a molecule with any number of copies is no hot
-    spot and no alignment is sorted or shuffled as a whole.
+    An aggregation with map-side combine, so a molecule with any number of copies is no hot spot.  It carries the
+    columns of ``schema.ALIGNMENTS`` only, whatever else the alignments hold.
     """
-    order = F.struct((-F.col("mapq")).alias("q"), "read_id")
+    order = F.struct((-F.col("mapq")).alias("q"), "read_id", "pos", "flag", "cigar")
     return placed.groupBy(*PLACE, "umi").agg(F.count(F.lit(1)).alias("copies"), F.min(order).alias("_o")).select(
-        *PLACE, "umi", "copies", (-F.col("_o.q")).alias("mapq"), F.col("_o.read_id").alias("read_id"))
+        *PLACE, "umi", "copies", (-F.col("_o.q")).alias("mapq"), "_o.read_id", "_o.pos", "_o.flag", "_o.cigar")
 
 
-def fetch(placed: DataFrame, chosen: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The alignments that ``chosen`` names, one each: the one shuffle and sort of whole rows.
+def fetch(alignments: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The alignments that ``chosen`` names, one each.
 
-    The join key holds the read id, so copies of one molecule are spread over the tasks.
+    If they have no columns beyond those of ``schema.ALIGNMENTS``, ``chosen`` holds them already.  Otherwise whole rows
+    are shuffled and sorted once, by a key with the read id: copies of one molecule are spread over the tasks.
     """
-    keys = [*PLACE, "umi", "mapq", "read_id"]
-    mine = placed.withColumn("_k", F.xxhash64(*keys))
+    if set(alignments.columns) <= set(chosen.columns):
+        return chosen.select(*[F.col(c).cast(alignments.schema[c].dataType).alias(c) for c in alignments.columns])
+    keys = ALIGNMENTS.names
+    mine = alignments.withColumn("_k", F.xxhash64(*keys))
     named = chosen.select(F.xxhash64(*keys).alias("_k"), *[F.col(c).alias(f"_{c}") for c in keys])
     same = mine["_k"] == named["_k"]
     for c in keys:
         same = same & mine[c].eqNullSafe(named[f"_{c}"])
     found = mine.join(named, same).select(mine["*"])
-    # Only rows that repeat a read at the same place are left to tell apart.
-    again = Window.partitionBy("_k", *keys).orderBy("pos", "flag", "cigar")
-    return found.withColumn("_n", F.row_number().over(again)).filter("_n = 1").select(*columns)
+    # Only rows that repeat an alignment are left to tell apart.
+    again = Window.partitionBy("_k", *keys).orderBy("_k")
+    return found.withColumn("_n", F.row_number().over(again)).filter("_n = 1").select(*alignments.columns)
 
 
 def exact_umi(alignments: DataFrame) -> DataFrame:
     """One alignment per place and UMI."""
     placed = with_fragment_start(alignments.filter(cg.is_primary(F.col("flag"))))
-    return fetch(placed, molecules_of(placed), alignments.columns)
+    return fetch(alignments, molecules_of(placed))
 
 
 def directional_umi(alignments: DataFrame) -> DataFrame:
@@ -74,7 +78,7 @@ def directional_umi(alignments: DataFrame) -> DataFrame:
     # The owner's own best read stays; an absorbed UMI is an error, however well its read maps.
     kept = molecules.alias("m").join(
         owned.alias("o"), _same("m", "o", [*PLACE, "umi"]), "left_anti")
-    return fetch(placed, kept, alignments.columns)
+    return fetch(alignments, kept)
 
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:

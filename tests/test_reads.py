@@ -119,3 +119,15 @@ def test_absorbed_umi_does_not_win(spark):
     data = [("s", f"r{k}", "chr1", 5, 0, 20, "50M", "AAAAAAA") for k in range(9)] + [("s", "error", "chr1", 5, 0, 40, "50M", "AAAAAAC")]
     kept = dedup.directional_umi(spark.createDataFrame(data, ALIGNMENTS)).collect()
     assert [(r.read_id, r.umi) for r in kept] == [("r0", "AAAAAAA")]
+
+
+def test_dedup_keeps_other_columns_and_hot_molecules(spark):
+    """Alignments with more columns are fetched whole; one molecule holds most rows, one row is there twice."""
+    data = [("s", f"r{i:04d}", "chr1", 100, 0, 10 + i % 7, "50M", "ACGT") for i in range(500)]
+    data += [("s", "t", "chr1", 300, 0, 40, "50M", "TTTT")] * 2 + [("s", "u", "chr1", 300, 0, 40, "50M", "GGGG")]
+    frame = spark.createDataFrame(data, ALIGNMENTS)
+    for operator in (dedup.exact_umi, dedup.directional_umi):
+        plain = rows(operator(frame))
+        wide = operator(frame.withColumn("note", F.concat(F.lit("n"), "read_id")).withColumn("bases", F.array("mapq")))
+        assert wide.columns == [*frame.columns, "note", "bases"] and {r.note for r in wide.collect()} == {"nr0006", "nt", "nu"}
+        assert rows(wide.select(*frame.columns)) == plain and len(plain) == 3
