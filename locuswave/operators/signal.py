@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuswave.schema import add_all, value_names
-from locuswave.session import stage
+from locuswave.session import stage, tasks_for
 
 KEYS = ["grp", "chrom"]
+# Positions per task, which takes about a kilobyte of memory for each.
+TASK_ROWS = 400_000
 
 
 def window_sums(counts: DataFrame, n: int, half_width: int, tile: int = 8_192,
@@ -101,7 +103,8 @@ def _runs(spans: DataFrame, n: int, tile: int, clip: bool) -> DataFrame:
     first = F.greatest(F.expr(f"(_lo - 1) div {tile}"), F.lit(0).cast("long"))
     last = F.expr(f"_hi div {tile}")
     # Shuffled as one row per position and tile; the two steps are made on the other side.
-    placed = spans.withColumn("_tile", F.explode(F.sequence(first, last))).repartition(*part)
+    spans = stage(spans, "spans")
+    placed = spans.withColumn("_tile", F.explode(F.sequence(first, last))).repartition(tasks_for(spans, TASK_ROWS), *part)
 
     left, right = F.col("_tile") * tile - 1, (F.col("_tile") + 1) * tile + 1
     step = F.explode(F.array(

@@ -85,6 +85,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(staged: DataFrame, rows: int) -> int:
+    """Shuffle partitions that give each task about ``rows`` rows of a staged table (counted from its file footers).
+
+    Without a number, adaptive execution fills tasks by shuffled bytes, whatever a task makes of them.
+    """
+    return max(1, -(-staged.count() // rows))
+
+
 def together(**steps: Callable[[], T]) -> dict[str, T]:
     """Run independent steps at the same time; small jobs then share the cluster."""
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:

@@ -2,7 +2,7 @@
 
 import os
 
-from locuswave.session import checkpoint_root, release, stage
+from locuswave.session import checkpoint_root, release, stage, tasks_for
 
 
 def test_release_removes_the_stages_of_the_application(spark):
@@ -15,3 +15,9 @@ def test_release_removes_the_stages_of_the_application(spark):
     assert not os.path.exists(folder) and os.path.isdir(kept)
     release(spark)
     assert stage(spark.range(3), "numbers").count() == 3
+
+
+def test_tasks_for_rows(spark):
+    staged = stage(spark.range(101), "numbers")
+    assert [tasks_for(staged, n) for n in (1, 50, 51, 101, 1000)] == [101, 3, 2, 1, 1]
+    assert tasks_for(stage(spark.range(0), "numbers"), 10) == 1

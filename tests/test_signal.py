@@ -54,6 +54,17 @@ def test_self_difference_rotates(spark):
         signal.self_diffs(control, 1, 2)
 
 
+def test_tasks_grow_with_the_positions(spark, monkeypatch):
+    """Adaptive execution would put these few bytes into at most four tasks."""
+    data = random_counts(8, grps=("a", "b"), size=600)
+    counts = counts_of(spark, data, 3)
+    whole = rows(signal.window_sums(counts, 3, 5, tile=32))
+    monkeypatch.setattr(signal, "TASK_ROWS", len(data) // 12)
+    sums = signal.window_sums(counts, 3, 5, tile=32)
+    assert rows(sums) == whole
+    assert len(sums.inputFiles()) >= 10
+
+
 @pytest.mark.parametrize("tile", [16, 100, 65_536])
 @pytest.mark.parametrize("w", [0, 5])
 def test_sums_against_expansion(spark, w, tile):
