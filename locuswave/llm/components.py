@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locuswave.session import stage
+from locuswave.session import discard, stage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,4 +31,5 @@ def components(links: DataFrame) -> DataFrame:
         smaller = larger.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = stage(smaller.filter("u <> v").distinct(), "smaller-star")
+        now, before = stage(smaller.filter("u <> v").distinct(), "smaller-star"), now
+        discard(before, larger)

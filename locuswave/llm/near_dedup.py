@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from locuswave.llm.common import table
 from locuswave.llm.components import components
-from locuswave.session import bounded_side, stage
+from locuswave.session import bounded_side, discard, stage
 
 SHINGLE = 4
 # The trees are rotations of the first half of the minima.
@@ -143,8 +143,10 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sets = stage(sets, "candidate-sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(
-        _confirm, "a long, b long").distinct()
+    found = stage(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(
+        _confirm, "a long, b long").distinct(), "links")
+    discard(ids, sets)
+    return found
 
 
 def _rotated(n: int) -> Column:
@@ -204,7 +206,10 @@ def neighbour_pairs(classes: DataFrame) -> DataFrame:
         F.lead(c).over(follow).alias(f"next_{c}") for c in ("a", "tree", "key")])
     across = ends.filter("end = 1 AND tree = next_tree AND key = next_key").select(
         F.least("a", "next_a").alias("a"), F.greatest("a", "next_a").alias("b"), F.lit(MINIMA).cast("long").alias("agree"))
-    return found.filter("end < 0").select("a", "b", "agree").unionByName(across).filter(F.col("agree") >= MIN_BRIEF)
+    pairs = stage(found.filter("end < 0").select("a", "b", "agree").unionByName(across)
+                  .filter(F.col("agree") >= MIN_BRIEF).distinct(), "neighbour-pairs")
+    discard(found)
+    return pairs
 
 
 # The first MAX_DEPTH minima of each tree.
@@ -266,14 +271,15 @@ def mixed_cells(classes: DataFrame, labels: DataFrame) -> DataFrame:
     # An id that is repeated with other texts stands for several classes; their minima tell them apart.
     named = _named(classes.select("class_id", "sig", F.xxhash64("sig").alias("own")), labels)
     named = stage(named, "named-classes")
-    depth, done, now = MIN_DEPTH, [], _in_trees(named)
+    depth, done, used, now = MIN_DEPTH, [], [named], _in_trees(named)
     while True:
         keys = now.select("class_id", "own", "component", "tree",
                           F.xxhash64(F.lit(depth), F.col("tree"), _rotated(depth)).alias("region"))
         mixed = (keys.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"),
                                             F.max("component").alias("c1")).filter("c0 <> c1").select("region", "members"))
-        members = stage(keys.join(stage(mixed, "mixed-regions"), "region").withColumn("depth", F.lit(depth)),
-                        "mixed-members")
+        mixed = stage(mixed, "mixed-regions")
+        members = stage(keys.join(mixed, "region").withColumn("depth", F.lit(depth)), "mixed-members")
+        used += [mixed, members]
         deeper = depth < MAX_DEPTH and bool(members.filter(F.col("members") > REGION).limit(1).count())
         done.append(members.filter(F.col("members") <= REGION) if deeper else members)
         if not deeper:
@@ -295,7 +301,10 @@ def mixed_cells(classes: DataFrame, labels: DataFrame) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("region", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                     "block", "tree", "class_id", "own"))
-    return rows.join(named.select("class_id", "own", "sig").join(depths, ["class_id", "own"]), ["class_id", "own"])
+    cells = stage(rows.join(named.select("class_id", "own", "sig").join(depths, ["class_id", "own"]),
+                            ["class_id", "own"]), "mixed-cells")
+    discard(*used)
+    return cells
 
 
 def crossing_pairs(cells: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
@@ -309,28 +318,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stage(signatures(docs), "signatures")
     classes = stage(signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest", "sig")
                     .agg(F.min("doc_id").alias("class_id")), "classes")
-    near = stage(neighbour_pairs(classes).distinct(), "neighbour-pairs")
+    near = neighbour_pairs(classes)
     # Each class checks its most similar smaller neighbour first, then those in other components.
-    best = (near.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("n"))).alias("m"))
-            .select((-F.col("m.n")).alias("a"), "b"))
-    links = stage(confirm(stage(best, "best-neighbours"), docs), "links-best")
+    best = stage(near.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("n"))).alias("m"))
+                 .select((-F.col("m.n")).alias("a"), "b"), "best-neighbours")
+    links = confirm(best, docs)
     labels = components(links)
     rest = _named(_named(near, labels, "a", "ca"), labels, "b", "cb").filter("ca <> cb")
-    links = links.unionByName(stage(confirm(stage(rest.select("a", "b"), "other-neighbours"), docs), "links-near"))
+    rest = stage(rest.select("a", "b"), "other-neighbours")
+    discard(best, labels)
+    links = links.unionByName(confirm(rest, docs))
     labels = components(links)
-    cells = stage(mixed_cells(classes, labels), "mixed-cells")
+    cells = mixed_cells(classes, labels)
     near = near.select("a", "b")
     more = stage(crossing_pairs(cells, labels, nearest=True).join(near, ["a", "b"], "left_anti"), "nearest-pairs")
-    links = links.unionByName(stage(confirm(more, docs), "links-nearest"))
-    left = crossing_pairs(cells, components(links), nearest=False).join(
-        near.unionByName(more), ["a", "b"], "left_anti")
-    links = links.unionByName(confirm(stage(left, "left-pairs"), docs))
+    discard(rest, labels)
+    links = links.unionByName(confirm(more, docs))
+    labels = components(links)
+    left = stage(crossing_pairs(cells, labels, nearest=False).join(
+        near.unionByName(more), ["a", "b"], "left_anti"), "left-pairs")
+    discard(cells, near, more, labels)
+    links = links.unionByName(confirm(left, docs))
+    discard(left)
     # Rows that repeat an id link the classes of their texts.
     again = (signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest").distinct()
              .join(classes.select("digest", "class_id"), "digest")
              .filter("doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")))
-    links = links.unionByName(again)
-    labels = components(links).withColumnRenamed("node", "doc_id")
+    labels = components(links.unionByName(again)).withColumnRenamed("node", "doc_id")
+    discard(links, classes)
     # An exact copy is linked with its class, so every document that is not the smallest has its own label.
     return (signed.join(labels, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -340,7 +355,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group stays, the one with the smallest id; rows without an id stay, too."""
-    gone = stage(near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    found = near_duplicates(docs)
+    gone = stage(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    discard(found)
     return docs.join(bounded_side(gone, BROADCAST_IDS), docs["doc_id"] == F.col("_gone"), "left_anti")
 
 

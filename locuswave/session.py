@@ -8,7 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyarrow import fs
+from pyarrow import ArrowInvalid, fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +85,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*staged: DataFrame) -> None:
+    """Deletes stage tables of this application that nothing reads any more: DataFrames made from them are void.
+
+    Only folders of stage tables go.  Those on a file system that Python cannot open stay.
+    """
+    for df in staged:
+        stages = _run_folder(df.sparkSession).rsplit("/", 1)[1]
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            if folder.split("/")[-2] != stages:
+                raise ValueError(f"not a stage table: {folder}")
+            try:
+                system, path = file_system(folder)
+            except (ArrowInvalid, NotImplementedError):
+                continue
+            system.delete_dir(path)
+
+
 def tasks_for(staged: DataFrame, rows: int) -> int:
     """Shuffle partitions that give each task about ``rows`` rows of a staged table (counted from its file footers).
 
