@@ -9,13 +9,13 @@ sets have a Jaccard similarity of 0.8 or more, which is always confirmed on the
   smaller neighbour, which joins a group of copies of any size by about one check each.
 * The other neighbours are checked next, as far as they lie in different components.
 * Then every region (equal leading minima in one order) that still holds several components is searched for links
-  between them: first the most similar members of other components for each class, then all that is left.  Regions of more than ``REGION`` members are split at their next minimum, to a depth
-  at which no more than 2 in 10,000 links could be lost; those that stay large are compared block by block, so no
-  task holds more than two blocks.
+  between them: all its pairs are compared on their full sets, where they lie, and each cell hands on no more links
+  than join its components, however many pairs it compares.  Regions of more than ``REGION`` members are split at
+  their next minimum, to a depth at which no more than 2 in 10,000 links could be lost; those that stay larger than
+  ``BLOCK`` are compared block by block, so no task holds more than two blocks.
 
 At a similarity of 0.8 two classes share a region of depth three with probability 1 - (1 - 0.8 ** 3) ** 16 = 0.99999;
-pairs above count more.  Only pairs whose minima agree in ``MIN_AGREE`` of 128 places are verified; a pair of
-similarity 0.8 falls below that with probability of less than one in a million.
+pairs above count more.
 
 Defined cases: a text without words (or NULL) has the empty set and is linked with nothing; fewer than four words
 make one shingle.  Rows with a NULL doc_id are linked with nothing, have a NULL component and are kept.  Rows that
@@ -39,9 +39,10 @@ from locuswave.session import bounded_side, discard, stage
 SHINGLE = 4
 # The trees are rotations of the first half of the minima.
 MINIMA, IN_TREES, TREES, MIN_DEPTH, MAX_DEPTH = 128, 64, 16, 3, 4
-MIN_AGREE, MIN_BRIEF = 80, 36
-REGION = 256
-NEAREST = 3
+MIN_BRIEF = 36
+REGION, BLOCK = 256, 1024
+# Entries of the 0-1 matrix of members and shingles that are compared at once (4 bytes each).
+CELL_ENTRIES = 4_000_000
 SHARE_NUM, SHARE_DEN = 80, 100
 # Ids of candidate documents up to this number are sent to all executors (8 bytes each); more are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -117,8 +118,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[bytes, int] = {}
     for frame in frames:
-        yield pd.DataFrame({"doc_id": frame["doc_id"],
-                            "hashes": [shingle_set(t, known).tobytes() for t in frame["text"]]})
+        hashes = [shingle_set(t, known).tobytes() for t in frame["text"]]
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "hashes": hashes,
+                            "digest": [xxhash.xxh3_128_digest(h) for h in hashes]})
 
 
 def _confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,7 +141,7 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     # A class has one id, but rows may repeat it: sets that differ under one id are all tried.
     sets = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .join(bounded_side(ids, BROADCAST_IDS), "doc_id", "left_semi")
-            .mapInPandas(_sets, "doc_id long, hashes binary"))
+            .mapInPandas(_sets, "doc_id long, hashes binary, digest binary").drop("digest"))
     sets = stage(sets, "candidate-sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
@@ -212,49 +214,78 @@ def neighbour_pairs(classes: DataFrame) -> DataFrame:
     return pairs
 
 
-# The first MAX_DEPTH minima of each tree.
-_LEADING = (np.arange(TREES)[:, None] * (IN_TREES // TREES) + np.arange(MAX_DEPTH)) % IN_TREES
-
-
-def _crossing(nearest: bool, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of classes of different components within each cell of rows sorted by (region, cell).
-
-    With ``nearest``, a class is paired with the ``NEAREST`` most similar members of other components only.
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common shingles of every set on the left with every one on the right."""
+    both = [*left, *right]
+    owner = np.repeat(np.arange(len(both)), [len(h) for h in both])
+    values = np.concatenate(both)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    alike = values[1:] == values[:-1]
+    # A shingle of one set only is common to none.
+    often = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
+    values, owner = values[often], owner[often]
+    place = np.cumsum(np.concatenate([[True], values[1:] != values[:-1]])) - 1 if len(values) else owner
+    shared = np.zeros((len(left), len(right)), np.int64)
+    width = max(1, CELL_ENTRIES // len(both))
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, width):
+        some = slice(*np.searchsorted(place, [at, at + width]))
+        has = np.zeros((len(both), min(width, int(place[-1]) + 1 - at)), np.float32)
+        has[owner[some], place[some] - at] = 1
+        shared += (has[:len(left)] @ has[len(left):].T).astype(np.int64)
+    return shared
+
+
+def _joining(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Places of the links (x, y) that join components not joined by earlier ones."""
+    above: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in above:
+            above[c] = above.get(above[c], above[c])
+            c = above[c]
+        return c
+
+    kept = []
+    _, first = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1, return_index=True)
+    for k in np.sort(first).tolist():
+        u, v = root(int(x[k])), root(int(y[k]))
+        if u != v:
+            above[u] = v
+            kept.append(k)
+    return kept
+
+
+def _crossing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links between classes of different components within each cell of rows sorted by (region, lo, hi).
+
+    Of the links of a cell, those that join components not joined yet.
     """
 
-    def pairs(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates(["class_id", "own"]).sort_values("component", kind="stable")
-        sig = np.frombuffer(b"".join(cell["sig"]), ">u4").reshape(len(cell), MINIMA)
+    def links(cell: pd.DataFrame) -> pd.DataFrame:
         ids, comp = cell["class_id"].to_numpy(np.int64), cell["component"].to_numpy(np.int64)
-        block, one = cell["block"].to_numpy(np.int64), cell["lo"].iloc[0] == cell["hi"].iloc[0]
-        tree, depths = int(cell["tree"].iloc[0]), np.stack([np.asarray(d, np.int64) for d in cell["depths"]])
-        out = []
-        for k in range(len(ids) - 1):
-            other = np.flatnonzero((comp[k + 1:] != comp[k]) & (one | (block[k + 1:] != block[k]))) + k + 1
-            if not len(other):
-                continue
-            agree = (sig[other] == sig[k]).sum(axis=1)
-            other, agree = other[agree >= MIN_AGREE], agree[agree >= MIN_AGREE]
-            # A pair that shares regions of several trees is found in the first of them.
-            common = np.cumprod((sig[other] == sig[k])[:, _LEADING], axis=2).sum(axis=2)
-            here = (common >= depths[k]).argmax(axis=1) == tree
-            other, agree = other[here], agree[here]
-            if nearest and len(other):
-                other = other[np.argsort(-agree, kind="stable")[:NEAREST]]
-            if len(other):
-                out.append(np.stack([np.minimum(ids[k], ids[other]), np.maximum(ids[k], ids[other])], axis=1))
-        found = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-        return pd.DataFrame(found, columns=["a", "b"])
+        sets = [np.frombuffer(h, np.uint64) for h in cell["hashes"]]
+        sizes, block = np.array([len(h) for h in sets], np.int64), cell["block"].to_numpy(np.int64)
+        lo, hi = cell["lo"].iloc[0], cell["hi"].iloc[0]
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        shared = _shared([sets[k] for k in left], [sets[k] for k in right])
+        union = sizes[left][:, None] + sizes[right] - shared
+        near = (SHARE_DEN * shared >= SHARE_NUM * union) & (comp[left][:, None] != comp[right])
+        i, j = np.nonzero(near)
+        i, j = left[i], right[j]
+        kept = _joining(comp[i], comp[j])
+        i, j = ids[i[kept]], ids[j[kept]]
+        return pd.DataFrame({"a": np.minimum(i, j), "b": np.maximum(i, j)})
 
     rest = None
     for frame in frames:
         frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
         cells = list(frame.groupby(["region", "lo", "hi"], sort=False))
         for _, cell in cells[:-1]:
-            yield pairs(cell)
+            yield links(cell)
         rest = cells[-1][1] if cells else None
     if rest is not None and len(rest):
-        yield pairs(rest)
+        yield links(rest)
 
 
 def _named(rows: DataFrame, labels: DataFrame, by: str = "class_id", name: str = "component") -> DataFrame:
@@ -264,53 +295,56 @@ def _named(rows: DataFrame, labels: DataFrame, by: str = "class_id", name: str =
 
 
 def mixed_cells(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """region, lo, hi, block, tree, class_id, sig, depths: the members of regions with several components, in bounded cells.
+    """region, lo, hi, block, class_id, digest, component: the members of regions with several components, in bounded cells.
 
-    Regions are counted over ids alone; the minima are joined to the members of mixed regions afterwards.
+    Regions are counted over ids alone.
     """
-    # An id that is repeated with other texts stands for several classes; their minima tell them apart.
-    named = _named(classes.select("class_id", "sig", F.xxhash64("sig").alias("own")), labels)
-    named = stage(named, "named-classes")
+    # An id that is repeated with other texts stands for several classes; their digests tell them apart.
+    named = stage(_named(classes.select("class_id", "sig", "digest"), labels), "named-classes")
     depth, done, used, now = MIN_DEPTH, [], [named], _in_trees(named)
     while True:
-        keys = now.select("class_id", "own", "component", "tree",
+        keys = now.select("class_id", "digest", "component", "tree",
                           F.xxhash64(F.lit(depth), F.col("tree"), _rotated(depth)).alias("region"))
         mixed = (keys.groupBy("region").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("c0"),
                                             F.max("component").alias("c1")).filter("c0 <> c1").select("region", "members"))
         mixed = stage(mixed, "mixed-regions")
-        members = stage(keys.join(mixed, "region").withColumn("depth", F.lit(depth)), "mixed-members")
+        members = stage(keys.join(mixed, "region"), "mixed-members")
         used += [mixed, members]
         deeper = depth < MAX_DEPTH and bool(members.filter(F.col("members") > REGION).limit(1).count())
         done.append(members.filter(F.col("members") <= REGION) if deeper else members)
         if not deeper:
             break
-        now = members.filter(F.col("members") > REGION).select("class_id", "own", "component", "tree").join(
-            named.select("class_id", "own", "sig"), ["class_id", "own"])
+        now = members.filter(F.col("members") > REGION).select("class_id", "digest", "component", "tree").join(
+            named.select("class_id", "digest", "sig"), ["class_id", "digest"])
         depth += 1
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)
-    # How deep the region of a class is in each tree; out of reach where it is in none.
-    held = F.map_from_entries(F.collect_list(F.struct("tree", "depth")))
-    depths = rows.groupBy("class_id", "own").agg(held.alias("m")).select("class_id", "own", F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.coalesce(F.try_element_at("m", t), F.lit(MAX_DEPTH + 1))
-    ).alias("depths"))
-    blocks = F.ceil(F.col("members") / REGION).cast("int")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = (rows.withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("class_id", "own"), F.col("blocks")).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("class_id", "digest"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("region", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                    "block", "tree", "class_id", "own"))
-    cells = stage(rows.join(named.select("class_id", "own", "sig").join(depths, ["class_id", "own"]),
-                            ["class_id", "own"]), "mixed-cells")
+                    "block", "class_id", "digest", "component"))
+    cells = stage(rows, "mixed-cells")
     discard(*used)
     return cells
 
 
-def crossing_pairs(cells: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
-    """Candidate pairs between different components that share a cell."""
-    return (_named(cells, labels).repartition("region", "lo", "hi").sortWithinPartitions("region", "lo", "hi")
-            .mapInPandas(lambda frames: _crossing(nearest, frames), "a long, b long").distinct())
+def crossing_links(cells: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of full sets that join the components in each cell."""
+    ids = stage(cells.select(F.col("class_id").alias("doc_id")).distinct(), "cell-ids")
+    sets = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .join(bounded_side(ids, BROADCAST_IDS), "doc_id", "left_semi")
+            .mapInPandas(_sets, "doc_id long, hashes binary, digest binary")
+            .select(F.col("doc_id").alias("class_id"), "digest", "hashes").dropDuplicates(["class_id", "digest"]))
+    found = (cells.join(sets, ["class_id", "digest"])
+             .repartition("region", "lo", "hi").sortWithinPartitions("region", "lo", "hi")
+             .select("region", "lo", "hi", "block", "class_id", "component", "hashes")
+             .mapInPandas(_crossing, "a long, b long").distinct())
+    found = stage(found, "crossing-links")
+    discard(ids)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -329,17 +363,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     discard(best, labels)
     links = links.unionByName(confirm(rest, docs))
     labels = components(links)
+    discard(rest, near)
     cells = mixed_cells(classes, labels)
-    near = near.select("a", "b")
-    more = stage(crossing_pairs(cells, labels, nearest=True).join(near, ["a", "b"], "left_anti"), "nearest-pairs")
-    discard(rest, labels)
-    links = links.unionByName(confirm(more, docs))
-    labels = components(links)
-    left = stage(crossing_pairs(cells, labels, nearest=False).join(
-        near.unionByName(more), ["a", "b"], "left_anti"), "left-pairs")
-    discard(cells, near, more, labels)
-    links = links.unionByName(confirm(left, docs))
-    discard(left)
+    discard(labels)
+    links = links.unionByName(crossing_links(cells, docs))
+    discard(cells)
     # Rows that repeat an id link the classes of their texts.
     again = (signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest").distinct()
              .join(classes.select("digest", "class_id"), "digest")
