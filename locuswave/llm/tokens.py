@@ -2,7 +2,8 @@
 
 Both files used here split texts at white space before anything else, so the ids of a text are the ids of its
 white-space separated pieces, one after the other; for the byte-level file the blank ahead belongs to the piece.
-Each task keeps the ids of the pieces it has met and asks the tokenizer for new ones only.
+Each task keeps the ids of the pieces it has met and asks the tokenizer for new ones only.  New pieces go to it as one
+text, with a separator between them that is one id by itself; so the ids are cut apart again at that id.
 """
 
 from __future__ import annotations
@@ -25,6 +26,13 @@ SLICE_TEXTS, SLICE_PIECES = 200, 20_000
 _made: dict[tuple[str, bool], PieceTokenizer] = {}
 
 
+def _words(text: str) -> list[str]:
+    """Pieces of WORD_PIECES; ``split`` also cuts at four separators that the tokenizer's white space lacks."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return WORD_PIECES.findall(text)
+    return text.split()
+
+
 def piece_tokenizer(file: str, white_space_counts: bool) -> PieceTokenizer:
     """The tokenizer of this Python worker; later tasks of the worker go on with the pieces it keeps."""
     key = (file, white_space_counts)
@@ -43,15 +51,33 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(file) if os.sep not in file else file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = (BYTE_PIECES if white_space_counts else WORD_PIECES).findall
+        self.find = BYTE_PIECES.findall if white_space_counts else _words
+        # Without white space in the ids, a control character stands between the pieces.
+        self.mark, self.between = ("\n", "\n") if white_space_counts else ("\x01", " \x01 ")
+        self.mark_ids = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
+    def _alone(self, new: list[str]) -> dict[str, bytes]:
+        codes = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        return {piece: array("I", code.ids).tobytes() for piece, code in zip(new, codes)}
+
     def _encode(self, new: list[str]) -> dict[str, bytes]:
         found = {}
         for at in range(0, len(new), SLICE_PIECES):
             part = new[at:at + SLICE_PIECES]
-            for piece, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[piece] = array("I", code.ids).tobytes()
+            # White space would run into the separator, and a mark inside a piece would be taken for one.
+            joined = [p for p in part if self.mark not in p and not p.isspace()] if len(self.mark_ids) == 1 else []
+            code = self.tokenizer.encode_batch_fast([self.between.join(joined)], add_special_tokens=False)[0]
+            ids = np.array(code.ids, np.uint32)
+            edges = np.flatnonzero(ids == self.mark_ids[0]) if joined else ids
+            if len(edges) != len(joined) - 1:
+                found.update(self._alone(part))
+                continue
+            raw, ends = ids.tobytes(), [*(4 * edges).tolist(), 4 * len(ids)]
+            for piece, begin, end in zip(joined, [0, *[e + 4 for e in ends]], ends):
+                found[piece] = raw[begin:end]
+            if len(joined) < len(part):
+                found.update(self._alone([p for p in part if p not in found]))
         return found
 
     def _learn(self, new: set[str]) -> list[str]:

@@ -1,4 +1,4 @@
-"""Links within cells of near-duplicate candidates, without Spark."""
+"""Links within cells of near-duplicate candidates, and ids of new pieces, without Spark."""
 
 import random
 
@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 
 from locuswave.llm import near_dedup
+from locuswave.llm.tokens import PieceTokenizer
 
 
 def cell(sets, component, block, lo, hi, region=1):
@@ -47,3 +48,19 @@ def test_two_blocks_are_compared_with_each_other_only():
     sets = [set(range(10)), set(range(10)), set(range(10)), {77}, {77}, set(range(50, 60))]
     got = pd.concat(near_dedup._crossing(iter([cell(sets, [0, 1, 2, 3, 4, 5], [0, 0, 1, 1, 1, 0], 0, 1)])))
     assert set(zip(got["a"], got["b"])) == {(0, 2), (1, 2)}
+
+
+def test_new_pieces_are_one_text_to_the_tokenizer():
+    rng = random.Random(6)
+    signs = [*"ab 'st.,  \n\t\x01\x1c\x1f\x00éΣσß́​　\xa0中09_-<|>", "<|endoftext|>", "'re", " \n", " \x01 ", "Ċ", "\x01"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(600)] + [None, "", "\x01", " "]
+    for file, white_space_counts in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        source = PieceTokenizer(file, white_space_counts)
+        want = [source.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [list(i) for i in source.ids(texts)] == want
+        # Plain new words are not handed over one by one.
+        alone, source.known = [], {}
+        source._alone = lambda new: alone.extend(new) or {}
+        plain = [f"word{k} other{k * k}x" for k in range(50)]
+        want = [source.tokenizer.encode(t, add_special_tokens=False).ids for t in plain]
+        assert [list(i) for i in source.ids(plain)] == want and not alone
