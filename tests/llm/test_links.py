@@ -1,4 +1,4 @@
-"""Links within cells of near-duplicate candidates, and ids of new pieces, without Spark."""
+"""Links within cells of near-duplicate candidates, and ids of new pieces."""
 
 import random
 
@@ -64,3 +64,17 @@ def test_new_pieces_are_one_text_to_the_tokenizer():
         plain = [f"word{k} other{k * k}x" for k in range(50)]
         want = [source.tokenizer.encode(t, add_special_tokens=False).ids for t in plain]
         assert [list(i) for i in source.ids(plain)] == want and not alone
+
+
+def test_regions_with_the_same_members_are_compared_once(spark):
+    first, other = bytes(range(256)) * 2, bytes(range(255, -1, -1)) * 2
+    # The last two share only the first four minima, which is a region of the first order alone.
+    sigs = [first, first, first, other[:16] + bytes(496), other[:16] + bytes([7]) * 496]
+    classes = spark.createDataFrame(
+        [(k, bytearray(s), bytearray([k])) for k, s in enumerate(sigs)], "class_id long, sig binary, digest binary")
+    labels = spark.createDataFrame([(1, 0)], "node long, component long")
+    cells = near_dedup.mixed_cells(classes, labels).collect()
+    groups = {}
+    for c in cells:
+        groups.setdefault((c.region, c.lo, c.hi), set()).add((c.class_id, c.component))
+    assert sorted(map(sorted, groups.values())) == [[(0, 0), (1, 0), (2, 2)], [(3, 3), (4, 4)]]
