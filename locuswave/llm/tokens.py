@@ -19,7 +19,8 @@ import numpy as np
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BYTE_PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 WORD_PIECES = re.compile(f"[^{_SPACE}]+")
-KEPT_PIECES, KEPT_CHARS = 1_000_000, 64
+# Kept pieces take about 300 bytes each in every Python worker, beside what earlier steps left there.
+KEPT_PIECES, KEPT_CHARS = 200_000, 64
 # Texts that are cut into pieces at once, and pieces that are encoded at once.
 SLICE_TEXTS, SLICE_PIECES = 200, 20_000
 

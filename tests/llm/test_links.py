@@ -66,6 +66,15 @@ def test_new_pieces_are_one_text_to_the_tokenizer():
         assert [list(i) for i in source.ids(plain)] == want and not alone
 
 
+def test_kept_pieces_are_bounded_and_ids_stay_right():
+    source = PieceTokenizer("word_bpe_49k.json", False)
+    texts = [" ".join(f"w{k}x{j}" for j in range(500)) for k in range(500)]
+    found = source.ids(texts)
+    assert len(source.known) <= 200_000
+    for k in (0, 450, 499):
+        assert list(found[k]) == source.tokenizer.encode(texts[k], add_special_tokens=False).ids
+
+
 def test_regions_with_the_same_members_are_compared_once(spark):
     first, other = bytes(range(256)) * 2, bytes(range(255, -1, -1)) * 2
     # The last two share only the first four minima, which is a region of the first order alone.
