@@ -33,6 +33,8 @@ TRAIN_DOCS = 3_000
 STEPS, BATCH, MIXED = 350, 32, 1_500
 STRIDE = WINDOW // 2
 DECODE_BATCH = 512
+# Texts whose codes, tags and spans are held at once.
+SLICE_TEXTS = 100
 
 _MARK = re.compile(r"[0-9@]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -236,25 +238,26 @@ def redact(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
+def _marked(frames: Iterator[pd.DataFrame], model: dict | None, clean: bool) -> Iterator[pd.DataFrame]:
+    """The rows with their spans, some texts at a time: codes and tags take far more memory than the texts."""
+    for frame in (whole.iloc[at:at + SLICE_TEXTS] for whole in frames for at in range(0, len(whole), SLICE_TEXTS)):
+        texts = [t if t is not None else "" for t in frame["text"]]
+        base = [rule_spans(t) for t in texts]
+        more = model_spans(texts, model) if model else [[]] * len(texts)
+        every = [b + added(t, b, m) for t, b, m in zip(texts, base, more)]
+        frame = frame.assign(_base=[span_text(b) for b in base], _spans=[span_text(s) for s in every])
+        if clean:
+            frame["text"] = [None if raw is None else redact(t, s)
+                             for raw, t, s in zip(frame["text"], texts, every)]
+        yield frame if clean else frame.drop(columns="text")
+
+
 def find(docs: DataFrame, clean: bool = False) -> DataFrame:
     """The given columns and base (rule spans), spans (all), in text form; with ``clean`` the text is redacted."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = pickle.loads(shared.value)
-        for frame in frames:
-            texts = [t if t is not None else "" for t in frame["text"]]
-            base = [rule_spans(t) for t in texts]
-            more = model_spans(texts, model) if model else [[]] * len(texts)
-            every = [b + added(t, b, m) for t, b, m in zip(texts, base, more)]
-            frame = frame.assign(_base=[span_text(b) for b in base], _spans=[span_text(s) for s in every])
-            if clean:
-                frame["text"] = [None if raw is None else redact(t, s)
-                                 for raw, t, s in zip(frame["text"], texts, every)]
-            yield frame if clean else frame.drop(columns="text")
-
     fields = [f for f in docs.schema.fields if clean or f.name != "text"]
-    return docs.mapInPandas(run, T.StructType(fields).add("_base", "string").add("_spans", "string"))
+    return docs.mapInPandas(lambda frames: _marked(frames, pickle.loads(shared.value), clean),
+                            T.StructType(fields).add("_base", "string").add("_spans", "string"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

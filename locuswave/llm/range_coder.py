@@ -24,6 +24,8 @@ SLOTS, LEVELS = 512, 8
 # Together at most 32: a block's range keeps that many bits over from one id to the next.
 FREQ_BITS, MIX_BITS = 18, 14
 RATE = 4
+# Ids below this are counted in a table; higher ones are sorted.
+COUNTED = 1 << 20
 
 _U = np.uint64
 _TOP, _BOTTOM = _U(1 << 48), _U(1 << 32)
@@ -154,12 +156,23 @@ def _shares(counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _kinds(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different ids, rising, the number of each id among them, and how often each occurs."""
+    if ids.max() >= COUNTED:
+        return np.unique(ids.astype(np.int64), return_inverse=True, return_counts=True)
+    counts = np.bincount(ids)
+    values = np.flatnonzero(counts)
+    place = np.zeros(len(counts), np.int32)
+    place[values] = np.arange(len(values))
+    return values, place[ids], counts[values]
+
+
 def encode(ids: np.ndarray) -> bytes:
     """A stripe: header, blocks and checksums, from at least one id."""
     n = len(ids)
     length = int(min(LONGEST_BLOCK, max(SHORTEST_BLOCK, -(-n // 256))))
     count = -(-n // length)
-    values, place, counts = np.unique(ids.astype(np.int64), return_inverse=True, return_counts=True)
+    values, place, counts = _kinds(ids)
     share = _shares(counts)
     start = np.concatenate([[0], np.cumsum(share)[:-1]])
     # The last block is filled up with the first value; the number of ids tells where it ends.

@@ -2,8 +2,10 @@
 
 Both files used here split texts at white space before anything else, so the ids of a text are the ids of its
 white-space separated pieces, one after the other; for the byte-level file the blank ahead belongs to the piece.
-Each task keeps the ids of the pieces it has met and asks the tokenizer for new ones only.  New pieces go to it as one
-text, with a separator between them that is one id by itself; so the ids are cut apart again at that id.
+Each task keeps the ids of the pieces it has met and asks the tokenizer for new ones only.  A piece of Latin letters is
+one word to both files, so it goes straight to the tokenizer's model, in the model's letters for bytes.  Other new
+pieces go to the tokenizer as one text, with a separator between them that is one id by itself; so the ids are cut
+apart again at that id.
 """
 
 from __future__ import annotations
@@ -19,14 +21,36 @@ import numpy as np
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BYTE_PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 WORD_PIECES = re.compile(f"[^{_SPACE}]+")
+# Letters up to U+00FF: composed, and changed to lower case alike everywhere.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS = re.compile(f" ?[{_LATIN}]+")
+_LETTER = re.compile(f"[{_LATIN}]")
+_MARKS = ".,;:!?#*$%&|<>"
+_SAMPLE = ("word", "Eulenspiegel", "ÀÉÎõüßÿæØ", "xqzvkj", "Straße", "élève", "a" * 30)
 # Kept pieces take about 300 bytes each in every Python worker, beside what earlier steps left there.
-KEPT_PIECES, KEPT_CHARS = 200_000, 64
+KEPT_PIECES, KEPT_CHARS = 400_000, 64
 # Texts that are cut into pieces at once, and pieces that are encoded at once.
 SLICE_TEXTS, SLICE_PIECES = 200, 20_000
 
 _made: dict[tuple[str, bool], PieceTokenizer] = {}
 
 
+def _byte_letters() -> dict[int, int]:
+    """Code points that stand for bytes in byte-level vocabularies, where they differ from the byte."""
+    same = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in same)}
+
+
+_BYTE_LETTERS = _byte_letters()
+_BLANK = chr(_BYTE_LETTERS[32])
+
+
+def _is_word(piece: str) -> bool:
+    if piece.isascii():
+        return piece.isalpha() or piece[0] == " " and piece[1:].isalpha()
+    return _LETTERS.fullmatch(piece) is not None
+
+
 def _words(text: str) -> list[str]:
     """Pieces of WORD_PIECES; ``split`` also cuts at four separators that the tokenizer's white space lacks."""
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
@@ -57,13 +81,27 @@ class PieceTokenizer:
         self.mark, self.between = ("\n", "\n") if white_space_counts else ("\x01", " \x01 ")
         self.mark_ids = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        self.split = self.tokenizer.model.tokenize
+        normalizer = self.tokenizer.normalizer
+        self.lower = normalizer is not None and normalizer.normalize_str("É") == "é"
+        # Files with other rules for letters go without the short way.
+        self.short_way = all(self._word(w) == ids for w, ids in self._alone(list(_SAMPLE)).items())
+
+    def _word(self, piece: str) -> bytes:
+        text = piece.lower() if self.lower else piece
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        elif text[0] == " ":
+            text = _BLANK + text[1:]
+        return array("I", [token.id for token in self.split(text)]).tobytes()
 
     def _alone(self, new: list[str]) -> dict[str, bytes]:
         codes = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         return {piece: array("I", code.ids).tobytes() for piece, code in zip(new, codes)}
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
-        found = {}
+        found = {p: self._word(p) for p in new if _is_word(p)} if self.short_way else {}
+        new = [p for p in new if p not in found]
         for at in range(0, len(new), SLICE_PIECES):
             part = new[at:at + SLICE_PIECES]
             # White space would run into the separator, and a mark inside a piece would be taken for one.
@@ -88,17 +126,17 @@ class PieceTokenizer:
         """
         cut = {}
         for piece in new:
-            word = piece.rstrip(".,")
-            if len(word) < len(piece) and word[-1:].isascii() and word[-1:].isalpha():
+            word = piece.rstrip(_MARKS)
+            if len(word) < len(piece) and _LETTER.match(word[-1:]):
                 cut[piece] = (word, piece[len(word):])
         parts = new.difference(cut).union(*cut.values()) if cut else new
         found = self._encode([p for p in parts if p not in self.known])
-        for piece, (word, marks) in cut.items():
-            found[piece] = (found.get(word) or self.known[word]) + (found.get(marks) or self.known[marks])
         room = KEPT_PIECES - len(self.known)
         spare = [p for k, p in enumerate(found) if k >= room or len(p) > KEPT_CHARS]
         self.known.update(found)
-        return spare
+        for piece, (word, marks) in cut.items():
+            self.known[piece] = self.known[word] + self.known[marks]
+        return [*spare, *cut]  # words with marks are cheap to make again
 
     def ids(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text; NULL is empty."""

@@ -1,11 +1,11 @@
-"""Links within cells of near-duplicate candidates, and ids of new pieces."""
+"""Links within cells of near-duplicate candidates, ids of new pieces, and personal data text by text."""
 
 import random
 
 import numpy as np
 import pandas as pd
 
-from locuswave.llm import near_dedup
+from locuswave.llm import near_dedup, pii
 from locuswave.llm.tokens import PieceTokenizer
 
 
@@ -87,3 +87,15 @@ def test_regions_with_the_same_members_are_compared_once(spark):
     for c in cells:
         groups.setdefault((c.region, c.lo, c.hi), set()).add((c.class_id, c.component))
     assert sorted(map(sorted, groups.values())) == [[(0, 0), (1, 0), (2, 2)], [(3, 3), (4, 4)]]
+
+
+def test_personal_data_is_searched_for_in_few_texts_at_a_time(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(pii, "model_spans", lambda texts, model: sizes.append(len(texts)) or [[] for _ in texts])
+    texts = [None, "", "mail a@b.cd now"] + [f"call +4930123456{k:03d}" for k in range(700)]
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    out = pd.concat(pii._marked(iter([frame, frame[:1], frame[:0]]), {"any": 0}, True))
+    assert max(sizes) <= 200 and sum(sizes) == len(texts) + 1
+    assert list(out["doc_id"]) == [*range(len(texts)), 0]
+    assert list(out["text"])[:4] == [None, "", "mail [email] now", "call [phone]"]
+    assert list(out["_spans"])[1:4] == ["", "email:5:11", "phone:5:19"]
