@@ -104,14 +104,14 @@ def best_fit_decreasing(counts: dict[int, int], window: int = WINDOW) -> list[tu
 def _cut(tokenizer: str, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyspark import TaskContext
 
-    from locuswave.llm.tokens import SLICE_TEXTS, piece_tokenizer
+    from locuswave.llm.tokens import piece_tokenizer, slices
 
     part, seen = TaskContext.get().partitionId(), np.zeros(WINDOW + 1, np.int64)
     source = piece_tokenizer(tokenizer, True)
     end = np.array([END], "<u4")
     for frame in frames:
-        for at in range(0, len(frame), SLICE_TEXTS):
-            some = frame.iloc[at:at + SLICE_TEXTS]
+        for begin, stop in slices(frame["text"]):
+            some = frame.iloc[begin:stop]
             rows = []
             for doc_id, ids in zip(some["doc_id"], source.ids(list(some["text"]))):
                 ids = np.concatenate([ids, end]).astype("<u4")

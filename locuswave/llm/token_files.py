@@ -56,7 +56,7 @@ def unpack_stripe(data: bytes) -> tuple[list[int | None], list[np.ndarray]]:
 def _write(tokenizer: str, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyspark import TaskContext
 
-    from locuswave.llm.tokens import SLICE_TEXTS, piece_tokenizer
+    from locuswave.llm.tokens import piece_tokenizer, slices
 
     part, source, written = TaskContext.get().partitionId(), piece_tokenizer(tokenizer, False), 0
     end, docs, texts, held = np.array([END], np.uint32), [], [], 0
@@ -65,8 +65,8 @@ def _write(tokenizer: str, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFr
         return pd.DataFrame({"part": [part], "ahead": [written], "n_ids": [held], "data": [pack_stripe(docs, texts)]})
 
     for frame in frames:
-        for at in range(0, len(frame), SLICE_TEXTS):
-            some = frame.iloc[at:at + SLICE_TEXTS]
+        for begin, stop in slices(frame["text"]):
+            some = frame.iloc[begin:stop]
             for doc_id, ids in zip(some["doc_id"], source.ids(list(some["text"]))):
                 docs.append(None if pd.isna(doc_id) else int(doc_id))
                 texts.append(np.append(ids, end))

@@ -13,7 +13,10 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from codecs import charmap_decode
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -24,25 +27,25 @@ WORD_PIECES = re.compile(f"[^{_SPACE}]+")
 # Letters up to U+00FF: composed, and changed to lower case alike everywhere.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _LETTERS = re.compile(f" ?[{_LATIN}]+")
-_LETTER = re.compile(f"[{_LATIN}]")
+_LETTER = frozenset(chr(k) for k in range(256) if _LETTERS.fullmatch(chr(k)))
 _MARKS = ".,;:!?#*$%&|<>"
 _SAMPLE = ("word", "Eulenspiegel", "ÀÉÎõüßÿæØ", "xqzvkj", "Straße", "élève", "a" * 30)
 # Kept pieces take about 300 bytes each in every Python worker, beside what earlier steps left there.
-KEPT_PIECES, KEPT_CHARS = 400_000, 64
-# Texts that are cut into pieces at once, and pieces that are encoded at once.
-SLICE_TEXTS, SLICE_PIECES = 200, 20_000
+KEPT_PIECES, KEPT_CHARS = 200_000, 64
+# Texts that are cut into pieces at once (up to one that goes beyond the characters), and pieces that are encoded at once.
+SLICE_TEXTS, SLICE_CHARS, SLICE_PIECES = 2_000, 4_000_000, 20_000
 
 _made: dict[tuple[str, bool], PieceTokenizer] = {}
 
 
-def _byte_letters() -> dict[int, int]:
-    """Code points that stand for bytes in byte-level vocabularies, where they differ from the byte."""
+def _byte_letters() -> str:
+    """The character that stands for each byte in byte-level vocabularies."""
     same = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    return {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in same)}
+    other = iter(range(256, 512))
+    return "".join(chr(byte if byte in same else next(other)) for byte in range(256))
 
 
 _BYTE_LETTERS = _byte_letters()
-_BLANK = chr(_BYTE_LETTERS[32])
 
 
 def _is_word(piece: str) -> bool:
@@ -58,6 +61,18 @@ def _words(text: str) -> list[str]:
     return text.split()
 
 
+def slices(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
+    """First and last (exclusive) place of runs of texts whose pieces may be held together."""
+    begin = size = 0
+    for at, text in enumerate(texts):
+        size += len(text) if text else 0
+        if size >= SLICE_CHARS or at - begin + 1 == SLICE_TEXTS:
+            yield begin, at + 1
+            begin, size = at + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def piece_tokenizer(file: str, white_space_counts: bool) -> PieceTokenizer:
     """The tokenizer of this Python worker; later tasks of the worker go on with the pieces it keeps."""
     key = (file, white_space_counts)
@@ -67,7 +82,7 @@ def piece_tokenizer(file: str, white_space_counts: bool) -> PieceTokenizer:
 
 
 class PieceTokenizer:
-    """Ids of texts.  The first ``KEPT_PIECES`` short pieces stay, so memory is bounded and frequent words are kept."""
+    """Ids of texts.  Up to ``KEPT_PIECES`` short pieces that repeat stay, so memory is bounded and frequent words are kept."""
 
     def __init__(self, file: str, white_space_counts: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
@@ -88,11 +103,7 @@ class PieceTokenizer:
         self.short_way = all(self._word(w) == ids for w, ids in self._alone(list(_SAMPLE)).items())
 
     def _word(self, piece: str) -> bytes:
-        text = piece.lower() if self.lower else piece
-        if not text.isascii():
-            text = text.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        elif text[0] == " ":
-            text = _BLANK + text[1:]
+        text, _ = charmap_decode((piece.lower() if self.lower else piece).encode(), "strict", _BYTE_LETTERS)
         return array("I", [token.id for token in self.split(text)]).tobytes()
 
     def _alone(self, new: list[str]) -> dict[str, bytes]:
@@ -119,36 +130,43 @@ class PieceTokenizer:
                 found.update(self._alone([p for p in part if p not in found]))
         return found
 
-    def _learn(self, new: set[str]) -> list[str]:
-        """Adds ids of new pieces and returns those to be dropped after the slice.
+    def _learn(self, missing: Counter[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not kept.  Words met more than once stay: most others do not come back.
 
-        Marks behind a letter are pieces of their own to the tokenizer, too.
+        Marks behind a letter are pieces of their own to the tokenizer, too, and are put together again for each slice.
         """
-        cut = {}
-        for piece in new:
-            word = piece.rstrip(_MARKS)
-            if len(word) < len(piece) and _LETTER.match(word[-1:]):
-                cut[piece] = (word, piece[len(word):])
-        parts = new.difference(cut).union(*cut.values()) if cut else new
-        found = self._encode([p for p in parts if p not in self.known])
+        cut, times = {}, {}
+        for piece, n in missing.items():
+            if piece[-1] in _MARKS and (word := piece.rstrip(_MARKS))[-1:] in _LETTER:
+                cut[piece] = parts = word, piece[len(word):]
+                for part in parts:
+                    if part not in self.known:
+                        times[part] = times.get(part, 0) + n
+            else:
+                times[piece] = times.get(piece, 0) + n
+        found = self._encode(list(times))
+        made = {piece: b"".join([found.get(p) or self.known[p] for p in parts]) for piece, parts in cut.items()}
         room = KEPT_PIECES - len(self.known)
-        spare = [p for k, p in enumerate(found) if k >= room or len(p) > KEPT_CHARS]
-        self.known.update(found)
-        for piece, (word, marks) in cut.items():
-            self.known[piece] = self.known[word] + self.known[marks]
-        return [*spare, *cut]  # words with marks are cheap to make again
+        if room:
+            often = [p for p, n in times.items() if n > 1 and len(p) <= KEPT_CHARS]
+            self.known.update((p, found[p]) for p in often[:room])
+        return found | made
 
     def ids(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text; NULL is empty."""
         out = []
-        for at in range(0, len(texts), SLICE_TEXTS):
-            pieces = [self.find(t) if t else [] for t in texts[at:at + SLICE_TEXTS]]
-            codes = [list(map(self.known.get, p)) for p in pieces]
-            holes = [k for k, c in enumerate(codes) if None in c]
-            spare = self._learn({x for k in holes for x, c in zip(pieces[k], codes[k]) if c is None}) if holes else ()
-            for k in holes:
-                codes[k] = map(self.known.__getitem__, pieces[k])
-            out.extend(np.frombuffer(b"".join(c), np.uint32) for c in codes)
-            for piece in spare:
-                del self.known[piece]
+        for begin, end in slices(texts):
+            codes, holes = [], []
+            for text in texts[begin:end]:
+                pieces = self.find(text) if text else []
+                code = list(map(self.known.get, pieces))
+                codes.append(code)
+                holes.append([p for p, c in zip(pieces, code) if c is None] if None in code else ())
+            missing = Counter(chain.from_iterable(holes))
+            new = self._learn(missing) if missing else {}
+            for code, unknown in zip(codes, holes):
+                if unknown:
+                    fill = map(new.__getitem__, unknown)
+                    code = [next(fill) if c is None else c for c in code]
+                out.append(np.frombuffer(b"".join(code), np.uint32))
         return out

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 
-from locuswave.llm import near_dedup, pii
+from locuswave.llm import near_dedup, pii, tokens
 from locuswave.llm.tokens import PieceTokenizer
 
 
@@ -99,3 +99,37 @@ def test_personal_data_is_searched_for_in_few_texts_at_a_time(monkeypatch):
     assert list(out["doc_id"]) == [*range(len(texts)), 0]
     assert list(out["text"])[:4] == [None, "", "mail [email] now", "call [phone]"]
     assert list(out["_spans"])[1:4] == ["", "email:5:11", "phone:5:19"]
+
+
+def test_letters_go_straight_to_the_model_and_marks_apart():
+    texts = ["Straße élève ÀÉÎ Ñandú, naïve!! word&&& it's. 'tis don't; (x) a1. µm ªº ×÷ ÿ... Ǆ ﬁ é é, .,. ?x", " a  b.\n\nc.", ".", " ,"]
+    for file, white_space_counts in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        source = PieceTokenizer(file, white_space_counts)
+        assert source.short_way
+        want = [source.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [list(i) for i in source.ids(texts)] == want
+        source.short_way = False
+        assert [list(i) for i in source.ids(texts)] == want
+        # Nothing but the marks is left to the whole tokenizer once letters are known to be words.
+        source.short_way, handed = True, []
+        source._alone = lambda new: handed.extend(new) or {}
+        source.tokenizer = None
+        source.known = {m: b"\1\0\0\0" for m in (",", "!!")}
+        source.ids(["river, stone!! lamp"])
+        assert not handed
+
+
+def test_words_that_repeat_are_kept_before_others(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 5)
+    source = PieceTokenizer("byte_bpe_50k.json", True)
+    texts = ["".join(f" once{chr(97 + k)}" for k in range(20)) + " river." * 3 + " stone" * 3]
+    want = source.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert list(source.ids(texts)[0]) == want == list(source.ids(texts)[0])
+    assert {" river", " stone"} <= set(source.known) and len(source.known) <= 5
+
+
+def test_slices_of_texts_are_bounded_by_characters(monkeypatch):
+    monkeypatch.setattr(tokens, "SLICE_CHARS", 10)
+    monkeypatch.setattr(tokens, "SLICE_TEXTS", 3)
+    assert list(tokens.slices(["a" * 12, None, "b", "c", "", "d" * 9, "e", None])) == [(0, 1), (1, 4), (4, 7), (7, 8)]
+    assert list(tokens.slices([])) == []
