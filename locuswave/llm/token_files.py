@@ -27,7 +27,7 @@ from locuswave.session import bounded_side, stage
 
 END = 2
 TOKENIZER = "word_bpe_49k.json"
-STRIPE = 1_500_000
+STRIPE = 4_000_000
 # Sums per task (12 bytes each) up to this number are broadcast.
 BROADCAST_TASKS = 1_000_000
 

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 
-from locuswave.llm import near_dedup, pii, tokens
+from locuswave.llm import near_dedup, pii, range_coder, tokens
 from locuswave.llm.tokens import PieceTokenizer
 
 
@@ -133,3 +133,13 @@ def test_slices_of_texts_are_bounded_by_characters(monkeypatch):
     monkeypatch.setattr(tokens, "SLICE_TEXTS", 3)
     assert list(tokens.slices(["a" * 12, None, "b", "c", "", "d" * 9, "e", None])) == [(0, 1), (1, 4), (4, 7), (7, 8)]
     assert list(tokens.slices([])) == []
+
+
+def test_kinds_of_ids_are_counted_or_sorted_alike(monkeypatch):
+    ids = np.random.default_rng(3).integers(0, 5000, 4000).astype(np.uint32)
+    counted = range_coder._kinds(ids)
+    monkeypatch.setattr(range_coder, "COUNTED", 0)
+    for a, b in zip(counted, range_coder._kinds(ids)):
+        assert np.array_equal(a, b)
+    high = np.array([2**32 - 1, 7, 2**32 - 1], np.uint32)
+    assert np.array_equal(range_coder.decode(range_coder.encode(high)), high)
